@@ -14,21 +14,32 @@ def col(c: str | Column) -> Column:
 
 # ---- time -----------------------------------------------------------------
 
+def epoch_us_from_ntz(c: str | Column) -> Column:
+    """Epoch microseconds of a TIMESTAMP_NTZ column read as UTC wall time.
+
+    Built from the zone-free date and time fields, so the result never
+    depends on the session zone (a cast to TIMESTAMP would shift it by the
+    session zone's offset, DST included).
+    """
+    t = col(c)
+    days = F.datediff(F.to_date(t), F.lit("1970-01-01").cast("date")).cast("long")
+    secs = F.date_part(F.lit("SECOND"), t)  # decimal(8,6): seconds with fraction
+    return (days * F.lit(86_400_000_000) + F.hour(t).cast("long") * F.lit(3_600_000_000)
+            + F.minute(t).cast("long") * F.lit(60_000_000) + (secs * F.lit(1_000_000)).cast("long"))
+
+
 def epoch_ms_from_ntz(c: str | Column, rounding: str = "floor") -> Column:
     """Epoch milliseconds of a TIMESTAMP_NTZ column read as UTC wall time.
 
-    Independent of the session zone, unlike a cast to TIMESTAMP.
     ``rounding="floor"`` drops the sub-millisecond digits; ``"nearest"``
     rounds half away from zero (the rule of the warehouse the feeds are
-    checked against), with exact integer arithmetic.
+    checked against).  Exact integer arithmetic either way.
     """
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    us = epoch_us_from_ntz(c)
     if rounding == "floor":
-        us = F.timestamp_diff("MICROSECOND", epoch, col(c))
         return ((us - F.pmod(us, F.lit(1000))) / F.lit(1000)).cast("long")
     if rounding != "nearest":
         raise ValueError(f"unknown rounding {rounding!r}")
-    us = F.timestamp_diff("MICROSECOND", epoch, col(c))
     a = F.abs(us) + F.lit(500)
     ms = ((a - F.pmod(a, F.lit(1000))) / F.lit(1000)).cast("long")
     return F.when(us < 0, -ms).otherwise(ms)

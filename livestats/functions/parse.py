@@ -45,14 +45,20 @@ def parse_events(df: DataFrame, text_col: str = "value", keep: tuple[str, ...] =
     ``keep`` columns of the input (such as the record id) are carried along.
     With ``dead_letter=True`` the invalid rows are returned instead, with the
     raw text, so that a caller can land them separately.
+
+    The validity test sits inside the generator (``inline`` of an array that
+    is NULL for invalid rows) rather than in a ``where``: Catalyst would push
+    a filter below the projection and parse every line once per reference.
+    Here each line is parsed exactly once.
     """
     parsed = json_struct(text_col, schemas.EVENT_JSON)
     tmp = df.select(*keep, F.col(text_col).alias("_text"), parsed.alias("_e"))
     ok = _valid(F.col("_e"), F.col("_text"))
     if dead_letter:
-        return tmp.where(~ok).select(*keep, F.col("_text").alias(text_col))
-    fields = [F.col("_e")[w].alias(m) for w, m in schemas.EVENT_COLUMNS.items()]
-    out = tmp.where(ok).select(*keep, *fields)
+        return tmp.select(*keep, F.inline(F.when(~ok, F.array(F.struct(F.col("_text").alias(text_col))))))
+    rows = tmp.select(*keep, F.inline(F.when(ok, F.array("_e"))))
+    fields = [F.col(w).alias(m) for w, m in schemas.EVENT_COLUMNS.items()]
+    out = rows.select(*keep, *fields)
     return out.withColumn("is_new", F.coalesce("is_new", F.lit(0))) \
               .withColumn("is_n", F.coalesce("is_n", F.lit(0)))
 
@@ -64,12 +70,14 @@ def parse_cdc(df: DataFrame, row_schema: T.StructType, text_col: str = "value",
     """P3/P4 + F7: change-capture envelope -> one row per ``data`` element.
 
     Only the change types in ``types`` pass; the type is kept as ``op_type``.
+    Invalid envelopes and other types explode an empty (NULL) array, so the
+    envelope is parsed once (see :func:`parse_events`).
     """
     env = json_struct(text_col, schemas.cdc_envelope(row_schema), time_zone, timestamp_format)
     tmp = df.select(*keep, F.col(text_col).alias("_text"), env.alias("_c"))
     ok = _valid(F.col("_c"), F.col("_text")) & F.coalesce(F.col("_c.type").isin(list(types)), F.lit(False))
-    rows = tmp.where(ok).select(*keep, F.col("_c.type").alias("op_type"),
-                                F.explode("_c.data").alias("_r"))
+    rows = tmp.select(*keep, F.col("_c.type").alias("op_type"),
+                      F.explode(F.when(ok, F.col("_c.data"))).alias("_r"))
     return rows.select(*keep, *[F.col("_r")[f.name].alias(f.name) for f in row_schema.fields], "op_type")
 
 
@@ -81,17 +89,15 @@ def split_delimited(df: DataFrame, fields, text_col: str = "value", sep: str = "
     with too few fields or a failed conversion is dropped.
     """
     parts = F.split(F.col(text_col), sep)
-    cols, checks = [], [F.size(parts) >= len(fields)]
+    cols = []
     for i, (name, typ) in enumerate(fields):
         raw = F.trim(parts.getItem(i))
-        v = raw if typ == "string" else raw.try_cast(typ)
-        cols.append(v.alias(name))
-        if typ != "string":
-            checks.append(v.isNotNull())
-    out = df.select(*keep, *cols, *[c.alias(f"_ok{i}") for i, c in enumerate(checks)])
+        cols.append((raw if typ == "string" else raw.try_cast(typ)).alias(name))
+    out = df.select(*keep, *cols, (F.size(parts) >= len(fields)).alias("_complete"))
     if strict:
-        cond = F.lit(True)
-        for i in range(len(checks)):
-            cond = cond & F.col(f"_ok{i}")
+        cond = F.col("_complete")
+        for name, typ in fields:
+            if typ != "string":
+                cond = cond & F.col(name).isNotNull()
         out = out.where(cond)
-    return out.drop(*[f"_ok{i}" for i in range(len(checks))])
+    return out.drop("_complete")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.columns import epoch_ms_from_ntz, floor_to
+from ..sources.files import spread
 
 # Times of the synthetic tables are rounded to the nearest millisecond, the
 # rule the oracle warehouse applies when it reads them as epoch milliseconds.
@@ -97,7 +98,7 @@ def events(spark: SparkSession, sf_dir: str, names: str = "live") -> DataFrame:
 
 def topic_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` replayed as topic records (topic, partition, offset, value)."""
-    v = ev(spark, sf_dir)
+    v = spread(ev(spark, sf_dir))
     return v.select(F.lit(EVENTS_TOPIC).alias("topic"), F.lit(EVENTS_PARTITION).alias("partition"),
                     F.col("event_id").alias("offset"), event_json(v).alias("value"))
 
@@ -151,7 +152,7 @@ def _ts_text(c: str) -> Column:
 
 def order_cdc_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``orders`` as change-capture envelopes, one order per envelope."""
-    o = table(spark, sf_dir, "orders")
+    o = spread(table(spark, sf_dir, "orders"))
     status = F.when(F.col("o_orderstatus") == "O", 0).when(F.col("o_orderstatus") == "F", 1).otherwise(2)
     row = F.struct(F.col("o_orderkey").alias("oid"), _ts_text("o_orderdate").alias("create_time"),
                    F.col("o_totalprice").alias("total_money"), status.alias("status"),
@@ -164,7 +165,7 @@ def order_cdc_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_line_cdc_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``lineitem`` as change-capture envelopes, one line per envelope."""
-    li = table(spark, sf_dir, "lineitem")
+    li = spread(table(spark, sf_dir, "lineitem"))
     row = F.struct(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
         F.col("l_orderkey").alias("order_id"), (F.col("l_partkey") % 50).cast("int").alias("category_id"),
