@@ -1,0 +1,36 @@
+"""Small model-shaped inputs for hand-worked cases."""
+
+from pyspark.sql import functions as F
+
+EVENT_DDL = ("record_id string, seq long, ts_ms long, event_name string, device_id string, "
+             "device_type string, release_channel string, os_name string, province string, "
+             "is_new int, is_n int, properties map<string,string>")
+
+# A base time that is a multiple of every window size used in the cases.
+BASE = 1_700_000_000_000
+
+
+def events(spark, rows):
+    """rows: dicts with any of the model columns; missing ones are NULL / defaults."""
+    full = []
+    for i, r in enumerate(rows):
+        full.append((r.get("record_id", f"t-0-{i}"), r.get("seq", i), r.get("ts_ms", BASE + i),
+                     r.get("event_name"), r.get("device_id"), r.get("device_type"),
+                     r.get("release_channel"), r.get("os_name"), r.get("province"),
+                     r.get("is_new", 0), r.get("is_n", 0), r.get("properties", {})))
+    return spark.createDataFrame(full, EVENT_DDL)
+
+
+def lines(spark, values):
+    return spark.createDataFrame([(v,) for v in values], "value string")
+
+
+def sorted_rows(df, *cols):
+    return [tuple(r) for r in df.select(*cols).orderBy(*cols).collect()]
+
+
+def col_list(df, c, order):
+    return [r[0] for r in df.orderBy(order).select(c).collect()]
+
+
+__all__ = ["events", "lines", "sorted_rows", "col_list", "BASE", "F"]
