@@ -96,20 +96,21 @@ def events(spark: SparkSession, sf_dir: str, names: str = "live") -> DataFrame:
         props.alias("properties"), *flat, F.col("gift_id").cast("string").alias("gift_id"))
 
 
-def topic_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def topic_records(spark: SparkSession, sf_dir: str, names: str = "live") -> DataFrame:
     """``events`` replayed as topic records (topic, partition, offset, value)."""
     v = spread(ev(spark, sf_dir))
     return v.select(F.lit(EVENTS_TOPIC).alias("topic"), F.lit(EVENTS_PARTITION).alias("partition"),
-                    F.col("event_id").alias("offset"), event_json(v).alias("value"))
+                    F.col("event_id").alias("offset"), event_json(v, names).alias("value"))
 
 
-def event_json(v: DataFrame) -> Column:
+def event_json(v: DataFrame, names: str = "live") -> Column:
     """One ``ev`` row as the JSON line the app produces (wire field names)."""
+    name = "event_name" if names == "live" else "product_event"
     props = F.struct(F.col("anchor_id"), F.col("room_id"), F.col("live_session"),
                      F.col("category_id"), F.col("product_id"), F.col("gift_id"))
     return F.to_json(F.struct(
         F.col("event_id").cast("string").alias("id"), F.col("device_id").alias("deviceId"),
-        F.col("device_type").alias("deviceType"), F.col("event_name").alias("eventId"),
+        F.col("device_type").alias("deviceType"), F.col(name).alias("eventId"),
         F.col("release_channel").alias("releaseChannel"), F.col("os_name").alias("osName"),
         F.col("province").alias("province"), F.col("ts_ms").alias("timestamp"),
         F.col("is_new").cast("int").alias("isNew"), props.alias("properties")))
