@@ -129,3 +129,9 @@ def partitioned_files(df: DataFrame, path: str, checkpoint: str, parts=("date",
     each batch)."""
     return (df.writeStream.format(fmt).option("path", path).option("checkpointLocation", checkpoint)
             .partitionBy(*parts).outputMode("append"))
+
+
+def read_partitioned(spark, path: str, schema, fmt: str = "parquet") -> DataFrame:
+    """Read a K5 landing back with its own schema, so the string partition
+    values (``20240101``, ``00``) are not re-typed as numbers by discovery."""
+    return spark.read.schema(schema).format(fmt).load(path)

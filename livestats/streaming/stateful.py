@@ -101,17 +101,26 @@ FIRST_OUT = T.StructType([
 
 
 class FirstSeenProcessor(StatefulProcessor):
-    """Keyed by device.  State: one boolean.  Flags the first event ever."""
+    """Keyed by device.  State: one boolean.  Flags the first event ever.
+
+    ``carry`` columns of the input ride along to the output, so the flag
+    never has to be joined back to the events.
+    """
+
+    def __init__(self, carry: tuple[str, ...] = ()):
+        self.carry = tuple(carry)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.seen = handle.getValueState("seen", T.StructType([T.StructField("v", T.BooleanType())]))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        device = key[0]
-        evs = sorted(((r["ts_ms"], r["seq"], r["record_id"]) for r in rows))
+        device = key[-1]
+        evs = sorted(((r["ts_ms"], r["seq"], r["record_id"], tuple(r[c] for c in self.carry)) for r in rows),
+                     key=lambda e: (e[0], e[1]))
         first = not self.seen.exists()
-        for ts, _seq, rid in evs:
-            yield Row(record_id=rid, device_id=device, ts_ms=ts, is_n=1 if first else 0)
+        names = ("record_id", "device_id", "ts_ms", "is_n") + self.carry
+        for ts, _seq, rid, extra in evs:
+            yield Row(**dict(zip(names, (rid, device, ts, 1 if first else 0) + extra)))
             first = False
         self.seen.update((True,))
 
@@ -119,10 +128,16 @@ class FirstSeenProcessor(StatefulProcessor):
         pass
 
 
-def first_seen_stream(events: DataFrame, key: str = "device_id") -> DataFrame:
-    """D2 on a stream: every event with ``is_n`` = 1 for its device's first."""
-    src = events.select("record_id", F.col(key).alias("device_id"), "ts_ms", "seq")
-    return src.groupBy("device_id").transformWithState(FirstSeenProcessor(), FIRST_OUT, "Append", "None")
+def first_seen_stream(events: DataFrame, keys=("device_id",), carry: tuple[str, ...] = ()) -> DataFrame:
+    """D2 (keys = device) or D1 (keys = device type, device) on a stream:
+    every event with ``is_n`` = 1 for its key's first event, plus ``carry``."""
+    keys = list(keys)
+    carry = tuple(c for c in carry if c not in ("record_id", "device_id", "ts_ms", "is_n"))
+    src = events.select("record_id", *keys, "ts_ms", "seq", *[c for c in carry if c not in keys])
+    if keys[-1] != "device_id":
+        src = src.withColumn("device_id", F.col(keys[-1]))
+    out = T.StructType(FIRST_OUT.fields + [src.schema[c] for c in carry])
+    return src.groupBy(*keys).transformWithState(FirstSeenProcessor(carry), out, "Append", "None")
 
 
 # ---- D3: bounded-memory approximate first-seen (Bloom filter per bucket) ---------
