@@ -14,14 +14,27 @@ def col(c: str | Column) -> Column:
 
 # ---- time -----------------------------------------------------------------
 
+# Session zones in which a cast TIMESTAMP_NTZ -> TIMESTAMP is the identity.
+_UTC_ZONES = {"UTC", "Etc/UTC", "GMT", "Etc/GMT", "Z", "+00:00", "UCT", "Universal", "Zulu", "Etc/Universal"}
+
+
+def _session_is_utc() -> bool:
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
+    return spark is not None and spark.conf.get("spark.sql.session.timeZone") in _UTC_ZONES
+
+
 def epoch_us_from_ntz(c: str | Column) -> Column:
     """Epoch microseconds of a TIMESTAMP_NTZ column read as UTC wall time.
 
-    Built from the zone-free date and time fields, so the result never
-    depends on the session zone (a cast to TIMESTAMP would shift it by the
-    session zone's offset, DST included).
+    In a UTC session (the library's default) this is a plain cast.  In any
+    other zone the value is built from the zone-free date and time fields,
+    since a cast to TIMESTAMP would shift it by the zone's offset (DST
+    included); that form costs about three times as much per row.
     """
     t = col(c)
+    if _session_is_utc():
+        return F.unix_micros(t.cast("timestamp"))
     days = F.datediff(F.to_date(t), F.lit("1970-01-01").cast("date")).cast("long")
     secs = F.date_part(F.lit("SECOND"), t)  # decimal(8,6): seconds with fraction
     return (days * F.lit(86_400_000_000) + F.hour(t).cast("long") * F.lit(3_600_000_000)

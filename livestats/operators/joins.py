@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
 from .windows import tumbling_start
 
 # Largest side that is ever broadcast without a further check (rows).  The
@@ -23,6 +24,18 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     return F.broadcast(df) if n <= max_rows else df
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute a small derived table once and cut its lineage.
+
+    Uses a reliable ``checkpoint`` into the shared folder named by
+    ``spark.checkpoint.dir`` (survives executor loss), so that a later size
+    check and the main query both read the stored rows instead of
+    recomputing them from the big input.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def window_left_join(left: DataFrame, right: DataFrame, key: tuple[str, str], size_ms: int,
                      left_time: str = "ts_ms", right_time: str = "ts_ms",
                      window_col: str = "_w") -> DataFrame:

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import broadcast_if_small, window_left_join
+from .joins import broadcast_if_small, materialize, window_left_join
 from .windows import tumbling_start
 
 # The job's window (10 s) and watermark delay (0).
@@ -36,7 +36,8 @@ def flag_late(lines: DataFrame, size_ms: int = WINDOW_MS, batch_col: str = "batc
     per_batch = lines.groupBy(batch_col).agg(F.max("ts_ms").alias("_mx"))
     earlier = Window.orderBy(batch_col).rowsBetween(Window.unboundedPreceding, -1)
     marks = per_batch.select(batch_col, (F.max("_mx").over(earlier) - F.lit(int(delay_ms))).alias("_wm"))
-    marks = broadcast_if_small(marks, MAX_BATCHES)
+    # one row per arrival batch: computed once, then broadcast after the check
+    marks = broadcast_if_small(materialize(marks), MAX_BATCHES)
     end = tumbling_start("ts_ms", size_ms) + F.lit(int(size_ms))
     return (lines.join(marks, batch_col)
                  .withColumn(out, F.coalesce(end <= F.col("_wm"), F.lit(False))).drop("_wm"))

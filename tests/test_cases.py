@@ -145,3 +145,26 @@ def test_groupon_cases(spark):
     assert _groupon(spark, 1000) == [("u1646", "p201", "o1002", "1", "phone", "101", 2000.0),
                                      ("u1647", "p202", "o1003", "1", "phone", "101", 3000.0)]
     assert _groupon(spark, 5001)[0] == ("u1646", "p201", "o1002", None, None, "101", 2000.0)
+
+
+def test_epoch_ms_independent_of_session_zone(spark):
+    from livestats.functions.columns import epoch_ms_from_ntz
+    df = spark.createDataFrame([("2024-07-01 10:20:30.123500",), ("1969-12-31 23:59:59.999500",)], "s string") \
+              .select(F.col("s").cast("timestamp_ntz").alias("ts"))
+    want = [1719829230124, -1]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/Los_Angeles", "Asia/Shanghai"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            got = [r[0] for r in df.select(epoch_ms_from_ntz("ts", "nearest")).collect()]
+            assert got == want, zone
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_launch_hour_in_zone(spark):
+    from livestats.functions.columns import date_part, hour_part
+    df = spark.createDataFrame([(1704067200000,)], "ms long")  # 2024-01-01 00:00 UTC
+    r = df.select(date_part("ms").alias("d"), hour_part("ms").alias("h"),
+                  date_part("ms", "Asia/Shanghai").alias("d8"), hour_part("ms", "Asia/Shanghai").alias("h8")).first()
+    assert tuple(r) == ("20240101", "00", "20240101", "08")
