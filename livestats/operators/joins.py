@@ -17,10 +17,13 @@ BROADCAST_MAX_ROWS = 1_000_000
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Hint ``broadcast`` only after proving the side has at most ``max_rows`` rows.
 
-    The check reads at most ``max_rows + 1`` rows.  Above the bound no hint is
-    given and the planner (with AQE) keeps a shuffle join.
+    The proof is a distributed ``count()``: partial counts per task, one row
+    per task to the final count, no columns read beyond what the plan needs.
+    (``limit(n).count()`` would gather up to n rows from every task into a
+    single task.)  Above the bound no hint is given and the planner, with
+    AQE, keeps a shuffle join.
     """
-    n = df.limit(max_rows + 1).count()
+    n = df.count()
     return F.broadcast(df) if n <= max_rows else df
 
 

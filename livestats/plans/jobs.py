@@ -133,6 +133,25 @@ def gift_count(spark, source, snapshot: DataFrame, totals_sink: Sink = "console"
             _start(gifts.count_by_gift(enriched), "gift_by_name", by_name_sink, "update", checkpoint_root, trigger)]
 
 
+def gift_count_refreshing(spark, source, snapshot, landing_path: str, totals_sink: Sink = "console",
+                          by_name_sink: Sink = "console", checkpoint_root=None, trigger=None):
+    """Gift job with the dimension re-polled during the stream (S3 + J1):
+    stage 1 enriches each micro-batch against a freshly merged snapshot and
+    lands the rows (A12); stage 2 keeps the running totals (A8, A9) over the
+    landing.  ``snapshot`` is a ``sources.dimension.DimensionSnapshot``.
+    Returns the stage-1 query and a function starting stage 2."""
+    from ..operators import gifts
+    from ..streaming.enrich import RefreshingEnricher, enriched_stream
+    q1 = _start(event_stream(spark, source), "gift_enrich", RefreshingEnricher(snapshot, landing_path), "append",
+                checkpoint_root, trigger)
+
+    def start_totals():
+        e = enriched_stream(spark, landing_path)
+        return [_start(gifts.gift_totals(e), "gift_totals", totals_sink, "update", checkpoint_root, trigger),
+                _start(gifts.count_by_gift(e), "gift_by_name", by_name_sink, "update", checkpoint_root, trigger)]
+    return q1, start_totals
+
+
 # ---- products ------------------------------------------------------------------------
 
 def hot_goods(spark, source, write: Callable[[DataFrame, int], None], size_ms: int = 600_000,

@@ -105,3 +105,20 @@ def test_filter_topic_job(spark, tmp_dir):
     got = spark.table("filter_topic")
     want = td.topic_records(spark, SF_SMALL).where(~F.col("value").contains("error"))
     assert got.count() == want.count() and got.where("key IS NULL").count() == 0
+
+
+def test_gift_count_refreshing_job(spark, tmp_dir):
+    src = _replay(spark, tmp_dir)
+    log = os.path.join(tmp_dir, "gift_log")
+    td.gift_log(spark, SF_SMALL).withColumn("update_time", F.timestamp_seconds("seq")).write.parquet(log)
+    snap = dimension.DimensionSnapshot(spark, dimension.table_changes(log), os.path.join(tmp_dir, "snap"))
+    landing = os.path.join(tmp_dir, "enriched")
+    q1, start_totals = jobs.gift_count_refreshing(spark, src, snap, landing, "memory", "memory",
+                                                  checkpoint_root=os.path.join(tmp_dir, "ck"), trigger=ONCE)
+    _wait(q1)
+    _wait(start_totals())
+    got = spark.table("gift_totals").groupBy("anchor_id", "room_id") \
+               .agg(F.max("amount").alias("amount"), F.max("points").alias("points"))
+    want = gifts.gift_totals(gifts.enrich(gifts.rewards(td.events(spark, SF_SMALL)),
+                                          gifts.gift_snapshot(td.gift_log(spark, SF_SMALL))))
+    assert sorted(got.collect()) == sorted(want.select("anchor_id", "room_id", "amount", "points").collect())
