@@ -1,0 +1,102 @@
+"""Layer 4: operators equal a brute-force Python model on random small inputs."""
+
+from collections import defaultdict
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from livestats import schemas
+from livestats.operators import audience, orders, products, users
+
+from .helpers import BASE, events
+
+SETTINGS = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+
+E, L = schemas.LIVE_ENTER, schemas.LIVE_LEAVE
+live_rows = st.lists(st.tuples(st.sampled_from([E, L]), st.integers(0, 400_000), st.sampled_from(["r1", "r2"]),
+                               st.sampled_from(["s1", "s2", "s3"])), min_size=1, max_size=40)
+
+
+def _live(spark, rows):
+    ev = events(spark, [dict(event_name=n, ts_ms=BASE + t, seq=i,
+                             properties={"anchor_id": "a", "room_id": r, "live_session": s})
+                        for i, (n, t, r, s) in enumerate(rows)])
+    return audience.live_events(ev)
+
+
+@SETTINGS
+@given(rows=live_rows, bucket=st.sampled_from([1_000, 60_000, 10**9]))
+def test_running_audience_matches_model(spark, rows, bucket):
+    got = {r.record_id: (r.total_audience, r.online_audience)
+           for r in audience.running_audience(_live(spark, rows), bucket_ms=bucket).collect()}
+    order = sorted(range(len(rows)), key=lambda i: (rows[i][1], i))
+    tot, onl, want = defaultdict(int), defaultdict(int), {}
+    for i in order:
+        n, _t, room, _s = rows[i]
+        tot[room] += n == E
+        onl[room] += 1 if n == E else -1
+        want[f"t-0-{i}"] = (tot[room], onl[room])
+    assert got == want
+
+
+@SETTINGS
+@given(rows=live_rows, stay=st.sampled_from([1, 30_000, 60_000]), bucket=st.sampled_from([5_000, 10**9]))
+def test_effective_audience_matches_model(spark, rows, stay, bucket):
+    got = {r.room_id: (r.effective_audience, r.online_audience)
+           for r in audience.effective_audience(_live(spark, rows), stay, bucket).collect()}
+    by_session = defaultdict(list)
+    for i, (n, t, room, s) in enumerate(rows):
+        by_session[(room, s)].append((t, i, n))
+    eff, onl = defaultdict(int), defaultdict(int)
+    for (room, _s), evs in by_session.items():
+        evs.sort()
+        for j, (t, _i, n) in enumerate(evs):
+            onl[room] += 1 if n == E else -1
+            nxt = evs[j + 1][0] if j + 1 < len(evs) else None
+            if n == E and (nxt is None or nxt - t >= stay):
+                eff[room] += 1
+    assert got == {r: (eff[r], onl[r]) for r in onl}
+
+
+@SETTINGS
+@given(devs=st.lists(st.tuples(st.sampled_from(["d1", "d2", "d3"]), st.sampled_from(["t1", "t2"]),
+                               st.integers(0, 5)), min_size=1, max_size=30))
+def test_first_seen_matches_model(spark, devs):
+    ev = events(spark, [dict(device_id=d, device_type=ty, ts_ms=BASE + t, seq=i) for i, (d, ty, t) in enumerate(devs)])
+    for keys in (("device_id",), ("device_type", "device_id")):
+        got = {r.record_id: r.is_n for r in users.first_seen(ev, keys=keys).collect()}
+        first = {}
+        for i in sorted(range(len(devs)), key=lambda i: (devs[i][2], i)):
+            k = tuple(devs[i][0] if c == "device_id" else devs[i][1] for c in keys)
+            first.setdefault(k, i)
+        assert got == {f"t-0-{i}": int(i in first.values()) for i in range(len(devs))}
+
+
+@SETTINGS
+@given(lines=st.lists(st.tuples(st.integers(0, 100), st.integers(0, 5)), min_size=1, max_size=40))
+def test_flag_late_matches_model(spark, lines):
+    size = 10
+    df = spark.createDataFrame([(i, 1, 0, t, b) for i, (t, b) in enumerate(lines)],
+                               "order_id long, line int, sku long, ts_ms long, batch long")
+    got = {r.order_id: r.is_late for r in orders.flag_late(df, size).collect()}
+    want = {}
+    for i, (t, b) in enumerate(lines):
+        earlier = [tt for tt, bb in lines if bb < b]
+        wm = max(earlier) if earlier else None
+        want[i] = wm is not None and (t // size + 1) * size <= wm
+    assert got == want
+
+
+@SETTINGS
+@given(counts=st.lists(st.tuples(st.sampled_from(["c1", "c2"]), st.integers(1, 9), st.integers(1, 5)),
+                       min_size=1, max_size=25, unique_by=lambda x: (x[0], x[1])))
+def test_top_n_matches_model(spark, counts):
+    df = spark.createDataFrame([(0, 10, c, "e", f"p{p}", n) for c, p, n in counts],
+                               "window_start long, window_end long, category_id string, event_id string, "
+                               "product_id string, cnt long")
+    got = sorted((r.category_id, r.product_id) for r in products.hot_goods(df, 3).collect())
+    want = []
+    for c in {c for c, _p, _n in counts}:
+        rows = sorted(((-n, f"p{p}") for cc, p, n in counts if cc == c))[:3]
+        want += [(c, p) for _n, p in rows]
+    assert got == sorted(want)
