@@ -24,7 +24,26 @@ def _session_is_utc() -> bool:
     return spark is not None and spark.conf.get("spark.sql.session.timeZone") in _UTC_ZONES
 
 
-def epoch_us_from_ntz(c: str | Column) -> Column:
+def epoch_us_sql(c: str) -> str:
+    """SQL of :func:`epoch_us_from_ntz` for a column name."""
+    if _session_is_utc():
+        return f"unix_micros(cast({c} as timestamp))"
+    return (f"(cast(datediff(to_date({c}), DATE'1970-01-01') as bigint) * 86400000000"
+            f" + cast(hour({c}) as bigint) * 3600000000 + cast(minute({c}) as bigint) * 60000000"
+            f" + cast(date_part('SECOND', {c}) * 1000000 as bigint))")
+
+
+def epoch_ms_sql(c: str, rounding: str = "floor") -> str:
+    """SQL of :func:`epoch_ms_from_ntz` for a column name."""
+    us = epoch_us_sql(c)
+    if rounding == "floor":
+        return f"(({us}) - pmod({us}, 1000)) div 1000"
+    if rounding != "nearest":
+        raise ValueError(f"unknown rounding {rounding!r}")
+    return f"CASE WHEN ({us}) < 0 THEN -((abs({us}) + 500) div 1000) ELSE (({us}) + 500) div 1000 END"
+
+
+def epoch_us_from_ntz(c: str) -> Column:
     """Epoch microseconds of a TIMESTAMP_NTZ column read as UTC wall time.
 
     In a UTC session (the library's default) this is a plain cast.  In any
@@ -32,30 +51,17 @@ def epoch_us_from_ntz(c: str | Column) -> Column:
     since a cast to TIMESTAMP would shift it by the zone's offset (DST
     included); that form costs about three times as much per row.
     """
-    t = col(c)
-    if _session_is_utc():
-        return F.unix_micros(t.cast("timestamp"))
-    days = F.datediff(F.to_date(t), F.lit("1970-01-01").cast("date")).cast("long")
-    secs = F.date_part(F.lit("SECOND"), t)  # decimal(8,6): seconds with fraction
-    return (days * F.lit(86_400_000_000) + F.hour(t).cast("long") * F.lit(3_600_000_000)
-            + F.minute(t).cast("long") * F.lit(60_000_000) + (secs * F.lit(1_000_000)).cast("long"))
+    return F.expr(epoch_us_sql(c))
 
 
-def epoch_ms_from_ntz(c: str | Column, rounding: str = "floor") -> Column:
+def epoch_ms_from_ntz(c: str, rounding: str = "floor") -> Column:
     """Epoch milliseconds of a TIMESTAMP_NTZ column read as UTC wall time.
 
     ``rounding="floor"`` drops the sub-millisecond digits; ``"nearest"``
     rounds half away from zero (the rule of the warehouse the feeds are
     checked against).  Exact integer arithmetic either way.
     """
-    us = epoch_us_from_ntz(c)
-    if rounding == "floor":
-        return ((us - F.pmod(us, F.lit(1000))) / F.lit(1000)).cast("long")
-    if rounding != "nearest":
-        raise ValueError(f"unknown rounding {rounding!r}")
-    a = F.abs(us) + F.lit(500)
-    ms = ((a - F.pmod(a, F.lit(1000))) / F.lit(1000)).cast("long")
-    return F.when(us < 0, -ms).otherwise(ms)
+    return F.expr(epoch_ms_sql(c, rounding))
 
 
 def event_time(ms: str | Column = "ts_ms") -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.columns import epoch_ms_from_ntz, floor_to
+from ..functions.columns import epoch_ms_from_ntz, epoch_ms_sql, floor_to
 from ..sources.files import spread
 
 # Times of the synthetic tables are rounded to the nearest millisecond, the
@@ -31,44 +31,60 @@ LIVE_NAMES = {"signup": "appLaunch", "view": "liveEnter", "click": "liveLeave",
 PRODUCT_TYPES = ("view", "click", "purchase")
 
 
+_TABLES: dict = {}
+
+
+def _s(prefix: str, c: Column) -> Column:
+    return F.concat(F.lit(prefix), c.cast("string"))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table of the synthetic set; the handle (not the data) is reused
+    within a session, so the file listing and footer read happen once."""
+    key = (id(spark), sf_dir, name)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _TABLES[key]
 
 
-def _k() -> Column:
-    return F.regexp_extract("props", r'"k": *([0-9]+)', 1).try_cast("int")
+def _live_case() -> str:
+    arms = " ".join(f"WHEN '{t}' THEN '{n}'" for t, n in LIVE_NAMES.items())
+    return f"CASE event_type {arms} ELSE event_type END"
 
 
-def _s(prefix: str, c: Column) -> Column:
-    return F.concat(F.lit(prefix), c.cast("string"))
+def _product_case() -> str:
+    types = ", ".join(f"'{t}'" for t in PRODUCT_TYPES)
+    return f"CASE WHEN event_type IN ({types}) THEN concat('product_', event_type) ELSE event_type END"
 
 
 def ev(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The flat ``ev`` view of FIXTURES.md (one row per event)."""
-    e = table(spark, sf_dir, "events").withColumn("k", _k())
-    user, k, et = F.col("user_id"), F.col("k"), F.col("event_type")
-    live = F.coalesce(*[F.when(et == F.lit(t), F.lit(n)) for t, n in LIVE_NAMES.items()], et)
-    product = F.when(et.isin(list(PRODUCT_TYPES)), F.concat(F.lit("product_"), et)).otherwise(et)
-    return e.select(
+    """The flat ``ev`` view of FIXTURES.md (one row per event).
+
+    Written as SQL expressions: one call per column instead of one per
+    function, which keeps plan construction cheap.
+    """
+    e = table(spark, sf_dir, "events").selectExpr(
+        "*", """try_cast(regexp_extract(props, '"k": *([0-9]+)', 1) AS INT) AS k""")
+    return e.selectExpr(
         "event_id",
-        F.concat(F.lit(f"{EVENTS_TOPIC}-{EVENTS_PARTITION}-"), F.col("event_id").cast("string")).alias("record_id"),
-        epoch_ms_from_ntz("ts", NEAREST).alias("ts_ms"),
-        _s("d", user).alias("device_id"),
-        _s("type", user % 4).alias("device_type"),
+        f"concat('{EVENTS_TOPIC}-{EVENTS_PARTITION}-', cast(event_id AS STRING)) AS record_id",
+        f"{epoch_ms_sql('ts', NEAREST)} AS ts_ms",
+        "concat('d', cast(user_id AS STRING)) AS device_id",
+        "concat('type', cast(user_id % 4 AS STRING)) AS device_type",
         "event_type",
-        live.alias("event_name"),
-        product.alias("product_event"),
+        f"{_live_case()} AS event_name",
+        f"{_product_case()} AS product_event",
         "k",
-        _s("ch", k % 5).alias("release_channel"),
-        _s("a", k % 10).alias("anchor_id"),
-        _s("r", k % 20).alias("room_id"),
-        _s("s", user).alias("live_session"),
-        _s("c", k % 7).alias("category_id"),
-        _s("p", k).alias("product_id"),
-        k.alias("gift_id"),
-        (F.col("event_id") % 2).alias("is_new"),
-        _s("os", user % 2).alias("os_name"),
-        _s("prov", user % 6).alias("province"),
+        "concat('ch', cast(k % 5 AS STRING)) AS release_channel",
+        "concat('a', cast(k % 10 AS STRING)) AS anchor_id",
+        "concat('r', cast(k % 20 AS STRING)) AS room_id",
+        "concat('s', cast(user_id AS STRING)) AS live_session",
+        "concat('c', cast(k % 7 AS STRING)) AS category_id",
+        "concat('p', cast(k AS STRING)) AS product_id",
+        "k AS gift_id",
+        "event_id % 2 AS is_new",
+        "concat('os', cast(user_id % 2 AS STRING)) AS os_name",
+        "concat('prov', cast(user_id % 6 AS STRING)) AS province",
     )
 
 
@@ -81,19 +97,15 @@ def events(spark: SparkSession, sf_dir: str, names: str = "live") -> DataFrame:
     columns, which the operators prefer (see ``functions.columns.prop``), so
     that the map is pruned from the plan.
     """
-    v = ev(spark, sf_dir)
-    props = F.create_map(
-        F.lit("anchor_id"), F.col("anchor_id"), F.lit("room_id"), F.col("room_id"),
-        F.lit("live_session"), F.col("live_session"), F.lit("category_id"), F.col("category_id"),
-        F.lit("product_id"), F.col("product_id"), F.lit("gift_id"), F.col("gift_id").cast("string"))
     name = "event_name" if names == "live" else "product_event"
-    flat = [F.col(c) for c in ("anchor_id", "room_id", "live_session", "category_id", "product_id")]
-    return v.select(
-        "record_id", F.col("event_id").alias("seq"), F.col("event_id").cast("string").alias("id"),
-        "ts_ms", "device_id", "device_type", F.col(name).alias("event_name"),
-        "release_channel", "os_name", "province",
-        F.col("is_new").cast("int").alias("is_new"), F.lit(0).alias("is_n"),
-        props.alias("properties"), *flat, F.col("gift_id").cast("string").alias("gift_id"))
+    keys = ("anchor_id", "room_id", "live_session", "category_id", "product_id")
+    pairs = ", ".join(f"'{k}', {k}" for k in keys)
+    return ev(spark, sf_dir).selectExpr(
+        "record_id", "event_id AS seq", "cast(event_id AS STRING) AS id", "ts_ms", "device_id", "device_type",
+        f"{name} AS event_name", "release_channel", "os_name", "province",
+        "cast(is_new AS INT) AS is_new", "0 AS is_n",
+        f"map({pairs}, 'gift_id', cast(gift_id AS STRING)) AS properties",
+        *keys, "cast(gift_id AS STRING) AS gift_id")
 
 
 def topic_records(spark: SparkSession, sf_dir: str, names: str = "live") -> DataFrame:
