@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .joins import broadcast_if_small, materialize, window_left_join
 from .windows import tumbling_start
@@ -51,12 +52,18 @@ def null_header(late: DataFrame, header_schema) -> DataFrame:
     return out
 
 
-def rescue(joined: DataFrame, late: DataFrame, snapshot: DataFrame,
+def rescue(joined: DataFrame | None, late: DataFrame, snapshot: DataFrame,
            header_cols=("total_money", "status")) -> DataFrame:
-    """U1 + J4 (stream form): union the joined lines with the late ones (NULL
-    header), then look up every missing header in the order snapshot."""
-    late_h = null_header(late, [joined.schema[c] for c in header_cols])
-    u = joined.unionByName(late_h, allowMissingColumns=True)
+    """U1 + J4 (stream form): union the joined lines with the late ones (M6:
+    NULL header), then look up every missing header in the order snapshot.
+
+    ``joined`` may be ``None`` when the joined lines go to the same sink from
+    another query (the union then happens in the sink).
+    """
+    types = {f.name: f.dataType for f in snapshot.schema if f.name in header_cols}
+    u = null_header(late, [T.StructField(c, types[c]) for c in header_cols])
+    if joined is not None:
+        u = joined.unionByName(u, allowMissingColumns=True)
     s = snapshot.select(F.col("order_id").alias("_sid"), *[F.col(c).alias(f"_s_{c}") for c in header_cols])
     j = u.join(s, u["order_id"] == s["_sid"], "left")
     return j.select(*[c for c in u.columns if c not in header_cols],

@@ -167,30 +167,58 @@ ORDER_COLS = ["order_id", "line", "sku", "ts_ms"]
 
 
 def order_count(spark, lines: DataFrame, headers: DataFrame, snapshot: DataFrame, joined_sink: Sink,
-                rescued_write: Callable[[DataFrame, int], None], size_ms: int = orders.WINDOW_MS,
-                checkpoint_root=None, trigger=None):
+                rescued_write: Callable[[DataFrame, int], None], on_time_path: str | None = None,
+                size_ms: int = orders.WINDOW_MS, checkpoint_root=None, trigger=None):
     """Order lines joined to headers in windows (J2), late lines split off
     (W7), given an empty header (M6) and looked up in the snapshot (J4).
 
+    One watermark decides: the splitter flags every line against the
+    watermark before its micro-batch.  Late lines are rescued at once; on-time
+    lines land (per batch id, overwritten on retry) in ``on_time_path``, and
+    the windowed stream-stream join reads them from there.  So each line takes
+    exactly one of the two paths (Spark's join alone may still match a line
+    behind its watermark while the header is in state).
+
     ``lines``/``headers`` are parsed streams with ``order_id`` and ``ts_ms``.
+    Returns the splitter query and the join query.
     """
-    j = streams.order_join_stream(lines, headers, size_ms)
-    q1 = _start(j, "order_join", joined_sink, "append", checkpoint_root, trigger)
-    root = checkpoint_root or checkpoint_location(spark, "")
+    root = (checkpoint_root or checkpoint_location(spark, "")).rstrip("/")
+    on_time_path = (on_time_path or f"{root}/order_lines_on_time").rstrip("/")
+    line_schema = lines.select(*ORDER_COLS).schema
 
     def rescue(late_df: DataFrame, batch_id: int) -> None:
-        rescued_write(orders.rescue(late_df.limit(0).select(*ORDER_COLS, F.lit(None).cast("double").alias("total_money"),
-                                                            F.lit(None).cast("string").alias("status")),
-                                    late_df.select(*ORDER_COLS), snapshot), batch_id)
-
-    splitter = late.LateSplitter(f"{root.rstrip('/')}/order_marks", size_ms, on_late=rescue)
-    q2 = _start(lines.select(*ORDER_COLS), "late_orders", splitter, "append", checkpoint_root, trigger)
+        rescued_write(orders.rescue(None, late_df.select(*ORDER_COLS), snapshot), batch_id)
+
+    def land(on_time_df: DataFrame, batch_id: int) -> None:
+        on_time_df.select(*ORDER_COLS).write.mode("overwrite").parquet(f"{on_time_path}/batch_id={batch_id}")
+
+    splitter = late.LateSplitter(f"{root}/order_marks", size_ms, on_late=rescue, on_time=land)
+    q1 = _start(lines.select(*ORDER_COLS), "late_orders", splitter, "append", checkpoint_root, trigger)
+    if trigger and trigger.get("availableNow"):
+        q1.awaitTermination()  # a one-shot run: let the join see every landed line
+    # make sure the landing folder exists (through Spark, so shared storage works)
+    spark.createDataFrame([], line_schema).write.mode("append").parquet(f"{on_time_path}/batch_id=-1")
+    on_time = spark.readStream.schema(line_schema.add("batch_id", "long")).parquet(on_time_path).drop("batch_id")
+    j = streams.order_join_stream(on_time, headers, size_ms)
+    q2 = _start(j, "order_join", joined_sink, "append", checkpoint_root, trigger)
     return [q1, q2]
 
 
-def cdc_stream(spark, source, row_schema) -> DataFrame:
+def cdc_stream(spark, source, row_schema, max_files_per_trigger: int | None = None) -> DataFrame:
     """P3/P4 on a stream of change-capture records."""
-    return parse.parse_cdc(records(spark, source), row_schema, keep=("record_id",))
+    return parse.parse_cdc(records(spark, source, max_files_per_trigger), row_schema, keep=("record_id",))
+
+
+def order_streams(spark, headers_source, lines_source,
+                  max_files_per_trigger: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Order headers and lines from their change-capture topics, in the
+    shape ``order_count`` takes; event time is the row's update time."""
+    h = cdc_stream(spark, headers_source, schemas.ORDER_HEADER, max_files_per_trigger).select(
+        F.col("oid").alias("order_id"), F.unix_millis("update_time").alias("ts_ms"), "total_money",
+        F.col("status").cast("string").alias("status"))
+    li = cdc_stream(spark, lines_source, schemas.ORDER_LINE, max_files_per_trigger).select(
+        "order_id", F.col("id").alias("line"), "sku", F.unix_millis("update_time").alias("ts_ms"))
+    return h, li
 
 
 # ---- group-buying ---------------------------------------------------------------------------------

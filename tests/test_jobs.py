@@ -122,3 +122,48 @@ def test_gift_count_refreshing_job(spark, tmp_dir):
     want = gifts.gift_totals(gifts.enrich(gifts.rewards(td.events(spark, SF_SMALL)),
                                           gifts.gift_snapshot(td.gift_log(spark, SF_SMALL))))
     assert sorted(got.collect()) == sorted(want.select("anchor_id", "room_id", "amount", "points").collect())
+
+
+def test_order_count_job(spark, tmp_dir):
+    """CDC topics -> windowed join (J2) + late lines rescued from the snapshot."""
+    import json
+    base = 1_700_000_000_000
+
+    def ts(ms):
+        import datetime
+        return datetime.datetime.fromtimestamp(ms / 1000, datetime.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+
+    def env(kind, rows):
+        return json.dumps({"type": kind, "data": rows})
+
+    hs, ls = os.path.join(tmp_dir, "h"), os.path.join(tmp_dir, "l")
+    schema = "topic string, partition int, offset long, value string"
+
+    def put(path, values, start):
+        spark.createDataFrame([("t", 0, start + i, v) for i, v in enumerate(values)], schema) \
+             .coalesce(1).write.mode("append").parquet(path)
+        time.sleep(0.05)
+
+    head = lambda oid, ms, money: {"oid": oid, "total_money": money, "status": 1, "update_time": ts(ms)}
+    line = lambda i, oid, ms: {"id": i, "order_id": oid, "sku": 100 + i, "update_time": ts(ms)}
+    # batch 1: order 1 with its line; batch 2: far later, closes the first window;
+    # batch 3: a line of order 1 whose window has closed -> late, rescued from the snapshot
+    put(hs, [env("INSERT", [head(1, base + 1_000, 10.0)])], 0)
+    put(ls, [env("INSERT", [line(1, 1, base + 2_000)])], 0)
+    put(hs, [env("INSERT", [head(2, base + 60_000, 20.0)])], 1)
+    put(ls, [env("INSERT", [line(2, 2, base + 61_000)])], 1)
+    put(ls, [env("UPDATE", [line(3, 1, base + 3_000)])], 2)
+    put(hs, [env("INSERT", [head(9, base + 10**7, 0.0)])], 2)
+    put(ls, [env("INSERT", [line(9, 9, base + 10**7)])], 3)
+    headers, lines = jobs.order_streams(spark, hs, ls, max_files_per_trigger=1)
+    snapshot = spark.createDataFrame([(1, 10.0, "1"), (2, 20.0, "1")], "order_id long, total_money double, status string")
+    out = os.path.join(tmp_dir, "rescued")
+    qs = jobs.order_count(spark, lines, headers, snapshot, "memory",
+                          lambda df, bid: df.write.mode("append").parquet(out), size_ms=10_000,
+                          checkpoint_root=os.path.join(tmp_dir, "ck"), trigger={"availableNow": True})
+    _wait(qs)
+    joined = sorted((r.order_id, r.line, r.total_money) for r in spark.table("order_join").where("order_id < 9").collect())
+    rescued = sorted((r.order_id, r.line, r.total_money) for r in spark.read.parquet(out).collect())
+    assert (1, 1, 10.0) in joined and (2, 2, 20.0) in joined
+    assert rescued == [(1, 3, 10.0)]
+    assert (1, 3, 10.0) not in joined
