@@ -14,7 +14,7 @@ from .windows import tumbling_start
 BROADCAST_MAX_ROWS = 1_000_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Hint ``broadcast`` only after proving the side has at most ``max_rows`` rows.
 
     The proof is a distributed ``count()``: partial counts per task, one row
@@ -23,8 +23,9 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     single task.)  Above the bound no hint is given and the planner, with
     AQE, keeps a shuffle join.
     """
+    bound = BROADCAST_MAX_ROWS if max_rows is None else max_rows
     n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if n <= bound else df
 
 
 def materialize(df: DataFrame) -> DataFrame:
