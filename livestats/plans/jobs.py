@@ -87,10 +87,12 @@ def first_seen(spark, source, sink: Sink = "console", per_type: bool = False, ap
     bounded-memory approximation (D3)."""
     use_rocksdb(spark)
     ev = event_stream(spark, source)
+    keys = ("device_type", "device_id") if per_type else ("device_id",)
     if approximate:
-        out = stateful.approx_first_seen_stream(ev)
+        cap = stateful.CAPACITY_PER_TYPE if per_type else stateful.CAPACITY_PER_TASK
+        out = stateful.approx_first_seen_stream(ev, capacity=cap, keys=keys)
     else:
-        out = stateful.first_seen_stream(ev, ("device_type", "device_id") if per_type else ("device_id",))
+        out = stateful.first_seen_stream(ev, keys)
     return _start(out, "first_seen", sink, "append", checkpoint_root, trigger)
 
 

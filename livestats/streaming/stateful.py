@@ -19,6 +19,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from .. import schemas
 from ..functions.columns import event_time
+from . import use_rocksdb
 
 # ---- A7: effective audience (stay time) -------------------------------------
 
@@ -87,6 +88,7 @@ def stay_stream(live: DataFrame, stay_ms: int = 60_000, delay: str = "0 seconds"
     """A7 on a stream of live events (anchor_id, room_id, live_session,
     event_id, ts_ms, seq).  Output: settled stays and online deltas; the
     per-room totals are ``sum(effective)``, ``sum(delta)`` downstream."""
+    use_rocksdb(live.sparkSession)  # transformWithState needs the RocksDB state store
     src = live.withColumn("event_time", event_time("ts_ms")).withWatermark("event_time", delay)
     return (src.groupBy("anchor_id", "room_id", "live_session")
                .transformWithState(StayProcessor(stay_ms), STAY_OUT, "Append", "EventTime"))
@@ -131,6 +133,7 @@ class FirstSeenProcessor(StatefulProcessor):
 def first_seen_stream(events: DataFrame, keys=("device_id",), carry: tuple[str, ...] = ()) -> DataFrame:
     """D2 (keys = device) or D1 (keys = device type, device) on a stream:
     every event with ``is_n`` = 1 for its key's first event, plus ``carry``."""
+    use_rocksdb(events.sparkSession)
     keys = list(keys)
     carry = tuple(c for c in carry if c not in ("record_id", "device_id", "ts_ms", "is_n"))
     src = events.select("record_id", *keys, "ts_ms", "seq", *[c for c in carry if c not in keys])
@@ -189,14 +192,25 @@ class BloomProcessor(StatefulProcessor):
         pass
 
 
-def approx_first_seen_stream(events: DataFrame, capacity: int = 500_000, fpp: float = 0.01,
-                             buckets: int = 64, key: str = "device_id") -> DataFrame:
+# Bloom capacities of the two first-seen forms (per device type; per task).
+CAPACITY_PER_TYPE = 2_000_000
+CAPACITY_PER_TASK = 500_000
+
+
+def approx_first_seen_stream(events: DataFrame, capacity: int = CAPACITY_PER_TASK, fpp: float = 0.01,
+                             buckets: int = 64, keys=("device_id",)) -> DataFrame:
     """D3: approximate first-seen with bounded state: ``buckets`` Bloom
-    filters, each sized for ``capacity / buckets`` devices."""
+    filters (per value of the leading keys, e.g. device type, when ``keys``
+    has more than one column), each sized for ``capacity / buckets`` devices.
+    """
+    use_rocksdb(events.sparkSession)
+    keys = list(keys)
+    device = F.col(keys[-1])
+    ident = F.concat_ws("\u0001", *[F.col(k).cast("string") for k in keys])
     bits, hashes = bloom_size(max(1, capacity // buckets), fpp)
-    src = events.select("record_id", F.col(key).alias("device_id"), "ts_ms", "seq",
-                        F.xxhash64(F.col(key)).alias("h1"),
-                        F.xxhash64(F.concat(F.lit("#"), F.col(key))).alias("h2"),
-                        F.pmod(F.hash(F.col(key)), F.lit(buckets)).alias("bucket"))
-    return src.groupBy("bucket").transformWithStateInPandas(
+    src = events.select("record_id", device.alias("device_id"), "ts_ms", "seq", *keys[:-1],
+                        F.xxhash64(ident).alias("h1"),
+                        F.xxhash64(F.concat(F.lit("#"), ident)).alias("h2"),
+                        F.pmod(F.hash(ident), F.lit(buckets)).alias("bucket"))
+    return src.groupBy(*keys[:-1], "bucket").transformWithStateInPandas(
         BloomProcessor(bits, hashes), FIRST_OUT, "Append", "None")

@@ -183,3 +183,15 @@ def test_running_aggregates_update_mode(spark, tmp_dir):
     want = users.new_user_count(users.app_launches(td.events(spark, SF_SMALL)))
     assert spark.table("nu").collect() == want.collect()
     assert schemas.APP_LAUNCH
+
+
+def test_bloom_first_seen_per_type(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "src")
+    _write_files(_records(spark), src, 2, "offset")
+    out = stateful.approx_first_seen_stream(_stream_events(spark, src), capacity=10_000, buckets=2,
+                                            keys=("device_type", "device_id"))
+    _run(out, "bloom_type", checkpointLocation=os.path.join(tmp_dir, "ckpt"))
+    got = spark.table("bloom_type").where("is_n = 1").select("record_id")
+    exact = users.first_seen(td.events(spark, SF_SMALL), keys=("device_type", "device_id")) \
+                 .where("is_n = 1").select("record_id")
+    assert got.subtract(exact).count() == 0 and got.count() == exact.count()
