@@ -13,12 +13,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas, sinks
 from ..functions import parse
 from ..functions.columns import line_without
-from ..operators import audience, orders, users
+from ..operators import audience, gifts, orders, users
 from ..session import checkpoint_location
 from ..sources import files, topic
 from ..streaming import late, stateful, streams, use_rocksdb
@@ -130,7 +131,6 @@ def gift_count(spark, source, snapshot: DataFrame, totals_sink: Sink = "console"
     count per gift name (A9).  ``snapshot`` is re-read at every micro-batch."""
     ev = event_stream(spark, source)
     enriched = streams.gift_enriched(ev, snapshot)
-    from ..operators import gifts
     return [_start(gifts.gift_totals(enriched), "gift_totals", totals_sink, "update", checkpoint_root, trigger),
             _start(gifts.count_by_gift(enriched), "gift_by_name", by_name_sink, "update", checkpoint_root, trigger)]
 
@@ -142,7 +142,6 @@ def gift_count_refreshing(spark, source, snapshot, landing_path: str, totals_sin
     lands the rows (A12); stage 2 keeps the running totals (A8, A9) over the
     landing.  ``snapshot`` is a ``sources.dimension.DimensionSnapshot``.
     Returns the stage-1 query and a function starting stage 2."""
-    from ..operators import gifts
     from ..streaming.enrich import RefreshingEnricher, enriched_stream
     q1 = _start(event_stream(spark, source), "gift_enrich", RefreshingEnricher(snapshot, landing_path), "append",
                 checkpoint_root, trigger)
@@ -200,7 +199,8 @@ def order_count(spark, lines: DataFrame, headers: DataFrame, snapshot: DataFrame
         q1.awaitTermination()  # a one-shot run: let the join see every landed line
     # make sure the landing folder exists (through Spark, so shared storage works)
     spark.createDataFrame([], line_schema).write.mode("append").parquet(f"{on_time_path}/batch_id=-1")
-    on_time = spark.readStream.schema(line_schema.add("batch_id", "long")).parquet(on_time_path).drop("batch_id")
+    landed = T.StructType(line_schema.fields + [T.StructField("batch_id", T.LongType())])
+    on_time = spark.readStream.schema(landed).parquet(on_time_path).drop("batch_id")
     j = streams.order_join_stream(on_time, headers, size_ms)
     q2 = _start(j, "order_join", joined_sink, "append", checkpoint_root, trigger)
     return [q1, q2]

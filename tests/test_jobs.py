@@ -167,3 +167,17 @@ def test_order_count_job(spark, tmp_dir):
     assert (1, 1, 10.0) in joined and (2, 2, 20.0) in joined
     assert rescued == [(1, 3, 10.0)]
     assert (1, 3, 10.0) not in joined
+
+
+def test_demo_jobs(spark, tmp_dir):
+    people, words = os.path.join(tmp_dir, "people"), os.path.join(tmp_dir, "words")
+    spark.createDataFrame([("1,ann,30",), ("2,bob,x",), ("3,cy,41",)], "value string").coalesce(1).write.text(people)
+    spark.createDataFrame([("spark,3",), ("hive,4",), ("spark,5",)], "value string").coalesce(1).write.text(words)
+    out = os.path.join(tmp_dir, "table")
+    _wait(jobs.lines_to_table(spark, people, lambda df, bid: df.write.mode("append").parquet(out),
+                              checkpoint_root=os.path.join(tmp_dir, "ck1"), trigger=ONCE))
+    assert sorted(tuple(r) for r in spark.read.parquet(out).collect()) == [("1", "ann", 30), ("3", "cy", 41)]
+    _wait(jobs.window_sum_with_history(spark, words, "memory", checkpoint_root=os.path.join(tmp_dir, "ck2"),
+                                       trigger=ONCE))
+    hist = {r.key: r.total for r in spark.table("word_history").collect()}
+    assert hist == {"spark": 8, "hive": 4}
