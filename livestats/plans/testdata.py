@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import schemas
 from ..functions.columns import epoch_ms_from_ntz, epoch_ms_sql, floor_to
 from ..sources.files import spread
 

@@ -42,7 +42,8 @@ class LateSplitter:
         prev = self._mark(spark, batch_id - 1) if batch_id > 0 else None
         # one scalar per batch reaches the driver: the batch's max event time
         batch_max = batch_df.agg(F.max(self.time_col)).first()[0]
-        running = max(v for v in (prev, batch_max) if v is not None) if (prev is not None or batch_max is not None) else None
+        seen = [v for v in (prev, batch_max) if v is not None]
+        running = max(seen) if seen else None
         spark.createDataFrame([(running,)], "running_max long").coalesce(1) \
              .write.mode("overwrite").parquet(f"{self.marks_path}/batch={batch_id}")
         end = tumbling_start(self.time_col, self.size_ms) + F.lit(self.size_ms)
