@@ -195,3 +195,51 @@ def test_bloom_first_seen_per_type(spark, tmp_dir):
     exact = users.first_seen(td.events(spark, SF_SMALL), keys=("device_type", "device_id")) \
                  .where("is_n = 1").select("record_id")
     assert got.subtract(exact).count() == 0 and got.count() == exact.count()
+
+
+def test_late_split_survives_restart(spark, tmp_dir):
+    lines = td.order_lines(spark, SF_SMALL)
+    batches = [r[0] for r in lines.select("batch").distinct().orderBy("batch").collect()]
+    src, out = os.path.join(tmp_dir, "src"), os.path.join(tmp_dir, "late")
+    marks, ck = os.path.join(tmp_dir, "marks"), os.path.join(tmp_dir, "ck")
+
+    def run(bs):
+        for b in bs:
+            lines.where(F.col("batch") == b).coalesce(1).write.mode("append").parquet(src)
+            time.sleep(0.05)
+        splitter = late.LateSplitter(marks, 30 * DAY,
+                                     on_late=lambda df, bid: df.write.mode("overwrite").parquet(f"{out}/b={bid}"))
+        stream = spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", 1).parquet(src)
+        q = stream.writeStream.foreachBatch(splitter).option("checkpointLocation", ck) \
+                  .trigger(availableNow=True).start()
+        q.awaitTermination(600)
+
+    half = len(batches) // 2
+    run(batches[:half])
+    run(batches[half:])  # restart: the watermark before the next batch comes from the stored marks
+    got = spark.read.parquet(out).select("order_id", "line")
+    want = orders.flag_late(lines, 30 * DAY).where("is_late").select("order_id", "line")
+    assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_stay_stream_survives_restart(spark, tmp_dir):
+    recs = _records(spark)
+    src, ck, sink = (os.path.join(tmp_dir, x) for x in ("src", "ck", "out"))
+    stay = 3_600_000
+
+    def run():
+        live = audience.live_events(_stream_events(spark, src))
+        q = stateful.stay_stream(live, stay_ms=stay).writeStream.format("parquet").option("path", sink) \
+                    .option("checkpointLocation", ck).trigger(availableNow=True).start()
+        q.awaitTermination(300)
+
+    _write_files(recs.where("offset < 500"), src, 2, "offset")
+    run()
+    _write_files(recs.where("offset >= 500"), src, 2, "offset")
+    _closing_record(spark, 1_800_000_000_000).write.mode("append").parquet(src)
+    _closing_record(spark, 1_800_000_000_001, "liveLeave").write.mode("append").parquet(src)
+    run()
+    got = (spark.read.parquet(sink).where("room_id <> 'r-close'").groupBy("anchor_id", "room_id")
+           .agg(F.sum("effective").alias("e"), F.sum("delta").alias("o")))
+    want = audience.effective_audience(audience.live_events(td.events(spark, SF_SMALL)), stay_ms=stay)
+    assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r) for r in want.collect())
