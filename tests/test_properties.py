@@ -100,3 +100,29 @@ def test_top_n_matches_model(spark, counts):
         rows = sorted(((-n, f"p{p}") for cc, p, n in counts if cc == c))[:3]
         want += [(c, p) for _n, p in rows]
     assert got == sorted(want)
+
+
+_names = st.sampled_from(["appLaunch", "liveEnter", "liveLeave", "liveReward", "product_view"])
+_event = st.fixed_dictionaries({
+    "id": st.text(alphabet="abc123", min_size=1, max_size=6), "deviceId": st.text(alphabet="dxyz9", max_size=5),
+    "eventId": _names, "timestamp": st.integers(0, 2**41), "isNew": st.integers(0, 1),
+    "properties": st.dictionaries(st.sampled_from(["anchor_id", "room_id", "gift_id"]),
+                                  st.one_of(st.integers(0, 99), st.text(alphabet="ar0", max_size=3)), max_size=3)})
+
+
+@SETTINGS
+@given(evs=st.lists(st.tuples(_event, st.one_of(st.none(), st.floats(0.05, 0.95))), min_size=1, max_size=20))
+def test_parse_events_keeps_exactly_the_valid_lines(spark, evs):
+    import json
+
+    from livestats.functions import parse
+    lines = []
+    for e, cut in evs:
+        text = json.dumps(e)
+        lines.append(text if cut is None else text[:max(1, int(len(text) * cut))])
+    df = spark.createDataFrame([(str(i), t) for i, t in enumerate(lines)], "record_id string, value string")
+    got = {r.record_id: (r.device_id, r.event_name, r.ts_ms, r.is_new)
+           for r in parse.parse_events(df, keep=("record_id",)).collect()}
+    want = {str(i): (e["deviceId"], e["eventId"], e["timestamp"], e["isNew"])
+            for i, (e, cut) in enumerate(evs) if cut is None}
+    assert got == want
