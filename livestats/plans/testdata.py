@@ -41,9 +41,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the synthetic set; the handle (not the data) is reused
     within a session, so the file listing and footer read happen once."""
     key = (id(spark), sf_dir, name)
-    if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return _TABLES[key]
+    df = _TABLES.get(key)
+    if df is None or df.sparkSession is not spark:  # a new session may reuse an old id
+        df = _TABLES[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return df
 
 
 def _live_case() -> str:

@@ -20,6 +20,22 @@ DEFAULT_CONF = {
 }
 
 
+# Partition sizing for cluster runs (applied when no master is given, i.e.
+# under spark-submit).  At ~100 TB: 256 MB input splits keep the scan at about
+# 400k tasks; shuffles start with many partitions and AQE coalesces them to
+# ~256 MB each (by size, not by maximum parallelism), so no shuffle partition
+# outgrows executor memory; a partition 5x the median and over 512 MB is
+# split by the skew-join rule.
+CLUSTER_CONF = {
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+}
+
+
 def build_session(master: str | None = None, app: str = "livestats",
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
@@ -31,6 +47,8 @@ def build_session(master: str | None = None, app: str = "livestats",
     if master:
         b = b.master(master)
     conf = dict(DEFAULT_CONF)
+    if not master:
+        conf.update(CLUSTER_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
