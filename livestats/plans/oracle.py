@@ -19,10 +19,13 @@ EV = """ev AS (
          'os' || (user_id % 2) AS os_name, 'prov' || (user_id % 6) AS province
   FROM (SELECT *, CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS INTEGER) AS k FROM events))"""
 
+# The whole part table is the change log: parts 0-159 are the newest changes
+# (FIXTURES.md's log), the others older history, so the snapshot is the same.
 GIFT_LOG = """gift_log AS (
   SELECT CAST(p_partkey % 80 AS INTEGER) AS id, p_name AS name, p_retailprice / 100 AS point,
-         CASE WHEN p_partkey BETWEEN 150 AND 159 THEN 1 ELSE 0 END AS deleted, p_partkey AS seq
-  FROM part WHERE p_partkey < 160)"""
+         CASE WHEN p_partkey BETWEEN 150 AND 159 THEN 1 ELSE 0 END AS deleted,
+         CASE WHEN p_partkey < 160 THEN p_partkey ELSE -p_partkey END AS seq
+  FROM part)"""
 
 GIFT_DIM = """gift_dim AS (
   SELECT id, name, point FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq DESC) AS rn FROM gift_log)

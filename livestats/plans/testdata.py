@@ -190,13 +190,18 @@ def order_line_cdc_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gift_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The gift dimension's change log: (id, name, point, deleted, seq)."""
+    """The gift dimension's change log: (id, name, point, deleted, seq).
+
+    Every part is one change of gift ``p_partkey % 80``.  Parts 0-159 are the
+    newest changes (sequence = part key; 150-159 are deletes), the rest are
+    older history (negative sequence), so the log grows with ``part`` while the
+    current snapshot is that of FIXTURES.md at every scale.
+    """
     p = table(spark, sf_dir, "part")
-    return p.where(F.col("p_partkey") < 160).select(
-        (F.col("p_partkey") % 80).cast("int").alias("id"), F.col("p_name").alias("name"),
-        (F.col("p_retailprice") / 100).alias("point"),
-        F.when(F.col("p_partkey").between(150, 159), 1).otherwise(0).alias("deleted"),
-        F.col("p_partkey").alias("seq"))
+    return p.selectExpr(
+        "cast(p_partkey % 80 AS INT) AS id", "p_name AS name", "p_retailprice / 100 AS point",
+        "CASE WHEN p_partkey BETWEEN 150 AND 159 THEN 1 ELSE 0 END AS deleted",
+        "CASE WHEN p_partkey < 160 THEN p_partkey ELSE -p_partkey END AS seq")
 
 
 # ---- orders ---------------------------------------------------------------
