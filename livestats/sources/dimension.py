@@ -44,11 +44,13 @@ def table_changes(path: str, time_col: str = "update_time") -> Callable[[SparkSe
 
 
 class DimensionSnapshot:
-    """Keeps the current snapshot in ``snapshot_path`` (shared storage).
+    """Keeps the current snapshot under ``snapshot_path`` (shared storage).
 
     ``refresh`` merges the changes since the last mark and rewrites the
     snapshot (a dimension: small and bounded by the number of ids); call it
-    at the start of a micro-batch, or every ``POLL_INTERVAL_MS``.
+    at the start of a micro-batch, or every ``POLL_INTERVAL_MS``.  Two slots
+    alternate, so the snapshot being read is never the one being written,
+    and a poll that finds no change writes nothing.
     """
 
     def __init__(self, spark: SparkSession, read_changes, snapshot_path: str,
@@ -56,34 +58,37 @@ class DimensionSnapshot:
         self.spark, self.read_changes = spark, read_changes
         self.path, self.key, self.time_col = snapshot_path.rstrip("/"), key, time_col
         self.mark = None
-        self.version = 0
+        self.slot = None  # slot holding the current snapshot (0 or 1), None before the first refresh
 
-    def _current_log(self) -> DataFrame | None:
+    def _log(self) -> DataFrame | None:
+        if self.slot is None:
+            return None
         try:
-            return self.spark.read.parquet(f"{self.path}/v={self.version}")
+            return self.spark.read.parquet(f"{self.path}/slot={self.slot}")
         except AnalysisException:
             return None
 
     def refresh(self) -> DataFrame:
         changes = self.read_changes(self.spark, self.mark).select(
             self.key, "name", "point", F.coalesce("deleted", F.lit(0)).alias("deleted"), self.time_col)
-        cur = self._current_log()
+        cur = self._log()
+        if cur is not None and changes.isEmpty():
+            return self.current()
         log = changes if cur is None else cur.unionByName(changes)
         # keep the last change per id (deleted ones too, so a late re-read of
         # an older row cannot resurrect a deleted gift)
         last = log.groupBy(self.key).agg(F.max_by(F.struct("name", "point", "deleted", self.time_col),
                                                   self.time_col).alias("_l"))
-        merged = last.select(self.key, "_l.*")
-        nxt = self.version + 1
-        merged.write.mode("overwrite").parquet(f"{self.path}/v={nxt}")
-        self.version = nxt
-        m = self.spark.read.parquet(f"{self.path}/v={nxt}").agg(F.max(self.time_col)).first()[0]
+        nxt = 0 if self.slot in (None, 1) else 1
+        last.select(self.key, "_l.*").write.mode("overwrite").parquet(f"{self.path}/slot={nxt}")
+        self.slot = nxt
+        m = self._log().agg(F.max(self.time_col)).first()[0]
         self.mark = m if m is not None else self.mark
         return self.current()
 
     def current(self) -> DataFrame:
         """The snapshot: (id, name, point) of the gifts not deleted."""
-        log = self._current_log()
+        log = self._log()
         if log is None:
             raise RuntimeError("refresh() before current()")
         return gift_snapshot(log, key=self.key, order=self.time_col)

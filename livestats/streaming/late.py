@@ -37,6 +37,12 @@ class LateSplitter:
             return None
         return None if row is None else row["running_max"]
 
+    @staticmethod
+    def _drop(spark, path: str) -> None:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
         prev = self._mark(spark, batch_id - 1) if batch_id > 0 else None
@@ -46,6 +52,8 @@ class LateSplitter:
         running = max(seen) if seen else None
         spark.createDataFrame([(running,)], "running_max long").coalesce(1) \
              .write.mode("overwrite").parquet(f"{self.marks_path}/batch={batch_id}")
+        if batch_id >= 2:  # only batch - 1 is ever read again: keep the folder small
+            self._drop(spark, f"{self.marks_path}/batch={batch_id - 2}")
         end = tumbling_start(self.time_col, self.size_ms) + F.lit(self.size_ms)
         if prev is None:
             late = F.lit(False)

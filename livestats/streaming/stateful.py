@@ -169,24 +169,26 @@ class BloomProcessor(StatefulProcessor):
         self.state = handle.getValueState("bits", T.StructType([T.StructField("b", T.BinaryType())]))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True)
+        # Arrow chunks are handled one at a time (memory stays at one chunk,
+        # even for a hot bucket); a device seen in an earlier chunk already
+        # has its bits set, so it is never flagged twice.
         nbytes = (self.bits + 7) // 8
         arr = (np.frombuffer(self.state.get()[0], dtype=np.uint8).copy() if self.state.exists()
                else np.zeros(nbytes, dtype=np.uint8))
-        pdf = pdf.sort_values(["ts_ms", "seq"], kind="stable").reset_index(drop=True)
-        first_in_batch = ~pdf["device_id"].duplicated()
-        h1 = pdf["h1"].to_numpy(dtype=np.int64).astype(np.uint64)
-        h2 = pdf["h2"].to_numpy(dtype=np.int64).astype(np.uint64) | np.uint64(1)
         i = np.arange(self.hashes, dtype=np.uint64)
-        pos = ((h1[:, None] + i[None, :] * h2[:, None]) % np.uint64(self.bits)).astype(np.int64)
-        byte, bit = pos // 8, (pos % 8).astype(np.uint8)
-        present = ((arr[byte] >> bit) & 1).astype(bool).all(axis=1)
-        new = first_in_batch.to_numpy() & ~present
-        sel_b, sel_bit = byte[new].ravel(), bit[new].ravel()
-        np.bitwise_or.at(arr, sel_b, (np.uint8(1) << sel_bit).astype(np.uint8))
+        for pdf in rows:
+            pdf = pdf.sort_values(["ts_ms", "seq"], kind="stable").reset_index(drop=True)
+            first_in_chunk = ~pdf["device_id"].duplicated()
+            h1 = pdf["h1"].to_numpy(dtype=np.int64).astype(np.uint64)
+            h2 = pdf["h2"].to_numpy(dtype=np.int64).astype(np.uint64) | np.uint64(1)
+            pos = ((h1[:, None] + i[None, :] * h2[:, None]) % np.uint64(self.bits)).astype(np.int64)
+            byte, bit = pos // 8, (pos % 8).astype(np.uint8)
+            present = ((arr[byte] >> bit) & 1).astype(bool).all(axis=1)
+            new = first_in_chunk.to_numpy() & ~present
+            np.bitwise_or.at(arr, byte[new].ravel(), (np.uint8(1) << bit[new].ravel()).astype(np.uint8))
+            yield pd.DataFrame({"record_id": pdf["record_id"], "device_id": pdf["device_id"],
+                                "ts_ms": pdf["ts_ms"], "is_n": new.astype(np.int32)})
         self.state.update((arr.tobytes(),))
-        yield pd.DataFrame({"record_id": pdf["record_id"], "device_id": pdf["device_id"],
-                            "ts_ms": pdf["ts_ms"], "is_n": new.astype(np.int32)})
 
     def close(self) -> None:
         pass
