@@ -116,15 +116,29 @@ class FirstSeenProcessor(StatefulProcessor):
         self.seen = handle.getValueState("seen", T.StructType([T.StructField("v", T.BooleanType())]))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        # One pass, O(1) memory per key: every row leaves at once flagged 0,
+        # except the earliest (ts, seq) seen so far, which is held back and
+        # emitted last -- flagged 1 when the device was never seen before.
         device = key[-1]
-        evs = sorted(((r["ts_ms"], r["seq"], r["record_id"], tuple(r[c] for c in self.carry)) for r in rows),
-                     key=lambda e: (e[0], e[1]))
-        first = not self.seen.exists()
         names = ("record_id", "device_id", "ts_ms", "is_n") + self.carry
-        for ts, _seq, rid, extra in evs:
-            yield Row(**dict(zip(names, (rid, device, ts, 1 if first else 0) + extra)))
-            first = False
-        self.seen.update((True,))
+        seen = self.seen.exists()
+
+        def out(r, flag):
+            return Row(**dict(zip(names, (r["record_id"], device, r["ts_ms"], flag)
+                                  + tuple(r[c] for c in self.carry))))
+
+        held = None
+        for r in rows:
+            if held is None:
+                held = r
+            elif (r["ts_ms"], r["seq"]) < (held["ts_ms"], held["seq"]):
+                yield out(held, 0)
+                held = r
+            else:
+                yield out(r, 0)
+        if held is not None:
+            yield out(held, 0 if seen else 1)
+            self.seen.update((True,))
 
     def close(self) -> None:
         pass
