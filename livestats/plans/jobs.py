@@ -24,12 +24,14 @@ from ..session import checkpoint_location
 from ..sources import files, topic
 from ..streaming import late, stateful, streams, use_rocksdb
 
-Sink = str | Callable[[DataFrame, int], None]
+Sink = str | Callable[[DataFrame, int], None] | Callable[[str], object]
 
 
 def _start(df: DataFrame, name: str, sink: Sink, mode: str, checkpoint_root: str | None,
            trigger: dict | None = None) -> StreamingQuery:
     spark = df.sparkSession
+    if isinstance(sink, PerQuery):
+        sink = sink(name)
     ckpt = f"{checkpoint_root.rstrip('/')}/{name}" if checkpoint_root else checkpoint_location(spark, name)
     w = df.writeStream.outputMode(mode).option("checkpointLocation", ckpt).queryName(name)
     w = w.foreachBatch(sink) if callable(sink) else w.format(sink)
@@ -38,6 +40,16 @@ def _start(df: DataFrame, name: str, sink: Sink, mode: str, checkpoint_root: str
     return w.start()
 
 
+class PerQuery:
+    """A sink chosen by query name, for jobs with several outputs."""
+
+    def __init__(self, make: Callable[[str], object]):
+        self.make = make
+
+    def __call__(self, name: str):
+        return self.make(name)
+
+
 def records(spark: SparkSession, source, max_files_per_trigger: int | None = None) -> DataFrame:
     """Topic records with their record id, from a topic or a replay folder."""
     if isinstance(source, topic.TopicOptions):

@@ -181,3 +181,22 @@ def test_demo_jobs(spark, tmp_dir):
                                        trigger=ONCE))
     hist = {r.key: r.total for r in spark.table("word_history").collect()}
     assert hist == {"spark": 8, "hive": 4}
+
+
+def test_run_from_properties(spark, tmp_dir):
+    from livestats.plans import run
+    props = run.read_properties("# comment\nbootstrap.servers = b:9092\ninput.topics=a,b\ncheckpoint.path=/ck\n",
+                                is_text=True)
+    opts = run.source_of(props)
+    assert opts.topics == ["a", "b"] and opts.group_id == "g001"
+    assert run.trigger_of(props) == {"processingTime": "60000 milliseconds"}
+    src = _replay(spark, tmp_dir)
+    out = os.path.join(tmp_dir, "out")
+    qs = run.start("user_count", {"input.path": src, "trigger": "once", "output.path": out,
+                                  "checkpoint.path": os.path.join(tmp_dir, "ck")}, spark)
+    _wait(qs)
+    assert sorted(os.listdir(out)) == ["launches_by_channel_device", "new_user_count", "new_users_by_channel"]
+    got = spark.read.parquet(os.path.join(out, "launches_by_channel_device")).groupBy("channel_device") \
+               .agg(F.max("launches").alias("launches"))
+    want = users.launches_by_channel_device(users.app_launches(td.events(spark, SF_SMALL)))
+    assert sorted(got.collect()) == sorted(want.collect())
