@@ -1,6 +1,6 @@
 """Launch a job from a properties file, the way the app's jobs are started.
 
-    spark-submit -m livestats.plans.run <job> <file.properties>
+    spark-submit --py-files livestats.zip run_job.py <job> <file.properties>
     python -m livestats.plans.run <job> <file.properties>
 
 Source options keep the app's names (``bootstrap.servers``, ``input.topics``,
