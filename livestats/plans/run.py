@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import sinks
 from ..session import build_session
-from ..sources import topic
+from ..sources import dimension, topic
 from . import jobs
 
 
@@ -116,6 +116,28 @@ def start(job: str, props: dict[str, str], spark: SparkSession | None = None):
     if job == "window_sum_with_history":
         return jobs.window_sum_with_history(spark, props["input.path"], sink, int(props.get("window.ms", 10000)),
                                             ck, trig)
+    if job == "gift_count":
+        # the gift dimension: a database table (gift.jdbc.url + gift.jdbc.table) or a change-log folder
+        if props.get("gift.jdbc.url"):
+            changes = dimension.jdbc_changes(props["gift.jdbc.url"], props["gift.jdbc.table"],
+                                             {k[len("gift.jdbc."):]: v for k, v in props.items()
+                                              if k in ("gift.jdbc.user", "gift.jdbc.password", "gift.jdbc.driver")})
+        else:
+            changes = dimension.table_changes(props["gift.path"])
+        root = (ck or spark.conf.get("spark.checkpoint.dir")).rstrip("/")
+        snap = dimension.DimensionSnapshot(spark, changes, f"{root}/gift_snapshot")
+        q1, start_totals = jobs.gift_count_refreshing(spark, source_of(props), snap, f"{root}/gift_enriched",
+                                                      sink, sink, ck, trig)
+        return [q1, *start_totals()]
+    if job == "order_count":
+        # two change-capture topics (order.topics / detail.topics) and an order snapshot table
+        headers, lines = jobs.order_streams(spark, source_of(props, "order.topics"), source_of(props, "detail.topics"))
+        snapshot = spark.read.parquet(props["orders.snapshot.path"]).selectExpr(
+            "oid AS order_id", "total_money", "cast(status AS STRING) AS status")
+        rescued = sink("order_rescued") if isinstance(sink, jobs.PerQuery) else (
+            sink if callable(sink) else (lambda df, bid: df.show(truncate=False)))
+        return jobs.order_count(spark, lines, headers, snapshot, sink, rescued,
+                                size_ms=int(props.get("window.ms", 10000)), checkpoint_root=ck, trigger=trig)
     raise ValueError(f"unknown job {job!r}")
 
 
