@@ -131,7 +131,8 @@ def start(job: str, props: dict[str, str], spark: SparkSession | None = None):
         return [q1, *start_totals()]
     if job == "order_count":
         # two change-capture topics (order.topics / detail.topics) and an order snapshot table
-        headers, lines = jobs.order_streams(spark, source_of(props, "order.topics"), source_of(props, "detail.topics"))
+        headers, lines = jobs.order_streams(spark, props.get("order.path") or source_of(props, "order.topics"),
+                                            props.get("detail.path") or source_of(props, "detail.topics"))
         snapshot = spark.read.parquet(props["orders.snapshot.path"]).selectExpr(
             "oid AS order_id", "total_money", "cast(status AS STRING) AS status")
         rescued = sink("order_rescued") if isinstance(sink, jobs.PerQuery) else (
