@@ -86,13 +86,27 @@ def gift_totals(events: DataFrame, snapshot: DataFrame) -> DataFrame:
 def product_window_counts(events: DataFrame, size_ms: int = products.WINDOW_MS,
                           slide_ms: int = products.SLIDE_MS, delay: str = DEFAULT_DELAY) -> DataFrame:
     """A10 + M7 on a stream: sliding-window counts, final once the window closes
-    (append mode)."""
+    (append mode).
+
+    As in the batch form, rows are first counted per slide-sized slot, and
+    only the slot counts are spread to the ``size/slide`` windows: two
+    chained windowed aggregations, the second keyed on ``window_time`` of the
+    first, so raw rows are never copied per window.
+    """
     p = with_event_time(products.product_events(events), delay)
-    agg = p.groupBy(F.window("event_time", _ms(size_ms), _ms(slide_ms)).alias("window"),
-                    "category_id", "product_id", "event_id").agg(F.count(F.lit(1)).alias("cnt"))
+    keys = ["category_id", "product_id", "event_id"]
+    if size_ms % slide_ms:
+        slots = p.withColumn("_n", F.lit(1).cast("long"))
+        t = "event_time"
+    else:
+        slots = p.groupBy(F.window("event_time", _ms(slide_ms)).alias("slot"), *keys) \
+                 .agg(F.count(F.lit(1)).alias("_n"))
+        slots = slots.select(F.window_time("slot").alias("slot_time"), *keys, "_n")
+        t = "slot_time"
+    agg = slots.groupBy(F.window(t, _ms(size_ms), _ms(slide_ms)).alias("window"), *keys) \
+               .agg(F.sum("_n").alias("cnt"))
     start, end = window_bounds_ms("window")
-    return agg.select("category_id", "product_id", "event_id", "cnt", start.alias("window_start"),
-                      end.alias("window_end"))
+    return agg.select(*keys, "cnt", start.alias("window_start"), end.alias("window_end"))
 
 
 def top_n_per_batch(n: int, write: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
