@@ -28,7 +28,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     many files the scan is already split and nothing is added.
     """
     spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+    try:
+        want = min_partitions or spark.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: leave the scan as it is
+        return df
+    return df.repartition(want) if have < want else df
