@@ -200,3 +200,21 @@ def test_run_from_properties(spark, tmp_dir):
                .agg(F.max("launches").alias("launches"))
     want = users.launches_by_channel_device(users.app_launches(td.events(spark, SF_SMALL)))
     assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_audience_windows_job_equals_batch(spark, tmp_dir):
+    from livestats.operators import audience
+    from livestats.plans import run
+    src = _replay(spark, tmp_dir)
+    close = ('{"id": "c", "deviceId": "d", "eventId": "liveEnter", "timestamp": 1800000000000, '
+             '"properties": {"anchor_id": "az", "room_id": "rz", "live_session": "sz"}}')
+    spark.createDataFrame([("events", 0, 10**9, close)], "topic string, partition int, offset long, value string") \
+         .write.mode("append").parquet(src)
+    out = os.path.join(tmp_dir, "out")
+    _wait(run.start("live_audience_windows", {"input.path": src, "trigger": "once", "output.path": out,
+                                              "window.ms": str(DAY), "checkpoint.path": os.path.join(tmp_dir, "ck")},
+                    spark))
+    got = spark.read.parquet(os.path.join(out, "audience_windows")).where("room_id <> 'rz'").drop("batch_id")
+    want = audience.window_delta(audience.live_events(td.events(spark, SF_SMALL)), size_ms=DAY)
+    cols = ["anchor_id", "room_id", "window_start", "window_end", "enters", "delta"]
+    assert sorted(got.select(cols).collect()) == sorted(want.select(cols).collect())
