@@ -187,7 +187,7 @@ def order_count(spark, lines: DataFrame, headers: DataFrame, snapshot: DataFrame
 
     One watermark decides: the splitter flags every line against the
     watermark before its micro-batch.  Late lines are rescued at once; on-time
-    lines land (per batch id, overwritten on retry) in ``on_time_path``, and
+    lines land (once per batch id) in ``on_time_path``, and
     the windowed stream-stream join reads them from there.  So each line takes
     exactly one of the two paths (Spark's join alone may still match a line
     behind its watermark while the header is in state).
@@ -203,7 +203,7 @@ def order_count(spark, lines: DataFrame, headers: DataFrame, snapshot: DataFrame
         rescued_write(orders.rescue(None, late_df.select(*ORDER_COLS), snapshot), batch_id)
 
     def land(on_time_df: DataFrame, batch_id: int) -> None:
-        on_time_df.select(*ORDER_COLS).write.mode("overwrite").parquet(f"{on_time_path}/batch_id={batch_id}")
+        sinks.write_batch(on_time_df.select(*ORDER_COLS), on_time_path, batch_id)
 
     splitter = late.LateSplitter(f"{root}/order_marks", size_ms, on_late=rescue, on_time=land)
     q1 = _start(lines.select(*ORDER_COLS), "late_orders", splitter, "append", checkpoint_root, trigger)

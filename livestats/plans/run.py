@@ -7,8 +7,8 @@ Source options keep the app's names (``bootstrap.servers``, ``input.topics``,
 ``group.id``, ``auto.offset.reset``, ``checkpoint.interval``,
 ``checkpoint.path``); ``input.path`` replays topic records from files instead.
 Sinks: ``jdbc.url`` + ``jdbc.table`` (append, or upsert with ``jdbc.keys``),
-else ``output.path`` (parquet, one folder per micro-batch, overwritten on
-retry), else the console.
+else ``output.path`` (parquet, one folder per micro-batch, written once), else
+the console.
 """
 
 from __future__ import annotations
@@ -74,7 +74,7 @@ def _sink(props: dict[str, str], default: str = "console") -> str | Callable[[Da
         out = props["output.path"].rstrip("/")
 
         def write(df: DataFrame, batch_id: int) -> None:
-            df.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+            sinks.write_batch(df, out, batch_id)
         return write
     return default
 

@@ -135,3 +135,24 @@ def read_partitioned(spark, path: str, schema, fmt: str = "parquet") -> DataFram
     """Read a K5 landing back with its own schema, so the string partition
     values (``20240101``, ``00``) are not re-typed as numbers by discovery."""
     return spark.read.schema(schema).format(fmt).load(path)
+
+
+def _exists(spark, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def write_batch(df: DataFrame, base: str, batch_id: int, fmt: str = "parquet") -> None:
+    """Land one micro-batch under ``base/batch_id=N`` exactly once.
+
+    Spark's default commit protocol publishes a job's files only at job
+    commit, together with ``_SUCCESS``; a folder that has it is final and a
+    retried batch leaves it alone.  A downstream file stream therefore never
+    sees the same batch twice (an overwrite would give the rows new file
+    names, which a file source reads again).
+    """
+    path = f"{base.rstrip('/')}/batch_id={batch_id}"
+    if _exists(df.sparkSession, f"{path}/_SUCCESS"):
+        return
+    df.write.mode("overwrite").format(fmt).save(path)

@@ -4,8 +4,8 @@ A stream-static join reads its static side as it was listed when the query
 started.  ``RefreshingEnricher`` instead polls the dimension at the start of
 a micro-batch (at most every ``interval_ms``), merges the changes into the
 snapshot and broadcast-joins the batch to it.  The enriched rows (A12) land
-in a table partitioned by batch id, overwritten on retry, so a replayed batch
-writes the same rows once; the running totals (A8, A9) read that table as a
+in a table partitioned by batch id, written once per batch (a retry finds the
+committed folder and skips it); the running totals (A8, A9) read that table as a
 stream.
 """
 
@@ -14,9 +14,9 @@ from __future__ import annotations
 import time
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..operators import gifts
+from ..sinks import write_batch
 from ..sources.dimension import POLL_INTERVAL_MS, DimensionSnapshot
 
 ENRICHED_SCHEMA = ("record_id string, anchor_id string, room_id string, gift_name string, "
@@ -34,8 +34,7 @@ class RefreshingEnricher:
             self.snapshot.refresh()
             self._last = now
         enriched = gifts.enrich(gifts.rewards(batch_df), self.snapshot.current())
-        (enriched.withColumn("batch_id", F.lit(batch_id).cast("long"))
-                 .write.mode("overwrite").parquet(f"{self.landing}/batch_id={batch_id}"))
+        write_batch(enriched, self.landing, batch_id)
 
 
 def enriched_stream(spark, landing_path: str) -> DataFrame:

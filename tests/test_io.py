@@ -88,3 +88,11 @@ def test_read_lines_and_spread(spark, tmp_dir):
     df = files.read_lines(spark, p)
     assert df.count() == 2
     assert files.spread(df, 4).rdd.getNumPartitions() == 4
+
+
+def test_write_batch_is_write_once(spark, tmp_dir):
+    base = os.path.join(tmp_dir, "landing")
+    sinks.write_batch(spark.createDataFrame([(1,)], "x int"), base, 0)
+    sinks.write_batch(spark.createDataFrame([(2,), (3,)], "x int"), base, 0)  # a retry: left alone
+    sinks.write_batch(spark.createDataFrame([(4,)], "x int"), base, 1)
+    assert sorted(r.x for r in spark.read.parquet(base).collect()) == [1, 4]
