@@ -152,3 +152,20 @@ def event_has_prefix(prefix: str = schemas.PRODUCT_PREFIX, c: str = "event_name"
 def line_without(word: str, c: str = "value") -> Column:
     """the line does not contain ``word``."""
     return F.coalesce(~F.col(c).contains(word), F.lit(False))
+
+
+def drop_incomplete(df, cols, metrics=None):
+    """Drop rows with a NULL in any of ``cols``; with ``metrics`` (a name or a
+    ``pyspark.sql.Observation``), count them as observed metric ``dropped``.
+
+    A missing key would stop the original job; here one bad row is dropped
+    and shows up in the query's observed metrics (batch: ``Observation.get``;
+    stream: ``lastProgress.observedMetrics``) instead.
+    """
+    missing = F.lit(False)
+    for c in cols:
+        missing = missing | F.col(c).isNull()
+    if metrics is not None:
+        df = df.observe(metrics, F.sum(missing.cast("long")).alias("dropped"),
+                        F.count(F.lit(1)).alias("rows"))
+    return df.where(~missing)

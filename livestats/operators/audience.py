@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.columns import event_in, floor_to, prop
+from ..functions.columns import drop_incomplete, event_in, floor_to, prop
 from .windows import add_tumbling, with_history
 
 ROOM = ["anchor_id", "room_id"]
@@ -21,15 +21,16 @@ WINDOW_MS = 5_000
 BUCKET_MS = 60_000
 
 
-def live_events(events: DataFrame) -> DataFrame:
+def live_events(events: DataFrame, metrics=None) -> DataFrame:
     """F2 + M1: enter/leave events with their room and session.
 
-    Rows without anchor or room are dropped (the reference job would fail on them).
+    Rows without anchor or room are dropped (they would stop the job);
+    ``metrics`` (a name or an ``Observation``) counts them.
     """
     out = events.where(event_in([schemas.LIVE_ENTER, schemas.LIVE_LEAVE])).select(
         "record_id", "seq", "ts_ms", F.col("event_name").alias("event_id"),
         *[prop(k, df=events).alias(k) for k in schemas.LIVE_PROPS])
-    return out.where(F.col("anchor_id").isNotNull() & F.col("room_id").isNotNull())
+    return drop_incomplete(out, ["anchor_id", "room_id"], metrics)
 
 
 def _enter():

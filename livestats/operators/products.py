@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.columns import event_has_prefix, prop
+from ..functions.columns import drop_incomplete, event_has_prefix, prop
 from .windows import sliding_counts, top_n
 
 # The job's default window (10 minutes, sliding by 1 minute) and N.
@@ -15,16 +15,17 @@ SLIDE_MS = 60 * 1000
 TOP_N = 3
 
 
-def product_events(events: DataFrame) -> DataFrame:
+def product_events(events: DataFrame, metrics=None) -> DataFrame:
     """F3 + M1: product events as (category_id, product_id, event_id, ts_ms).
 
-    Rows without category or product are dropped (they would fail the job).
+    Rows without category or product are dropped (they would stop the job);
+    ``metrics`` (a name or an ``Observation``) counts them.
     """
-    return (events.where(event_has_prefix(schemas.PRODUCT_PREFIX))
-                  .select("record_id", prop("category_id", df=events).alias("category_id"),
-                          prop("product_id", df=events).alias("product_id"),
-                          F.col("event_name").alias("event_id"), "ts_ms")
-                  .where(F.col("category_id").isNotNull() & F.col("product_id").isNotNull()))
+    out = (events.where(event_has_prefix(schemas.PRODUCT_PREFIX))
+                 .select("record_id", prop("category_id", df=events).alias("category_id"),
+                         prop("product_id", df=events).alias("product_id"),
+                         F.col("event_name").alias("event_id"), "ts_ms"))
+    return drop_incomplete(out, ["category_id", "product_id"], metrics)
 
 
 def window_counts(products: DataFrame, size_ms: int = WINDOW_MS, slide_ms: int = SLIDE_MS) -> DataFrame:

@@ -130,7 +130,7 @@ def effective_audience(spark, source, sink: Sink = "console", stay_ms: int = aud
     """Stays of at least ``stay_ms`` (A7): one row per settled enter plus
     online deltas; per-room totals are their sums."""
     use_rocksdb(spark)
-    live = audience.live_events(event_stream(spark, source))
+    live = audience.live_events(event_stream(spark, source), metrics="effective_audience_incomplete")
     return _start(stateful.stay_stream(live, stay_ms), "effective_audience", sink, "append",
                   checkpoint_root, trigger)
 

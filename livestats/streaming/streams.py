@@ -46,10 +46,11 @@ def launches_by_channel_device(events: DataFrame) -> DataFrame:
     return users.launches_by_channel_device(users.app_launches(events))
 
 
-def audience_totals(events: DataFrame) -> DataFrame:
+def audience_totals(events: DataFrame, metrics: str | None = "live_events_incomplete") -> DataFrame:
     """A4/A5 on a stream: running total and online per room (update mode);
-    each trigger emits the rooms that changed, which is A4 at batch grain."""
-    return audience.audience_totals(audience.live_events(events))
+    each trigger emits the rooms that changed, which is A4 at batch grain.
+    Rows without anchor or room are counted in the observed ``metrics``."""
+    return audience.audience_totals(audience.live_events(events, metrics))
 
 
 def audience_window_delta(events: DataFrame, size_ms: int = audience.WINDOW_MS,
@@ -84,7 +85,8 @@ def gift_totals(events: DataFrame, snapshot: DataFrame) -> DataFrame:
 # ---- hot products ---------------------------------------------------------------------
 
 def product_window_counts(events: DataFrame, size_ms: int = products.WINDOW_MS,
-                          slide_ms: int = products.SLIDE_MS, delay: str = DEFAULT_DELAY) -> DataFrame:
+                          slide_ms: int = products.SLIDE_MS, delay: str = DEFAULT_DELAY,
+                          metrics: str | None = "product_events_incomplete") -> DataFrame:
     """A10 + M7 on a stream: sliding-window counts, final once the window closes
     (append mode).
 
@@ -93,7 +95,7 @@ def product_window_counts(events: DataFrame, size_ms: int = products.WINDOW_MS,
     chained windowed aggregations, the second keyed on ``window_time`` of the
     first, so raw rows are never copied per window.
     """
-    p = with_event_time(products.product_events(events), delay)
+    p = with_event_time(products.product_events(events, metrics), delay)
     keys = ["category_id", "product_id", "event_id"]
     if size_ms % slide_ms:
         slots = p.withColumn("_n", F.lit(1).cast("long"))

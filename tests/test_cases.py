@@ -168,3 +168,13 @@ def test_launch_hour_in_zone(spark):
     r = df.select(date_part("ms").alias("d"), hour_part("ms").alias("h"),
                   date_part("ms", "Asia/Shanghai").alias("d8"), hour_part("ms", "Asia/Shanghai").alias("h8")).first()
     assert tuple(r) == ("20240101", "00", "20240101", "08")
+
+
+def test_incomplete_rows_dropped_and_counted(spark):
+    from pyspark.sql import Observation
+    ev = events(spark, [dict(event_name=schemas.LIVE_ENTER, properties={"anchor_id": "a", "room_id": "r"}),
+                        dict(event_name=schemas.LIVE_ENTER, properties={"anchor_id": "a"}),
+                        dict(event_name=schemas.LIVE_LEAVE, properties={})])
+    obs = Observation("live_incomplete")
+    assert audience.live_events(ev, metrics=obs).count() == 1
+    assert obs.get["dropped"] == 2 and obs.get["rows"] == 3
