@@ -218,3 +218,16 @@ def test_audience_windows_job_equals_batch(spark, tmp_dir):
     want = audience.window_delta(audience.live_events(td.events(spark, SF_SMALL)), size_ms=DAY)
     cols = ["anchor_id", "room_id", "window_start", "window_end", "enters", "delta"]
     assert sorted(got.select(cols).collect()) == sorted(want.select(cols).collect())
+
+
+def test_example_properties_parse():
+    from livestats.plans import run
+    conf = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "conf")
+    known = {"user_count", "launch_rows", "first_seen", "live_audience", "gift_count", "hot_goods",
+             "order_count", "groupon_count", "filter_topic"}
+    for f in os.listdir(conf):
+        props = run.read_properties(os.path.join(conf, f))
+        assert f.removesuffix(".properties") in known
+        assert props.get("checkpoint.path")
+        if "bootstrap.servers" in props and "input.topics" in props:
+            assert run.source_of(props).group_id == props.get("group.id", "g001")
