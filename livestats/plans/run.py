@@ -19,7 +19,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import sinks
-from ..session import build_session
+from ..session import build_session, ensure_checkpoint_dir
 from ..sources import dimension, topic
 from . import jobs
 
@@ -124,7 +124,7 @@ def start(job: str, props: dict[str, str], spark: SparkSession | None = None):
                                               if k in ("gift.jdbc.user", "gift.jdbc.password", "gift.jdbc.driver")})
         else:
             changes = dimension.table_changes(props["gift.path"])
-        root = (ck or spark.conf.get("spark.checkpoint.dir")).rstrip("/")
+        root = (ck or ensure_checkpoint_dir(spark)).rstrip("/")
         snap = dimension.DimensionSnapshot(spark, changes, f"{root}/gift_snapshot")
         q1, start_totals = jobs.gift_count_refreshing(spark, source_of(props), snap, f"{root}/gift_enriched",
                                                       sink, sink, ck, trig)

@@ -62,21 +62,26 @@ def build_session(master: str | None = None, app: str = "livestats",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster sets this to shared storage.  Only when it is unset (local runs
-    and tests) is a scratch folder created, so jobs never fall back to a
-    machine-local folder on a cluster.
+    The cluster sets this to shared storage, and it is used as is.  Only when
+    it is unset (local runs and tests) is a scratch folder created; it is
+    given to the context (``setCheckpointDir``), never written into the
+    session conf, which Spark does not allow at runtime.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="livestats-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
+    path = spark.conf.get("spark.checkpoint.dir", None) or _LOCAL_FALLBACK.get("path")
     try:
-        spark.sparkContext.setCheckpointDir(path)
-    except Exception:  # noqa: BLE001 - no driver-side context (Spark Connect): the conf is used
-        pass
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no driver-side context (Spark Connect)
+        sc = None
+    if not path:
+        path = _LOCAL_FALLBACK["path"] = tempfile.mkdtemp(prefix="livestats-ckpt-")
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(path)
     return path
 
 
+_LOCAL_FALLBACK: dict[str, str] = {}
+
+
 def checkpoint_location(spark: SparkSession, name: str) -> str:
     """Per-query streaming checkpoint location under the shared folder."""
     return os.path.join(ensure_checkpoint_dir(spark), "streams", name)
