@@ -115,3 +115,11 @@ def effective_audience(live: DataFrame, stay_ms: int = STAY_MS, bucket_ms: int =
         F.col("next_ms").isNull() | (F.col("next_ms") - F.col("ts_ms") >= F.lit(int(stay_ms))))
     return n.groupBy(*ROOM).agg(F.sum(stayed.cast("long")).alias("effective_audience"),
                                 F.sum(_delta()).alias("online_audience"))
+
+
+def stay_totals(stays: DataFrame) -> DataFrame:
+    """A7 per room from the stream form's output (settled stays and online
+    deltas, e.g. read back from their landing): the same columns as
+    :func:`effective_audience`."""
+    return stays.groupBy(*ROOM).agg(F.sum("effective").alias("effective_audience"),
+                                    F.sum("delta").alias("online_audience"))

@@ -84,8 +84,7 @@ def test_stay_stream_equals_batch(spark, tmp_dir):
     stay = 3_600_000
     out = stateful.stay_stream(live, stay_ms=stay)
     _run(out, "stays", checkpointLocation=os.path.join(tmp_dir, "ckpt"))
-    got = (spark.table("stays").where("room_id <> 'r-close'").groupBy("anchor_id", "room_id")
-           .agg(F.sum("effective").alias("e"), F.sum("delta").alias("o")))
+    got = audience.stay_totals(spark.table("stays").where("room_id <> 'r-close'"))
     want = audience.effective_audience(audience.live_events(td.events(spark, SF_SMALL)), stay_ms=stay)
     assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r) for r in want.collect())
 
@@ -239,7 +238,6 @@ def test_stay_stream_survives_restart(spark, tmp_dir):
     _closing_record(spark, 1_800_000_000_000).write.mode("append").parquet(src)
     _closing_record(spark, 1_800_000_000_001, "liveLeave").write.mode("append").parquet(src)
     run()
-    got = (spark.read.parquet(sink).where("room_id <> 'r-close'").groupBy("anchor_id", "room_id")
-           .agg(F.sum("effective").alias("e"), F.sum("delta").alias("o")))
+    got = audience.stay_totals(spark.read.parquet(sink).where("room_id <> 'r-close'"))
     want = audience.effective_audience(audience.live_events(td.events(spark, SF_SMALL)), stay_ms=stay)
     assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r) for r in want.collect())
