@@ -81,23 +81,44 @@ def floor_to(ms: str | Column, size_ms: int) -> Column:
     return m - F.pmod(m, F.lit(int(size_ms)))
 
 
-def wall_clock(ms: str | Column, zone: str = "UTC") -> Column:
-    """Epoch ms -> TIMESTAMP_NTZ wall time in ``zone``, whatever the session zone."""
-    ntz_utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"),
-                                 event_time(ms).cast("timestamp_ntz"))
+def local_ms(ms: str | Column, zone: str = "UTC") -> Column:
+    """Epoch ms shifted by ``zone``'s offset at that instant (wall-clock ms).
+
+    ``from_utc_timestamp`` converts between UTC and ``zone`` only, so the
+    result never depends on the session zone.
+    """
     if zone == "UTC":
-        return ntz_utc
-    return F.convert_timezone(F.lit("UTC"), F.lit(zone), ntz_utc)
+        return col(ms)
+    return F.unix_millis(F.from_utc_timestamp(event_time(ms), zone))
 
 
 def date_part(ms: str | Column, zone: str = "UTC") -> Column:
-    """M3: ``yyyyMMdd`` of an epoch-ms time."""
-    return F.date_format(wall_clock(ms, zone), "yyyyMMdd")
+    """M3: ``yyyyMMdd`` of an epoch-ms time in ``zone``.
+
+    Built by arithmetic on the wall-clock milliseconds: formatting a
+    TIMESTAMP_NTZ goes through the session zone and shifts wall times that
+    do not exist there (a midnight DST start would print 01:00).
+    """
+    lm = local_ms(ms, zone)
+    day = ((lm - F.pmod(lm, F.lit(86_400_000))) / F.lit(86_400_000)).cast("int")
+    return F.regexp_replace(F.date_add(F.lit("1970-01-01").cast("date"), day).cast("string"), "-", "")
 
 
 def hour_part(ms: str | Column, zone: str = "UTC") -> Column:
-    """M3: ``HH`` of an epoch-ms time."""
-    return F.date_format(wall_clock(ms, zone), "HH")
+    """M3: ``HH`` of an epoch-ms time in ``zone`` (arithmetic, zone-free)."""
+    lm = local_ms(ms, zone)
+    h = (F.pmod(lm, F.lit(86_400_000)) / F.lit(3_600_000)).cast("int")
+    return F.lpad(h.cast("string"), 2, "0")
+
+
+def ntz_text(c: str | Column) -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` of a TIMESTAMP_NTZ, from its zone-free fields."""
+    t = col(c)
+
+    def two(x):
+        return F.lpad(x.cast("string"), 2, "0")
+    return F.concat(F.to_date(t).cast("string"), F.lit(" "), two(F.hour(t)), F.lit(":"),
+                    two(F.minute(t)), F.lit(":"), two(F.second(t)))
 
 
 # ---- properties (M1) --------------------------------------------------------

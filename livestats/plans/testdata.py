@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import epoch_ms_from_ntz, epoch_ms_sql, floor_to
+from ..functions.columns import epoch_ms_from_ntz, epoch_ms_sql, floor_to, ntz_text
 from ..sources.files import spread
 
 # Times of the synthetic tables are rounded to the nearest millisecond, the
@@ -160,7 +160,7 @@ def _cdc_type(key: Column) -> Column:
 
 
 def _ts_text(c: str) -> Column:
-    return F.date_format(F.col(c), "yyyy-MM-dd HH:mm:ss")
+    return ntz_text(c)
 
 
 def order_cdc_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -178,3 +178,18 @@ def test_incomplete_rows_dropped_and_counted(spark):
     obs = Observation("live_incomplete")
     assert audience.live_events(ev, metrics=obs).count() == 1
     assert obs.get["dropped"] == 2 and obs.get["rows"] == 3
+
+
+def test_zone_free_formatting_at_a_dst_gap(spark):
+    # 1995-10-15 00:00 did not exist in Sao Paulo (DST began at midnight)
+    from livestats.functions.columns import date_part, hour_part, ntz_text
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+        df = spark.createDataFrame([("1995-10-15 00:30:00", 813717000000)], "s string, ms long") \
+                  .withColumn("ts", F.col("s").cast("timestamp_ntz"))
+        r = df.select(ntz_text("ts").alias("t"), date_part("ms").alias("d"), hour_part("ms").alias("h"),
+                      hour_part("ms", "Asia/Shanghai").alias("h8")).first()
+        assert tuple(r) == ("1995-10-15 00:30:00", "19951015", "00", "08")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
