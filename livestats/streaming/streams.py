@@ -176,6 +176,6 @@ def groupon_join_stream(detail: DataFrame, main: DataFrame, order: DataFrame, si
 def running_sum(df: DataFrame, keys: list[str], value: str, out: str = "total") -> DataFrame:
     """W5 on a stream: the key's lifetime sum, re-emitted at every trigger
     (update mode); with a processing-time trigger this is the per-window
-    per-window history the app reports."""
+    history the app reports."""
     return df.groupBy(*keys).agg(F.sum(value).alias(out))
 
