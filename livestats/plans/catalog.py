@@ -32,6 +32,7 @@ DAY_MS = 86_400_000
 
 @query
 def product_window_counts(spark, sf):
+    """A10 + W3 + M7: counts per product in 10-minute windows sliding by 1 minute."""
     p = products.product_events(td.events(spark, sf, names="product"))
     return products.window_counts(p).select("category_id", "product_id", "event_id", "cnt",
                                             "window_start", "window_end")
@@ -39,6 +40,8 @@ def product_window_counts(spark, sf):
 
 @query
 def hot_goods_top3(spark, sf):
+    """T1 over A10: top 3 products per (window, category, event); 1-day windows
+    sliding by 6 hours on this data, so that groups hold more than three products."""
     p = products.product_events(td.events(spark, sf, names="product"))
     counts = products.window_counts(p, size_ms=DAY_MS, slide_ms=DAY_MS // 4)
     return products.hot_goods(counts).select("category_id", "product_id", "event_id", "cnt",
