@@ -241,3 +241,20 @@ def test_stay_stream_survives_restart(spark, tmp_dir):
     got = audience.stay_totals(spark.read.parquet(sink).where("room_id <> 'r-close'"))
     want = audience.effective_audience(audience.live_events(td.events(spark, SF_SMALL)), stay_ms=stay)
     assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r) for r in want.collect())
+
+
+def test_stream_reports_dropped_rows(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "src")
+    _write_files(_records(spark).where("offset < 100"), src, 1, "offset")
+    bad = '{"id": "x", "deviceId": "d", "eventId": "liveEnter", "timestamp": 1, "properties": {"anchor_id": "a"}}'
+    spark.createDataFrame([("events", 0, 10**9, bad)], "topic string, partition int, offset long, value string") \
+         .write.mode("append").parquet(src)
+    q = streams.audience_totals(_stream_events(spark, src)).writeStream.format("memory").queryName("aud_m") \
+               .outputMode("update").option("checkpointLocation", os.path.join(tmp_dir, "ck")) \
+               .trigger(availableNow=True).start()
+    q.awaitTermination(300)
+    dropped = 0
+    for p in q.recentProgress:
+        m = (p.observedMetrics or {}).get("live_events_incomplete")
+        dropped += (m["dropped"] or 0) if m is not None else 0
+    assert dropped == 1
