@@ -29,8 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
-from .huffman_ids import text_slices
+from .common import stored, text_slices
 from .tokenizing import default_vocabulary, encoder
 
 CAPACITY = 1024

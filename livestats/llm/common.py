@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,3 +37,19 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def whole(text: str = "text") -> Column:
     """The text column with NULL read as the empty text."""
     return F.coalesce(F.col(text), F.lit(""))
+
+
+#: Texts handled at once in a task, in bytes.
+BATCH_BYTES = 16_000_000
+
+
+def text_slices(batch: pa.RecordBatch, column: str = "text", most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose texts have ``most`` bytes at most, or are a single row."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes, dtype=np.int64)
+    lo = 0
+    while lo < batch.num_rows:
+        base = ends[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(ends, base + most, side="right")))
+        yield batch.slice(lo, hi - lo)
+        lo = hi

@@ -26,7 +26,6 @@ from __future__ import annotations
 
 import uuid
 import zlib
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -35,33 +34,19 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from .common import stored
+from .common import stored, text_slices
 from .tokenizing import default_vocabulary, encoder
 
 END_ID = 0
 MAX_BITS = 20
 BLOCK_IDS = 1 << 17
 CHECKPOINT_IDS = 128
-#: Texts tokenized at once, in characters.
-BATCH_CHARS = 16_000_000
 
 _IDS_SCHEMA = "part int, block int, doc_ids array<bigint>, n_tokens array<int>, ids binary"
 _BLOCK_SCHEMA = ("part int, block int, doc_ids array<bigint>, n_tokens array<int>, "
                  "checkpoints binary, payload binary")
 
 
-def text_slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Slices of a batch whose texts have about ``BATCH_CHARS`` bytes at most (or one row)."""
-    texts = batch.column(column)
-    sizes = np.cumsum([len(x.as_buffer()) if x.is_valid else 0 for x in texts]) if len(texts) else []
-    lo = 0
-    while lo < batch.num_rows:
-        base = sizes[lo - 1] if lo else 0
-        hi = max(lo + 1, int(np.searchsorted(sizes, base + BATCH_CHARS, side="right")))
-        yield batch.slice(lo, hi - lo)
-        lo = hi
-
-
 def id_blocks(docs: DataFrame, vocabulary: str, end_id: int = END_ID, block_ids: int = BLOCK_IDS) -> DataFrame:
     """Packed 32-bit ids of whole documents, in blocks that ascend in doc_id."""
 

@@ -6,9 +6,34 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import license_scan
 from .bestfit_packing import pack
 from .common import table
+from .html_mincut import extract
 from .huffman_ids import token_id_files
+from .impact_topk import top_k
+from .nbsvm_quality import score
+from .pii_anchors import find_pii
+
+
+def op1_html_mincut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op3_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_pii_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_pii(table(spark, sf_dir, "documents"))
+
+
+def op5_impact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"))
 
 
 def op6_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,8 +45,15 @@ def op7_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_mincut": op1_html_mincut,
+    "op2_license_scan": op2_license_scan,
+    "op3_nbsvm_quality": op3_nbsvm_quality,
+    "op4_pii_anchors": op4_pii_anchors,
+    "op5_impact_topk": op5_impact_topk,
     "op6_token_id_files": op6_token_id_files,
     "op7_bestfit_packing": op7_bestfit_packing,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_license_scan": license_scan.oracle_sql(),
+}
