@@ -13,6 +13,7 @@ from .html_mincut import extract
 from .huffman_ids import token_id_files
 from .impact_topk import top_k
 from .nbsvm_quality import score
+from .order_minhash import fingerprints
 from .pii_anchors import find_pii
 
 
@@ -44,6 +45,10 @@ def op7_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_mincut": op1_html_mincut,
     "op2_license_scan": op2_license_scan,
@@ -52,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_impact_topk": op5_impact_topk,
     "op6_token_id_files": op6_token_id_files,
     "op7_bestfit_packing": op7_bestfit_packing,
+    "op10_order_minhash": op10_order_minhash,
 }
 
 ORACLE: dict[str, str] = {
