@@ -15,6 +15,7 @@ from .impact_topk import top_k
 from .nbsvm_quality import score
 from .order_minhash import fingerprints
 from .pii_anchors import find_pii
+from .source_mixing import TARGETS, domain_labels, mix
 
 
 def op1_html_mincut(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,6 +46,10 @@ def op7_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op8_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"), domain_labels(table(spark, sf_dir, "labels")), TARGETS)
+
+
 def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"))
 
@@ -57,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_impact_topk": op5_impact_topk,
     "op6_token_id_files": op6_token_id_files,
     "op7_bestfit_packing": op7_bestfit_packing,
+    "op8_soft_mixing": op8_soft_mixing,
     "op10_order_minhash": op10_order_minhash,
 }
 
