@@ -261,22 +261,22 @@ def score(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, threshol
           keep: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every document, and its columns named in ``keep``."""
     model = docs.sparkSession.sparkContext.broadcast(fit(sample_rows(docs, labels, max_rows)))
-    text = F.col("text").cast("string").alias("_text")
-    rows = docs.select(text, F.col("doc_id").cast("long").alias("_doc_id"),
-                       held_out(F.col("doc_id").cast("long")).alias("_held_out"), *keep)
-    schema = "doc_id bigint, held_out boolean, score double, predicted int"
-    kept = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[3:])
-    out_schema = schema.replace("doc_id bigint, ", "" if "doc_id" in keep else "doc_id bigint, ") + kept
+    text = "text" if "text" in keep else "_text"
+    own = [F.col("doc_id").cast("long").alias("_doc_id"), held_out(F.col("doc_id").cast("long")).alias("_held_out")]
+    if text not in keep:
+        own.append(F.col("text").cast("string").alias(text))
+    rows = docs.select(*own, *keep)
+    named = [] if "doc_id" in keep else ["doc_id bigint"]
+    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name in keep]
 
     def scored(batches):
         for batch in batches:
-            for part in text_slices(batch, "_text", SLICE_BYTES):
-                s = model.value.scores(*features(part.column("_text").fill_null("")))
-                columns = {"doc_id": part.column("_doc_id"), "held_out": part.column("_held_out"), "score": pa.array(s),
-                           "predicted": pa.array((s >= threshold).astype(np.int32))}
-                if "doc_id" in keep:
-                    del columns["doc_id"]
+            for part in text_slices(batch, text, SLICE_BYTES):
+                s = model.value.scores(*features(part.column(text).fill_null("")))
+                columns = {} if "doc_id" in keep else {"doc_id": part.column("_doc_id")}
+                columns |= {"held_out": part.column("_held_out"), "score": pa.array(s),
+                            "predicted": pa.array((s >= threshold).astype(np.int32))}
                 columns |= {c: part.column(c) for c in keep}
                 yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
-    return rows.mapInArrow(scored, out_schema)
+    return rows.mapInArrow(scored, ", ".join([*named, "held_out boolean, score double, predicted int", *kept]))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import license_scan
+from . import jaccard_join, license_scan
 from .bestfit_packing import pack
 from .common import table
 from .html_mincut import extract
@@ -50,6 +50,10 @@ def op8_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"), domain_labels(table(spark, sf_dir, "labels")), TARGETS)
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents"))
+
+
 def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"))
 
@@ -63,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_token_id_files": op6_token_id_files,
     "op7_bestfit_packing": op7_bestfit_packing,
     "op8_soft_mixing": op8_soft_mixing,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_order_minhash": op10_order_minhash,
 }
 
