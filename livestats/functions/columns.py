@@ -156,23 +156,24 @@ def composite_key(*cols: str | Column, sep: str = "-") -> Column:
 # ---- predicates (F1-F4) -----------------------------------------------------
 
 def event_is(name: str, c: str = "event_name") -> Column:
-    """null-safe equality; a NULL event name never matches."""
-    return F.coalesce(F.col(c) == F.lit(name), F.lit(False))
+    """a NULL event name is no match (a filter drops it), and the plain
+    comparison can be pushed into the scan."""
+    return F.col(c) == F.lit(name)
 
 
 def event_in(names, c: str = "event_name") -> Column:
     """F2."""
-    return F.coalesce(F.col(c).isin(list(names)), F.lit(False))
+    return F.col(c).isin(list(names))
 
 
 def event_has_prefix(prefix: str = schemas.PRODUCT_PREFIX, c: str = "event_name") -> Column:
     """rows with a NULL name are dropped."""
-    return F.coalesce(F.col(c).startswith(prefix), F.lit(False))
+    return F.col(c).startswith(prefix)
 
 
 def line_without(word: str, c: str = "value") -> Column:
     """the line does not contain ``word``."""
-    return F.coalesce(~F.col(c).contains(word), F.lit(False))
+    return ~F.col(c).contains(word)
 
 
 def drop_incomplete(df, cols, metrics=None):

@@ -41,6 +41,13 @@ def _delta():
     return F.when(F.col("event_id") == schemas.LIVE_ENTER, F.lit(1)).otherwise(F.lit(-1)).cast("long")
 
 
+def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join in which NULL keys meet each other."""
+    r = right.select(*[F.col(k).alias(f"_r_{k}") if k in keys else F.col(k) for k in right.columns])
+    cond = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
+    return left.join(r, cond).drop(*[f"_r_{k}" for k in keys])
+
+
 def running_audience(live: DataFrame, bucket_ms: int = BUCKET_MS) -> DataFrame:
     """A4: after each event, the room's total enters and online count.
 
@@ -49,7 +56,8 @@ def running_audience(live: DataFrame, bucket_ms: int = BUCKET_MS) -> DataFrame:
     partial aggregate), a running sum over the few bucket rows gives each
     bucket's offset, and the running sum inside (room, bucket) adds it.  The
     join to the offsets and the per-bucket window share one shuffle on
-    (room, bucket), so a busy room runs as many parallel tasks.
+    (room, bucket), so a busy room runs as many parallel tasks.  Events without
+    a time come first, in a bucket of their own (the join is NULL-safe).
     """
     b = live.withColumn("_b", floor_to("ts_ms", bucket_ms)) \
             .withColumn("_e", _enter()).withColumn("_d", _delta())
@@ -59,7 +67,7 @@ def running_audience(live: DataFrame, bucket_ms: int = BUCKET_MS) -> DataFrame:
                           F.coalesce(F.sum("_sd").over(before), F.lit(0)).alias("_od"))
     inside = Window.partitionBy(*ROOM, "_b").orderBy("ts_ms", "seq") \
                    .rowsBetween(Window.unboundedPreceding, 0)
-    j = b.join(offsets, ROOM + ["_b"])
+    j = _join_null_safe(b, offsets, ROOM + ["_b"])
     return j.select("record_id", *ROOM,
                     (F.col("_oe") + F.sum("_e").over(inside)).alias("total_audience"),
                     (F.col("_od") + F.sum("_d").over(inside)).alias("online_audience"))
@@ -87,31 +95,26 @@ def window_history(deltas: DataFrame) -> DataFrame:
     return h.select(*ROOM, "window_start", "total_audience", "online_audience")
 
 
-def next_time(df: DataFrame, keys: list[str], order=("ts_ms", "seq"), out: str = "next_ms",
-              bucket_ms: int = BUCKET_MS) -> DataFrame:
-    """Time of the next row of the same key (``lead``), computed per time bucket.
-
-    Inside a (key, bucket) it is ``lead``; the last row of a bucket takes the
-    first time of the key's next non-empty bucket, found over one row per
-    bucket.  So a key holding a third of all rows is never one sort task.
-    """
-    ts = order[0]
-    b = df.withColumn("_b", floor_to(ts, bucket_ms))
-    firsts = b.groupBy(*keys, "_b").agg(F.min(ts).alias("_first"))
-    nb = firsts.select(*keys, "_b", F.lead("_first").over(Window.partitionBy(*keys).orderBy("_b")).alias("_nb"))
-    w = Window.partitionBy(*keys, "_b").orderBy(*order)
-    j = b.join(nb, keys + ["_b"])
-    return j.withColumn(out, F.coalesce(F.lead(ts).over(w), F.col("_nb"))).drop("_b", "_nb")
-
-
-def effective_audience(live: DataFrame, stay_ms: int = STAY_MS, bucket_ms: int = BUCKET_MS) -> DataFrame:
+def effective_audience(live: DataFrame, stay_ms: int = STAY_MS, metrics=None) -> DataFrame:
     """Per room, enters whose session stayed at least ``stay_ms``, and online.
 
     An enter counts unless the same session enters or leaves again sooner
     than ``stay_ms`` (exactly ``stay_ms`` counts; no later event counts).
+    Events without a session are each a visit of their own: nothing follows
+    them.  Events without a time have no place in the order; they count for
+    ``online_audience`` only, and ``metrics`` counts them.
+
+    ``lead`` per (room, session): a session is one visitor's, so its events
+    are few, and the two shuffles are on (room, session) and on the room.
     """
-    n = next_time(live, ROOM + ["live_session"], bucket_ms=bucket_ms)
-    stayed = (F.col("event_id") == schemas.LIVE_ENTER) & (
+    if metrics is not None:
+        live = live.observe(metrics, F.count_if(F.col("ts_ms").isNull()).alias("untimed"),
+                            F.count(F.lit(1)).alias("rows"))
+    # events without a session or a time are spread by their record, not gathered as one key
+    alone = F.col("live_session").isNull() | F.col("ts_ms").isNull()
+    w = Window.partitionBy(*ROOM, "live_session", F.when(alone, F.col("record_id"))).orderBy("ts_ms", "seq")
+    n = live.withColumn("next_ms", F.lead("ts_ms").over(w))
+    stayed = (F.col("event_id") == schemas.LIVE_ENTER) & F.col("ts_ms").isNotNull() & (
         F.col("next_ms").isNull() | (F.col("next_ms") - F.col("ts_ms") >= F.lit(int(stay_ms))))
     return n.groupBy(*ROOM).agg(F.sum(stayed.cast("long")).alias("effective_audience"),
                                 F.sum(_delta()).alias("online_audience"))

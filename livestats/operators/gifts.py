@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.columns import event_is, prop
-from .joins import broadcast_if_small
 
 ROOM = ["anchor_id", "room_id"]
+# Holds every digit of points with up to ten decimals.
+POINTS = "decimal(28,10)"
 
 
 def gift_snapshot(log: DataFrame, key: str = "id", order: str = "seq") -> DataFrame:
@@ -33,10 +34,10 @@ def rewards(events: DataFrame) -> DataFrame:
 
 def enrich(rewards_df: DataFrame, snapshot: DataFrame, key: str = "id") -> DataFrame:
     """J1 (+ A12 rows): each reward with its gift's name and points; unknown or
-    deleted gifts give NULLs.  The snapshot is broadcast only after its size
-    is checked."""
-    dim = broadcast_if_small(snapshot.select(F.col(key).alias("_gid"), F.col("name").alias("gift_name"),
-                                             "point"))
+    deleted gifts give NULLs.  The planner broadcasts the snapshot when its
+    measured size is small, else both sides are shuffled and a hot gift is
+    split (adaptive execution); nothing is counted or forced here."""
+    dim = snapshot.select(F.col(key).alias("_gid"), F.col("name").alias("gift_name"), "point")
     j = rewards_df.join(dim, rewards_df["gift_id"] == dim["_gid"], "left")
     return j.select("record_id", *ROOM, "gift_name", F.lit(1).alias("amount"), "point")
 
@@ -44,12 +45,13 @@ def enrich(rewards_df: DataFrame, snapshot: DataFrame, key: str = "id") -> DataF
 def gift_totals(enriched: DataFrame) -> DataFrame:
     """A8 + M4: gift count and points per room.
 
-    Points are summed as decimal(18,2) so the total does not depend on the
-    order of a floating-point sum; NULL points (unknown gifts) are skipped.
+    Points are summed in a wide decimal that holds every digit of a price (so
+    nothing is rounded and the order of the sum does not matter), then turned
+    into a double; NULL points (unknown gifts) are skipped.
     """
     return enriched.groupBy(*ROOM).agg(
         F.count(F.lit(1)).alias("amount"),
-        F.sum(F.col("point").cast("decimal(18,2)")).cast("double").alias("points"))
+        F.sum(F.col("point").cast(POINTS)).cast("double").alias("points"))
 
 
 def count_by_gift(enriched: DataFrame) -> DataFrame:

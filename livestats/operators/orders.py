@@ -7,14 +7,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .joins import broadcast_if_small, materialize, window_left_join
+from .joins import window_left_join
 from .windows import tumbling_start
 
 # The job's window (10 s) and watermark delay (0).
 WINDOW_MS = 10_000
 DELAY_MS = 0
-# Arrival batches are one row each in the watermark table; bound for broadcast.
-MAX_BATCHES = 10_000_000
 
 
 def join_headers(lines: DataFrame, headers: DataFrame, size_ms: int = WINDOW_MS,
@@ -32,15 +30,15 @@ def flag_late(lines: DataFrame, size_ms: int = WINDOW_MS, batch_col: str = "batc
     ``batch_col`` numbers the arrival batches.  The watermark before batch b
     is max(event time over batches < b) - delay, as a micro-batch stream sees
     it; a row is late when its window end is <= that watermark.  The running
-    max runs over one row per batch, never over data rows.
+    max runs over one row per batch, never over data rows; that small table
+    stays lazy and the planner picks its join.  A line without a batch or a
+    time is on time.
     """
-    per_batch = lines.groupBy(batch_col).agg(F.max("ts_ms").alias("_mx"))
+    per_batch = lines.where(F.col(batch_col).isNotNull()).groupBy(batch_col).agg(F.max("ts_ms").alias("_mx"))
     earlier = Window.orderBy(batch_col).rowsBetween(Window.unboundedPreceding, -1)
     marks = per_batch.select(batch_col, (F.max("_mx").over(earlier) - F.lit(int(delay_ms))).alias("_wm"))
-    # one row per arrival batch: computed once, then broadcast after the check
-    marks = broadcast_if_small(materialize(marks), MAX_BATCHES)
     end = tumbling_start("ts_ms", size_ms) + F.lit(int(size_ms))
-    return (lines.join(marks, batch_col)
+    return (lines.join(marks, batch_col, "left")
                  .withColumn(out, F.coalesce(end <= F.col("_wm"), F.lit(False))).drop("_wm"))
 
 
@@ -52,6 +50,12 @@ def null_header(late: DataFrame, header_schema) -> DataFrame:
     return out
 
 
+def latest_headers(headers: DataFrame, header_cols=("total_money", "status")) -> DataFrame:
+    """One header per order: the newest version (by time, then by its values)."""
+    last = headers.groupBy("order_id").agg(F.max(F.struct("ts_ms", *header_cols)).alias("_h"))
+    return last.select("order_id", "_h.*")
+
+
 def rescue(joined: DataFrame | None, late: DataFrame, snapshot: DataFrame,
            header_cols=("total_money", "status")) -> DataFrame:
     """U1 + J4 (stream form): union the joined lines with the late ones (M6:
@@ -64,7 +68,8 @@ def rescue(joined: DataFrame | None, late: DataFrame, snapshot: DataFrame,
     u = null_header(late, [T.StructField(c, types[c]) for c in header_cols])
     if joined is not None:
         u = joined.unionByName(u, allowMissingColumns=True)
-    s = snapshot.select(F.col("order_id").alias("_sid"), *[F.col(c).alias(f"_s_{c}") for c in header_cols])
+    s = latest_headers(snapshot, header_cols) if "ts_ms" in snapshot.columns else snapshot.dropDuplicates(["order_id"])
+    s = s.select(F.col("order_id").alias("_sid"), *[F.col(c).alias(f"_s_{c}") for c in header_cols])
     j = u.join(s, u["order_id"] == s["_sid"], "left")
     return j.select(*[c for c in u.columns if c not in header_cols],
                     *[F.coalesce(F.col(c), F.col(f"_s_{c}")).alias(c) for c in header_cols])
@@ -79,8 +84,10 @@ def with_late_rescued(flagged: DataFrame, headers: DataFrame, size_ms: int = WIN
     a snapshot holds one header per order, the in-window header, when it
     exists, is that same snapshot row; so a single join on the order id gives
     the union of both paths, plus ``joined_in_window``.  One shuffle, not two.
+    Of several versions of a header the newest counts (:func:`latest_headers`),
+    so lines are never doubled.
     """
-    h = headers.select(F.col("order_id").alias("_hid"), F.col("ts_ms").alias("_hts"), *header_cols)
+    h = latest_headers(headers, header_cols).select(F.col("order_id").alias("_hid"), F.col("ts_ms").alias("_hts"), *header_cols)
     j = flagged.join(h, flagged["order_id"] == h["_hid"], "left")
     same_window = tumbling_start("ts_ms", size_ms) == tumbling_start("_hts", size_ms)
     inside = (~F.col("is_late")) & F.col("_hid").isNotNull() & same_window

@@ -63,13 +63,17 @@ def first_seen(events: DataFrame, keys=("device_id",), order=("ts_ms", "seq"),
     the rows costs nothing extra), and it is joined back on (key, ts, seq):
     that join hashes on the full tuple, which spreads a hot device's rows over
     all tasks.  No task ever sorts all events of one key.
+
+    A NULL key is a key of its own (the join is NULL-safe).  Events with a
+    NULL in ``order`` have no place in the order and are never first.
     """
     keys, order = list(keys), list(order)
-    firsts = (events.groupBy(*keys).agg(F.min(F.struct(*order)).alias("_f"))
-                    .select(*keys, *[F.col("_f")[c].alias(f"_f_{c}") for c in order],
-                            F.lit(1).alias("_first")))
-    cond = [events[k] == firsts[k] for k in keys] + [events[c] == firsts[f"_f_{c}"] for c in order]
-    out = events.drop(flag) if flag in events.columns else events
-    joined = out.join(firsts, cond, "left")
-    return joined.select(*[out[c] for c in out.columns],
-                         F.coalesce(F.col("_first"), F.lit(0)).alias(flag))
+    timed = F.lit(True)
+    for c in order:
+        timed = timed & F.col(c).isNotNull()
+    firsts = events.select(*keys, *order).where(timed).groupBy(*keys).agg(F.min(F.struct(*order)).alias("_f"))
+    firsts = firsts.select(*[F.col(k).alias(f"_k_{k}") for k in keys],
+                           *[F.col("_f")[c].alias(f"_f_{c}") for c in order], F.lit(1).alias("_first"))
+    cond = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys] + [F.col(c) == F.col(f"_f_{c}") for c in order]
+    out = events.drop(flag)
+    return out.join(firsts, cond, "left").select(*out.columns, F.coalesce(F.col("_first"), F.lit(0)).alias(flag))

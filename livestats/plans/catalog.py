@@ -178,26 +178,26 @@ def launch_rows_per_hour(spark, sf):
 @query
 def new_device_flag(spark, sf):
     """First event of each device."""
-    return users.first_seen(td.events(spark, sf)).select("record_id", "device_id", "is_n")
+    return users.first_seen(td.events(spark, sf, gaps=True)).select("record_id", "device_id", "is_n")
 
 
 @query
 def new_device_by_type(spark, sf):
     """First event of each (device type, device)."""
-    return users.first_seen(td.events(spark, sf), keys=("device_type", "device_id")).select(
+    return users.first_seen(td.events(spark, sf, gaps=True), keys=("device_type", "device_id")).select(
         "record_id", "device_type", "device_id", "is_n")
 
 
 # ---- audience -------------------------------------------------------------
 
-def _live(spark, sf):
-    return audience.live_events(td.events(spark, sf))
+def _live(spark, sf, gaps=False):
+    return audience.live_events(td.events(spark, sf, gaps=gaps))
 
 
 @query
 def audience_running(spark, sf):
     """A4."""
-    return audience.running_audience(_live(spark, sf))
+    return audience.running_audience(_live(spark, sf, gaps=True))
 
 
 @query
@@ -221,7 +221,7 @@ def audience_window_history(spark, sf):
 @query
 def effective_audience(spark, sf):
     """A7 with a 2-day stay threshold on this data."""
-    return audience.effective_audience(_live(spark, sf), stay_ms=2 * DAY_MS)
+    return audience.effective_audience(_live(spark, sf, gaps=True), stay_ms=2 * DAY_MS)
 
 
 # ---- gifts ----------------------------------------------------------------

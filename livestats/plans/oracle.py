@@ -14,17 +14,22 @@ EV = """ev AS (
                          WHEN 'purchase' THEN 'liveReward' ELSE event_type END AS event_name,
          CASE WHEN event_type IN ('view','click','purchase') THEN 'product_' || event_type ELSE event_type END AS product_event,
          k, 'ch' || (k % 5) AS release_channel, 'a' || (k % 10) AS anchor_id, 'r' || (k % 20) AS room_id,
-         's' || user_id AS live_session, 'c' || (k % 7) AS category_id, 'p' || k AS product_id, k AS gift_id,
+         's' || user_id AS live_session, 'c' || (k % 7) AS category_id, 'p' || k AS product_id, CAST(user_id * 10 + k % 10 AS INTEGER) AS gift_id,
          CAST(event_id % 2 AS INTEGER) AS is_new,
          'os' || (user_id % 2) AS os_name, 'prov' || (user_id % 6) AS province
   FROM (SELECT *, CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS INTEGER) AS k FROM events))"""
 
-# The whole part table is the change log: parts 0-159 are the newest changes
-# (FIXTURES.md's log), the others older history, so the snapshot is the same.
+# The same with gaps: some events lack their time, device or session.
+EV_GAPS = EV + """,
+evg AS (
+  SELECT * REPLACE (CASE WHEN event_id % 101 <> 11 THEN ts_ms END AS ts_ms,
+                    CASE WHEN event_id % 37 <> 5 THEN device_id END AS device_id,
+                    CASE WHEN event_id % 31 <> 7 THEN live_session END AS live_session) FROM ev)"""
+
+# The whole part table is the change log: four parts are changes of three gifts.
 GIFT_LOG = """gift_log AS (
-  SELECT CAST(p_partkey % 80 AS INTEGER) AS id, p_name AS name, p_retailprice / 100 AS point,
-         CASE WHEN p_partkey BETWEEN 150 AND 159 THEN 1 ELSE 0 END AS deleted,
-         CASE WHEN p_partkey < 160 THEN p_partkey ELSE -p_partkey END AS seq
+  SELECT p_partkey * 3 // 4 AS id, p_name AS name, p_retailprice / 100 AS point,
+         CASE WHEN p_partkey % 7 = 3 THEN 1 ELSE 0 END AS deleted, p_partkey * 7919 % 104729 AS seq
   FROM part)"""
 
 GIFT_DIM = """gift_dim AS (
@@ -32,12 +37,13 @@ GIFT_DIM = """gift_dim AS (
   WHERE rn = 1 AND deleted = 0)"""
 
 LATE_FLAGGED = """x AS (SELECT l_orderkey AS order_id, l_linenumber AS line, l_partkey AS sku, epoch_ms(l_shipdate) AS ts_ms,
-                  (epoch_ms(l_shipdate) + (l_orderkey % 60) * 86400000) // 7776000000 AS b FROM lineitem),
-     m AS (SELECT b, max(ts_ms) AS mx FROM x GROUP BY b),
+                  CASE WHEN (l_orderkey + l_linenumber) % 97 <> 3
+                       THEN (epoch_ms(l_shipdate) + (l_orderkey % 60) * 86400000) // 7776000000 END AS b FROM lineitem),
+     m AS (SELECT b, max(ts_ms) AS mx FROM x WHERE b IS NOT NULL GROUP BY b),
      wm AS (SELECT b, max(mx) OVER (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS wm FROM m),
      late_flagged AS (SELECT order_id, line, sku, ts_ms,
                              coalesce((ts_ms // 2592000000 + 1) * 2592000000 <= wm.wm, false) AS is_late
-                      FROM x JOIN wm USING (b))"""
+                      FROM x LEFT JOIN wm USING (b))"""
 
 
 def _with(*ctes: str) -> str:
@@ -131,7 +137,9 @@ _LAUNCH_ROW = """record_id AS id, device_id, event_name AS event_id, {flag} AS i
 ORACLE["launch_rows"] = _with(EV) + f"""
 SELECT {_LAUNCH_ROW.format(flag='is_new')} FROM ev WHERE event_name = 'appLaunch'"""
 
-_FIRST = "CASE WHEN row_number() OVER (PARTITION BY {keys} ORDER BY ts_ms, event_id) = 1 THEN 1 ELSE 0 END"
+# An event without a time is never first.
+_FIRST = ("CASE WHEN ts_ms IS NOT NULL AND row_number() OVER (PARTITION BY {keys}, ts_ms IS NULL "
+          "ORDER BY ts_ms, event_id) = 1 THEN 1 ELSE 0 END")
 
 ORACLE["launch_rows_first_seen"] = _with(EV) + f"""
 SELECT {_LAUNCH_ROW.format(flag='is_n')}
@@ -141,24 +149,25 @@ ORACLE["launch_rows_per_hour"] = _with(EV) + f"""
 SELECT date, hour, count(*) AS launches
 FROM (SELECT {_LAUNCH_ROW.format(flag='is_new')} FROM ev WHERE event_name = 'appLaunch') GROUP BY ALL"""
 
-ORACLE["new_device_flag"] = _with(EV) + f"""
-SELECT record_id, device_id, {_FIRST.format(keys='device_id')} AS is_n FROM ev"""
+ORACLE["new_device_flag"] = _with(EV_GAPS) + f"""
+SELECT record_id, device_id, {_FIRST.format(keys='device_id')} AS is_n FROM evg"""
 
-ORACLE["new_device_by_type"] = _with(EV) + f"""
-SELECT record_id, device_type, device_id, {_FIRST.format(keys='device_type, device_id')} AS is_n FROM ev"""
+ORACLE["new_device_by_type"] = _with(EV_GAPS) + f"""
+SELECT record_id, device_type, device_id, {_FIRST.format(keys='device_type, device_id')} AS is_n FROM evg"""
 
 # ---- audience -------------------------------------------------------------
 
 _LIVE = "ev WHERE event_name IN ('liveEnter', 'liveLeave')"
+_LIVE_GAPS = "evg WHERE event_name IN ('liveEnter', 'liveLeave')"
 _ENTER = "CASE WHEN event_name = 'liveEnter' THEN 1 ELSE 0 END"
 _DELTA = "CASE WHEN event_name = 'liveEnter' THEN 1 ELSE -1 END"
 
-ORACLE["audience_running"] = _with(EV) + f"""
+ORACLE["audience_running"] = _with(EV_GAPS) + f"""
 SELECT record_id, anchor_id, room_id,
        CAST(sum({_ENTER}) OVER w AS BIGINT) AS total_audience,
        CAST(sum({_DELTA}) OVER w AS BIGINT) AS online_audience
-FROM {_LIVE}
-WINDOW w AS (PARTITION BY anchor_id, room_id ORDER BY ts_ms, event_id ROWS UNBOUNDED PRECEDING)"""
+FROM {_LIVE_GAPS}
+WINDOW w AS (PARTITION BY anchor_id, room_id ORDER BY ts_ms NULLS FIRST, event_id ROWS UNBOUNDED PRECEDING)"""
 
 ORACLE["audience_totals"] = _with(EV) + f"""
 SELECT anchor_id, room_id, CAST(sum({_ENTER}) AS BIGINT) AS total_audience,
@@ -178,11 +187,13 @@ SELECT anchor_id, room_id, window_start,
 FROM d WINDOW w AS (PARTITION BY anchor_id, room_id ORDER BY window_start ROWS UNBOUNDED PRECEDING)"""
 
 # Stay threshold 2 days on this data (the job's default is 60 s).
-ORACLE["effective_audience"] = _with(EV, f"""s AS (
-  SELECT *, lead(ts_ms) OVER (PARTITION BY anchor_id, room_id, live_session ORDER BY ts_ms, event_id) AS next_ms
-  FROM {_LIVE})""") + """
+ORACLE["effective_audience"] = _with(EV_GAPS, f"""s AS (
+  SELECT *, lead(ts_ms) OVER (
+    PARTITION BY anchor_id, room_id, live_session, CASE WHEN live_session IS NULL OR ts_ms IS NULL THEN event_id END
+    ORDER BY ts_ms, event_id) AS next_ms
+  FROM {_LIVE_GAPS})""") + """
 SELECT anchor_id, room_id,
-       CAST(sum(CASE WHEN event_name = 'liveEnter' AND (next_ms IS NULL OR next_ms - ts_ms >= 172800000) THEN 1 ELSE 0 END) AS BIGINT) AS effective_audience,
+       CAST(sum(CASE WHEN event_name = 'liveEnter' AND ts_ms IS NOT NULL AND (next_ms IS NULL OR next_ms - ts_ms >= 172800000) THEN 1 ELSE 0 END) AS BIGINT) AS effective_audience,
        CAST(sum(CASE WHEN event_name = 'liveEnter' THEN 1 ELSE -1 END) AS BIGINT) AS online_audience
 FROM s GROUP BY ALL"""
 
@@ -195,7 +206,7 @@ SELECT record_id, anchor_id, room_id, name AS gift_name, 1 AS amount, point
 FROM ev LEFT JOIN gift_dim ON gift_id = id WHERE event_name = 'liveReward'"""
 
 ORACLE["gift_totals"] = _with(EV, GIFT_LOG, GIFT_DIM) + """
-SELECT anchor_id, room_id, count(*) AS amount, CAST(sum(CAST(point AS DECIMAL(18,2))) AS DOUBLE) AS points
+SELECT anchor_id, room_id, count(*) AS amount, CAST(sum(CAST(point AS DECIMAL(28,10))) AS DOUBLE) AS points
 FROM ev LEFT JOIN gift_dim ON gift_id = id WHERE event_name = 'liveReward' GROUP BY ALL"""
 
 ORACLE["gift_count_by_name"] = _with(EV, GIFT_LOG, GIFT_DIM) + """

@@ -30,21 +30,13 @@ LIVE_NAMES = {"signup": "appLaunch", "view": "liveEnter", "click": "liveLeave",
 PRODUCT_TYPES = ("view", "click", "purchase")
 
 
-_TABLES: dict = {}
-
-
 def _s(prefix: str, c: Column) -> Column:
     return F.concat(F.lit(prefix), c.cast("string"))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of the synthetic set; the handle (not the data) is reused
-    within a session, so the file listing and footer read happen once."""
-    key = (id(spark), sf_dir, name)
-    df = _TABLES.get(key)
-    if df is None or df.sparkSession is not spark:  # a new session may reuse an old id
-        df = _TABLES[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return df
+    """A table of the synthetic set."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _live_case() -> str:
@@ -57,14 +49,24 @@ def _product_case() -> str:
     return f"CASE WHEN event_type IN ({types}) THEN concat('product_', event_type) ELSE event_type END"
 
 
-def ev(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The flat ``ev`` view of FIXTURES.md (one row per event).
+# The share of events without a time, a device or a session in the gapped feed.
+GAPS = {"ts_ms": "event_id % 101 = 11", "device_id": "event_id % 37 = 5", "live_session": "event_id % 31 = 7"}
+
+
+def ev(spark: SparkSession, sf_dir: str, gaps: bool = False) -> DataFrame:
+    """The flat ``ev`` view of FIXTURES.md (one row per event); with ``gaps``
+    some events lack their time, device or session.
 
     Written as SQL expressions: one call per column instead of one per
     function, which keeps plan construction cheap.
     """
     e = table(spark, sf_dir, "events").selectExpr(
         "*", """try_cast(regexp_extract(props, '"k": *([0-9]+)', 1) AS INT) AS k""")
+    flat = _flat(e)
+    return flat.withColumns({c: F.expr(f"CASE WHEN {g} THEN NULL ELSE {c} END") for c, g in GAPS.items()}) if gaps else flat
+
+
+def _flat(e: DataFrame) -> DataFrame:
     return e.selectExpr(
         "event_id",
         f"concat('{EVENTS_TOPIC}-{EVENTS_PARTITION}-', cast(event_id AS STRING)) AS record_id",
@@ -81,14 +83,14 @@ def ev(spark: SparkSession, sf_dir: str) -> DataFrame:
         "concat('s', cast(user_id AS STRING)) AS live_session",
         "concat('c', cast(k % 7 AS STRING)) AS category_id",
         "concat('p', cast(k AS STRING)) AS product_id",
-        "k AS gift_id",
+        "cast(user_id * 10 + k % 10 AS INT) AS gift_id",
         "event_id % 2 AS is_new",
         "concat('os', cast(user_id % 2 AS STRING)) AS os_name",
         "concat('prov', cast(user_id % 6 AS STRING)) AS province",
     )
 
 
-def events(spark: SparkSession, sf_dir: str, names: str = "live") -> DataFrame:
+def events(spark: SparkSession, sf_dir: str, names: str = "live", gaps: bool = False) -> DataFrame:
     """Events in the model shape the operators consume.
 
     ``names`` picks the event-name namespace: ``live`` (appLaunch, liveEnter,
@@ -100,7 +102,7 @@ def events(spark: SparkSession, sf_dir: str, names: str = "live") -> DataFrame:
     name = "event_name" if names == "live" else "product_event"
     keys = ("anchor_id", "room_id", "live_session", "category_id", "product_id")
     pairs = ", ".join(f"'{k}', {k}" for k in keys)
-    return ev(spark, sf_dir).selectExpr(
+    return ev(spark, sf_dir, gaps).selectExpr(
         "record_id", "event_id AS seq", "cast(event_id AS STRING) AS id", "ts_ms", "device_id", "device_type",
         f"{name} AS event_name", "release_channel", "os_name", "province",
         "cast(is_new AS INT) AS is_new", "0 AS is_n",
@@ -116,16 +118,23 @@ def topic_records(spark: SparkSession, sf_dir: str, names: str = "live") -> Data
 
 
 def event_json(v: DataFrame, names: str = "live") -> Column:
-    """One ``ev`` row as the JSON line the app produces (wire field names)."""
+    """One ``ev`` row as the JSON line the app produces (wire field names).
+
+    Every tenth line or so writes its numbers as quoted texts.
+    """
     name = "event_name" if names == "live" else "product_event"
     props = F.struct(F.col("anchor_id"), F.col("room_id"), F.col("live_session"),
                      F.col("category_id"), F.col("product_id"), F.col("gift_id"))
-    return F.to_json(F.struct(
-        F.col("event_id").cast("string").alias("id"), F.col("device_id").alias("deviceId"),
-        F.col("device_type").alias("deviceType"), F.col(name).alias("eventId"),
-        F.col("release_channel").alias("releaseChannel"), F.col("os_name").alias("osName"),
-        F.col("province").alias("province"), F.col("ts_ms").alias("timestamp"),
-        F.col("is_new").cast("int").alias("isNew"), props.alias("properties")))
+    def line(quoted: bool) -> Column:
+        def number(c: Column) -> Column:
+            return c.cast("string") if quoted else c
+        return F.to_json(F.struct(
+            F.col("event_id").cast("string").alias("id"), F.col("device_id").alias("deviceId"),
+            F.col("device_type").alias("deviceType"), F.col(name).alias("eventId"),
+            F.col("release_channel").alias("releaseChannel"), F.col("os_name").alias("osName"),
+            F.col("province").alias("province"), number(F.col("ts_ms")).alias("timestamp"),
+            number(F.col("is_new").cast("int")).alias("isNew"), props.alias("properties")))
+    return F.when(F.col("event_id") % 10 == 3, line(True)).otherwise(line(False))
 
 
 def event_lines(spark: SparkSession, sf_dir: str, cut_every: int = 50) -> DataFrame:
@@ -159,49 +168,59 @@ def _cdc_type(key: Column) -> Column:
     return F.element_at(F.array(*[F.lit(t) for t in CDC_TYPES]), (key % 3 + 1).cast("int"))
 
 
-def _ts_text(c: str) -> Column:
-    return ntz_text(c)
+def _change(kind: Column, quoted: Column, row: list[Column]) -> Column:
+    """A change-capture envelope; where ``quoted`` its numbers are quoted texts
+    and its times have a fraction of seconds, as some capture tools write them."""
+    def text(c: Column) -> Column:
+        return F.to_json(F.struct(kind.alias("type"), F.array(c).alias("data")))
+    return F.when(quoted, text(F.struct(*[c(True) for c in row]))).otherwise(text(F.struct(*[c(False) for c in row])))
+
+
+def _number(value: Column, name: str):
+    return lambda quoted: (value.cast("string") if quoted else value).alias(name)
+
+
+def _text(value: Column, name: str):
+    return lambda quoted: value.alias(name)
+
+
+def _time(c: str, name: str):
+    return lambda quoted: (F.concat(ntz_text(c), F.lit(".0")) if quoted else ntz_text(c)).alias(name)
 
 
 def order_cdc_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``orders`` as change-capture envelopes, one order per envelope."""
     o = spread(table(spark, sf_dir, "orders"))
     status = F.when(F.col("o_orderstatus") == "O", 0).when(F.col("o_orderstatus") == "F", 1).otherwise(2)
-    row = F.struct(F.col("o_orderkey").alias("oid"), _ts_text("o_orderdate").alias("create_time"),
-                   F.col("o_totalprice").alias("total_money"), status.alias("status"),
-                   _ts_text("o_orderdate").alias("update_time"),
-                   F.col("o_orderpriority").alias("province"),
-                   F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("city"))
-    return o.select(F.to_json(F.struct(_cdc_type(F.col("o_orderkey")).alias("type"),
-                                       F.array(row).alias("data"))).alias("value"))
+    row = [_number(F.col("o_orderkey"), "oid"), _time("o_orderdate", "create_time"),
+           _number(F.col("o_totalprice"), "total_money"), _number(status, "status"),
+           _time("o_orderdate", "update_time"), _text(F.col("o_orderpriority"), "province"),
+           _text(F.concat(F.lit("c"), F.col("o_custkey").cast("string")), "city")]
+    return o.select(_change(_cdc_type(F.col("o_orderkey")), F.col("o_orderkey") % 5 == 2, row).alias("value"))
 
 
 def order_line_cdc_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``lineitem`` as change-capture envelopes, one line per envelope."""
     li = spread(table(spark, sf_dir, "lineitem"))
-    row = F.struct(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
-        F.col("l_orderkey").alias("order_id"), (F.col("l_partkey") % 50).cast("int").alias("category_id"),
-        F.col("l_returnflag").alias("categoryName"), F.col("l_partkey").alias("sku"),
-        F.col("l_extendedprice").alias("money"), F.col("l_quantity").cast("int").alias("amount"),
-        _ts_text("l_shipdate").alias("create_time"), _ts_text("l_shipdate").alias("update_time"))
-    return li.select(F.to_json(F.struct(_cdc_type(F.col("l_orderkey")).alias("type"),
-                                        F.array(row).alias("data"))).alias("value"))
+    row = [_number(F.col("l_orderkey") * 10 + F.col("l_linenumber"), "id"), _number(F.col("l_orderkey"), "order_id"),
+           _number((F.col("l_partkey") % 50).cast("int"), "category_id"),
+           _text(F.col("l_returnflag"), "categoryName"), _number(F.col("l_partkey"), "sku"),
+           _number(F.col("l_extendedprice"), "money"), _number(F.col("l_quantity").cast("int"), "amount"),
+           _time("l_shipdate", "create_time"), _time("l_shipdate", "update_time")]
+    return li.select(_change(_cdc_type(F.col("l_orderkey")), F.col("l_orderkey") % 5 == 2, row).alias("value"))
 
 
 def gift_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The gift dimension's change log: (id, name, point, deleted, seq).
 
-    Every part is one change of gift ``p_partkey % 80``.  Parts 0-159 are the
-    newest changes (sequence = part key; 150-159 are deletes), the rest are
-    older history (negative sequence), so the log grows with ``part`` while the
-    current snapshot is that of FIXTURES.md at every scale.
+    Every part is a change of a gift; four parts in a row are changes of three
+    gifts, so gifts and changes grow with ``part``.  The order of the changes
+    is spread over the keys, and one change in seven deletes its gift.
     """
     p = table(spark, sf_dir, "part")
     return p.selectExpr(
-        "cast(p_partkey % 80 AS INT) AS id", "p_name AS name", "p_retailprice / 100 AS point",
-        "CASE WHEN p_partkey BETWEEN 150 AND 159 THEN 1 ELSE 0 END AS deleted",
-        "CASE WHEN p_partkey < 160 THEN p_partkey ELSE -p_partkey END AS seq")
+        "p_partkey * 3 div 4 AS id", "p_name AS name", "p_retailprice / 100 AS point",
+        "CASE WHEN p_partkey % 7 = 3 THEN 1 ELSE 0 END AS deleted", "p_partkey * 7919 % 104729 AS seq")
 
 
 # ---- orders ---------------------------------------------------------------
@@ -214,13 +233,14 @@ ARRIVAL_BATCH_MS = 90 * DAY_MS
 
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines (details): order_id, line, sku, ts_ms, and the arrival batch."""
+    """Order lines (details): order_id, line, sku, ts_ms, and the arrival batch (NULL for a few)."""
     li = table(spark, sf_dir, "lineitem")
     ts = epoch_ms_from_ntz("l_shipdate", NEAREST)
     arrival = ts + (F.col("l_orderkey") % ARRIVAL_SPREAD_DAYS) * F.lit(DAY_MS)
     return li.select(F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line"),
                      F.col("l_partkey").alias("sku"), ts.alias("ts_ms"),
-                     (floor_to(arrival, ARRIVAL_BATCH_MS) / F.lit(ARRIVAL_BATCH_MS)).cast("long").alias("batch"))
+                     F.when((F.col("l_orderkey") + F.col("l_linenumber")) % 97 != 3, (
+                         floor_to(arrival, ARRIVAL_BATCH_MS) / F.lit(ARRIVAL_BATCH_MS)).cast("long")).alias("batch"))
 
 
 def order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
