@@ -58,7 +58,8 @@ def lenient(value: Column, kind: T.DataType, time_zone: str = "UTC") -> Column:
     if isinstance(kind, (T.LongType, T.IntegerType)):
         return F.coalesce(text.try_cast(kind), text.try_cast("decimal(38,6)").try_cast(kind))
     if isinstance(kind, T.TimestampType):
-        wall = F.to_utc_timestamp(F.concat(text, F.lit("Z")).try_cast("timestamp"), time_zone)
+        day = F.when(F.length(text) <= 10, F.lit("T00:00:00Z")).otherwise(F.lit("Z"))
+        wall = F.to_utc_timestamp(F.concat(text, day).try_cast("timestamp"), time_zone)
         instant = F.when(text.rlike(_ZONED), text.try_cast("timestamp")).otherwise(wall)
         return F.coalesce(F.when(text.rlike("^-?[0-9]{6,}$"), F.timestamp_millis(text.try_cast("bigint"))), instant)
     return text.try_cast(kind)
@@ -148,7 +149,7 @@ def split_delimited(df: DataFrame, fields, text_col: str = "value", sep: str = "
     parts = F.split(F.col(text_col), re.escape(sep))
     cols = []
     for i, (name, typ) in enumerate(fields):
-        raw = F.trim(parts.getItem(i))
+        raw = F.trim(F.get(parts, i))
         cols.append((raw if typ == "string" else raw.try_cast(typ)).alias(name))
     out = df.select(*keep, *cols, (F.size(parts) >= len(fields)).alias("_complete"))
     if strict:

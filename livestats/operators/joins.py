@@ -1,44 +1,11 @@
-"""Join helpers: size-checked broadcast and epoch-window equi joins."""
+"""Join helper: epoch-window equi joins."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
 from .windows import tumbling_start
 
-# Largest side that is ever broadcast without a further check (rows).  The
-# dimension tables this library broadcasts are narrow (a handful of columns),
-# so this bounds the broadcast at a few tens of megabytes.
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Hint ``broadcast`` only after proving the side has at most ``max_rows`` rows.
-
-    The proof is a distributed ``count()``: partial counts per task, one row
-    per task to the final count, no columns read beyond what the plan needs.
-    (``limit(n).count()`` would gather up to n rows from every task into a
-    single task.)  Above the bound no hint is given and the planner, with
-    AQE, keeps a shuffle join.
-    """
-    bound = BROADCAST_MAX_ROWS if max_rows is None else max_rows
-    n = df.count()
-    return F.broadcast(df) if n <= bound else df
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Compute a small derived table once and cut its lineage.
-
-    Uses a reliable ``checkpoint`` into the shared folder named by
-    ``spark.checkpoint.dir`` (survives executor loss), so that a later size
-    check and the main query both read the stored rows instead of
-    recomputing them from the big input.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
 
 def window_left_join(left: DataFrame, right: DataFrame, key: tuple[str, str], size_ms: int,
                      left_time: str = "ts_ms", right_time: str = "ts_ms",

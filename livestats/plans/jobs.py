@@ -61,7 +61,8 @@ def records(spark: SparkSession, source, max_files_per_trigger: int | None = Non
 
 def event_stream(spark: SparkSession, source, max_files_per_trigger: int | None = None) -> DataFrame:
     """S2 + P2: parsed events with record id and arrival sequence."""
-    e = parse.parse_events(records(spark, source, max_files_per_trigger), keep=("record_id", "offset"))
+    e = parse.parse_events(records(spark, source, max_files_per_trigger), keep=("record_id", "offset"),
+                           metrics="events")
     return e.withColumnRenamed("offset", "seq")
 
 
@@ -80,10 +81,11 @@ LAUNCH_CARRY = ("event_name", "is_new", "os_name", "province", "release_channel"
 
 
 def launch_rows(spark, source, sink: Sink, flag_col: str = "is_n", checkpoint_root=None,
-                name: str = "launch_rows", trigger=None):
+                name: str = "launch_rows", trigger=None, partitioned_path: str | None = None):
     """Wide launch rows to a warehouse (M3 + M5, K2/K5).  ``flag_col`` is
     ``is_n`` (the first-seen flag, computed over all events first) or
-    ``is_new`` (the arriving flag)."""
+    ``is_new`` (the arriving flag).  With ``partitioned_path`` the rows land
+    there in date and hour folders."""
     ev = event_stream(spark, source)
     if flag_col == "is_n":
         # the flag is computed over all events (not only launches), and the
@@ -91,19 +93,28 @@ def launch_rows(spark, source, sink: Sink, flag_col: str = "is_n", checkpoint_ro
         use_rocksdb(spark)
         ev = stateful.first_seen_stream(ev, carry=LAUNCH_CARRY)
     rows = users.launch_rows(users.app_launches(ev), flag_col=flag_col)
+    if partitioned_path:  # date and hour folders of files (K5), each batch exactly once
+        ckpt = f"{checkpoint_root.rstrip('/')}/{name}" if checkpoint_root else checkpoint_location(spark, name)
+        w = sinks.partitioned_files(rows, partitioned_path, ckpt).queryName(name)
+        return (w.trigger(**trigger) if trigger else w).start()
     return _start(rows, name, sink, "append", checkpoint_root, trigger)
 
 
 def first_seen(spark, source, sink: Sink = "console", per_type: bool = False, approximate: bool = False,
-               checkpoint_root=None, trigger=None):
+               checkpoint_root=None, trigger=None, capacity: int | None = None, fpp: float = 0.01,
+               buckets: int = stateful.BUCKETS):
     """First-seen device flag: per device type (D1), per device (D2), or the
-    bounded-memory approximation (D3)."""
+    bounded-memory approximation (D3).
+
+    D3 holds ``buckets`` filters for ``capacity`` devices in all (per type) at
+    a false-positive rate of ``fpp``; beyond the capacity more new devices go
+    unflagged, and more tasks than buckets have no work."""
     use_rocksdb(spark)
     ev = event_stream(spark, source)
     keys = ("device_type", "device_id") if per_type else ("device_id",)
     if approximate:
-        cap = stateful.CAPACITY_PER_TYPE if per_type else stateful.CAPACITY_PER_TASK
-        out = stateful.approx_first_seen_stream(ev, capacity=cap, keys=keys)
+        cap = capacity or (stateful.CAPACITY_PER_TYPE if per_type else stateful.CAPACITY_PER_TASK)
+        out = stateful.approx_first_seen_stream(ev, capacity=cap, fpp=fpp, buckets=buckets, keys=keys)
     else:
         out = stateful.first_seen_stream(ev, keys)
     return _start(out, "first_seen", sink, "append", checkpoint_root, trigger)
@@ -118,20 +129,33 @@ def live_audience(spark, source, sink: Sink = "console", checkpoint_root=None, t
 
 
 def live_audience_windows(spark, source, sink: Sink = "console", size_ms: int = audience.WINDOW_MS,
-                          checkpoint_root=None, trigger=None):
-    """Per-window deltas (A6); the history (W5) is the running sum of the
-    deltas, kept by the sink (e.g. an additive upsert) or by ``streams.running_sum``."""
-    return _start(streams.audience_window_delta(event_stream(spark, source), size_ms), "audience_windows",
+                          checkpoint_root=None, trigger=None, delay: str = streams.DEFAULT_DELAY):
+    """Per event-time window deltas (A6); windows close ``delay`` behind the newest event."""
+    return _start(streams.audience_window_delta(event_stream(spark, source), size_ms, delay), "audience_windows",
                   sink, "append", checkpoint_root, trigger)
 
 
+def live_audience_batches(spark, source, sink: Callable[[DataFrame, int], None], history_sink: Sink = "console",
+                          size_ms: int = audience.WINDOW_MS, checkpoint_root=None, trigger=None,
+                          max_files_per_trigger: int | None = None):
+    """Deltas by processing-time window (A6, W4) and every room's history.
+
+    The trigger interval is the window, so no event is late or dropped; the
+    history is the running total, emitted for each room that changed."""
+    trigger = trigger or {"processingTime": f"{int(size_ms)} milliseconds"}
+    ev = event_stream(spark, source, max_files_per_trigger)
+    handler = sink("audience_batches") if isinstance(sink, PerQuery) else sink
+    return [_start(ev, "audience_batches", streams.audience_batch_delta(handler), "append", checkpoint_root, trigger),
+            _start(streams.audience_totals(ev), "audience_history", history_sink, "update", checkpoint_root, trigger)]
+
+
 def effective_audience(spark, source, sink: Sink = "console", stay_ms: int = audience.STAY_MS,
-                       checkpoint_root=None, trigger=None):
+                       checkpoint_root=None, trigger=None, delay: str = streams.DEFAULT_DELAY):
     """Stays of at least ``stay_ms`` (A7): one row per settled enter plus
     online deltas; per-room totals are their sums."""
     use_rocksdb(spark)
     live = audience.live_events(event_stream(spark, source), metrics="effective_audience_incomplete")
-    return _start(stateful.stay_stream(live, stay_ms), "effective_audience", sink, "append",
+    return _start(stateful.stay_stream(live, stay_ms, delay), "effective_audience", sink, "append",
                   checkpoint_root, trigger)
 
 
@@ -140,7 +164,8 @@ def effective_audience(spark, source, sink: Sink = "console", stay_ms: int = aud
 def gift_count(spark, source, snapshot: DataFrame, totals_sink: Sink = "console", by_name_sink: Sink = "console",
                checkpoint_root=None, trigger=None):
     """Gift totals per room (J1 + A8, upsert with ``sinks.jdbc_upsert``) and
-    count per gift name (A9).  ``snapshot`` is re-read at every micro-batch."""
+    count per gift name (A9) against a fixed ``snapshot`` (as it is when the
+    queries start); for a changing one see :func:`gift_count_refreshing`."""
     ev = event_stream(spark, source)
     enriched = streams.gift_enriched(ev, snapshot)
     return [_start(gifts.gift_totals(enriched), "gift_totals", totals_sink, "update", checkpoint_root, trigger),
@@ -154,11 +179,16 @@ def gift_count_refreshing(spark, source, snapshot, landing_path: str, totals_sin
     lands the rows (A12); stage 2 keeps the running totals (A8, A9) over the
     landing.  ``snapshot`` is a ``sources.dimension.DimensionSnapshot``.
     Returns the stage-1 query and a function starting stage 2."""
-    from ..streaming.enrich import RefreshingEnricher, enriched_stream
+    from ..streaming.enrich import ENRICHED_SCHEMA, RefreshingEnricher, enriched_stream
     q1 = _start(event_stream(spark, source), "gift_enrich", RefreshingEnricher(snapshot, landing_path), "append",
                 checkpoint_root, trigger)
 
     def start_totals():
+        if trigger and trigger.get("availableNow"):
+            q1.awaitTermination()  # a one-shot run: let the totals see every landed row
+        # make sure the landing folder exists (through Spark, so shared storage works)
+        schema = T.StructType([f for f in T.StructType.fromDDL(ENRICHED_SCHEMA).fields if f.name != "batch_id"])
+        spark.createDataFrame([], schema).write.mode("append").parquet(f"{landing_path.rstrip('/')}/batch_id=-1")
         e = enriched_stream(spark, landing_path)
         return [_start(gifts.gift_totals(e), "gift_totals", totals_sink, "update", checkpoint_root, trigger),
                 _start(gifts.count_by_gift(e), "gift_by_name", by_name_sink, "update", checkpoint_root, trigger)]
@@ -168,9 +198,10 @@ def gift_count_refreshing(spark, source, snapshot, landing_path: str, totals_sin
 # ---- products ------------------------------------------------------------------------
 
 def hot_goods(spark, source, write: Callable[[DataFrame, int], None], size_ms: int = 600_000,
-              slide_ms: int = 60_000, n: int = 3, checkpoint_root=None, trigger=None):
+              slide_ms: int = 60_000, n: int = 3, checkpoint_root=None, trigger=None,
+              delay: str = streams.DEFAULT_DELAY):
     """Top ``n`` products per closed sliding window (A10 + T1)."""
-    counts = streams.product_window_counts(event_stream(spark, source), size_ms, slide_ms)
+    counts = streams.product_window_counts(event_stream(spark, source), size_ms, slide_ms, delay)
     return _start(counts, "hot_goods", streams.top_n_per_batch(n, write), "append", checkpoint_root, trigger)
 
 
@@ -179,9 +210,10 @@ def hot_goods(spark, source, write: Callable[[DataFrame, int], None], size_ms: i
 ORDER_COLS = ["order_id", "line", "sku", "ts_ms"]
 
 
-def order_count(spark, lines: DataFrame, headers: DataFrame, snapshot: DataFrame, joined_sink: Sink,
-                rescued_write: Callable[[DataFrame, int], None], on_time_path: str | None = None,
-                size_ms: int = orders.WINDOW_MS, checkpoint_root=None, trigger=None):
+def order_count(spark, lines: DataFrame, headers: DataFrame, snapshot: DataFrame | Callable[[], DataFrame],
+                joined_sink: Callable[[DataFrame, int], None], rescued_write: Callable[[DataFrame, int], None],
+                on_time_path: str | None = None, size_ms: int = orders.WINDOW_MS, checkpoint_root=None, trigger=None,
+                delay: str = streams.DEFAULT_DELAY):
     """Order lines joined to headers in windows (J2), late lines split off
     (W7), given an empty header (M6) and looked up in the snapshot (J4).
 
@@ -190,7 +222,14 @@ def order_count(spark, lines: DataFrame, headers: DataFrame, snapshot: DataFrame
     lines land (once per batch id) in ``on_time_path``, and
     the windowed stream-stream join reads them from there.  So each line takes
     exactly one of the two paths (Spark's join alone may still match a line
-    behind its watermark while the header is in state).
+    behind its watermark while the header is in state).  Joined lines that
+    found no header in their window are looked up in the snapshot too.
+
+    ``snapshot`` is the table of orders, or a function that reads it anew: then
+    every micro-batch sees the orders that have arrived by then.  It is reduced
+    to the batch's order ids before it is joined.  ``joined_sink`` and
+    ``rescued_write`` are ``foreachBatch`` handlers (or the name of a format for
+    ``joined_sink``, which then gets the plain join).
 
     ``lines``/``headers`` are parsed streams with ``order_id`` and ``ts_ms``.
     Returns the splitter query and the join query.
@@ -199,8 +238,17 @@ def order_count(spark, lines: DataFrame, headers: DataFrame, snapshot: DataFrame
     on_time_path = (on_time_path or f"{root}/order_lines_on_time").rstrip("/")
     line_schema = lines.select(*ORDER_COLS).schema
 
+    def known(ids: DataFrame) -> DataFrame:
+        all_orders = snapshot() if callable(snapshot) else snapshot
+        return all_orders.join(ids.select("order_id").distinct(), "order_id", "left_semi")
+
     def rescue(late_df: DataFrame, batch_id: int) -> None:
-        rescued_write(orders.rescue(None, late_df.select(*ORDER_COLS), snapshot), batch_id)
+        rescued_write(orders.rescue(None, late_df.select(*ORDER_COLS), known(late_df)), batch_id)
+
+    def complete(joined_df: DataFrame, batch_id: int) -> None:
+        missing = joined_df.where(F.col("total_money").isNull() & F.col("status").isNull())
+        found = orders.rescue(joined_df, missing.limit(0).select(*ORDER_COLS), known(missing))
+        handler(found, batch_id)
 
     def land(on_time_df: DataFrame, batch_id: int) -> None:
         sinks.write_batch(on_time_df.select(*ORDER_COLS), on_time_path, batch_id)
@@ -213,24 +261,27 @@ def order_count(spark, lines: DataFrame, headers: DataFrame, snapshot: DataFrame
     spark.createDataFrame([], line_schema).write.mode("append").parquet(f"{on_time_path}/batch_id=-1")
     landed = T.StructType(line_schema.fields + [T.StructField("batch_id", T.LongType())])
     on_time = spark.readStream.schema(landed).parquet(on_time_path).drop("batch_id")
-    j = streams.order_join_stream(on_time, headers, size_ms)
-    q2 = _start(j, "order_join", joined_sink, "append", checkpoint_root, trigger)
+    j = streams.order_join_stream(on_time, headers, size_ms, delay)
+    handler = joined_sink("order_join") if isinstance(joined_sink, PerQuery) else joined_sink
+    q2 = _start(j, "order_join", complete if callable(handler) else handler, "append", checkpoint_root, trigger)
     return [q1, q2]
 
 
-def cdc_stream(spark, source, row_schema, max_files_per_trigger: int | None = None) -> DataFrame:
+def cdc_stream(spark, source, row_schema, max_files_per_trigger: int | None = None,
+               metrics: str = "changes") -> DataFrame:
     """P3/P4 on a stream of change-capture records."""
-    return parse.parse_cdc(records(spark, source, max_files_per_trigger), row_schema, keep=("record_id",))
+    return parse.parse_cdc(records(spark, source, max_files_per_trigger), row_schema, keep=("record_id",),
+                           metrics=metrics)
 
 
 def order_streams(spark, headers_source, lines_source,
                   max_files_per_trigger: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Order headers and lines from their change-capture topics, in the
     shape ``order_count`` takes; event time is the row's update time."""
-    h = cdc_stream(spark, headers_source, schemas.ORDER_HEADER, max_files_per_trigger).select(
+    h = cdc_stream(spark, headers_source, schemas.ORDER_HEADER, max_files_per_trigger, "order_headers").select(
         F.col("oid").alias("order_id"), F.unix_millis("update_time").alias("ts_ms"), "total_money",
         F.col("status").cast("string").alias("status"))
-    li = cdc_stream(spark, lines_source, schemas.ORDER_LINE, max_files_per_trigger).select(
+    li = cdc_stream(spark, lines_source, schemas.ORDER_LINE, max_files_per_trigger, "order_lines").select(
         "order_id", F.col("id").alias("line"), "sku", F.unix_millis("update_time").alias("ts_ms"))
     return h, li
 
@@ -255,10 +306,16 @@ def lines_to_table(spark, lines_dir: str, sink: Callable[[DataFrame, int], None]
     return _start(rows, "lines_to_table", sink, "append", checkpoint_root, trigger)
 
 
-def filter_topic(spark, source, sink: Sink, word: str = "error", checkpoint_root=None, trigger=None):
+def filter_topic(spark, source, sink: Sink, word: str = "error", checkpoint_root=None, trigger=None,
+                 to_topic: tuple[str, str] | None = None):
     """Topic-to-topic ETL dropping lines containing ``word`` (F4 + K4); rows
-    carry the source record id as key for de-duplication downstream."""
+    carry the source record id as key for de-duplication downstream.
+    ``to_topic`` = (servers, topic) writes to a topic instead of ``sink``."""
     r = records(spark, source)
+    if to_topic:
+        ckpt = f"{checkpoint_root.rstrip('/')}/filter_topic" if checkpoint_root else checkpoint_location(spark, "filter_topic")
+        w = sinks.topic_writer(r.where(line_without(word)), *to_topic, ckpt).queryName("filter_topic")
+        return (w.trigger(**trigger) if trigger else w).start()
     out = sinks.topic_records(r.where(line_without(word)))
     return _start(out, "filter_topic", sink, "append", checkpoint_root, trigger)
 

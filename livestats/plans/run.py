@@ -8,7 +8,9 @@ Source options keep the app's names (``bootstrap.servers``, ``input.topics``,
 ``checkpoint.path``); ``input.path`` replays topic records from files instead.
 Sinks: ``jdbc.url`` + ``jdbc.table`` (append, or upsert with ``jdbc.keys``),
 else ``output.path`` (parquet, one folder per micro-batch, written once), else
-the console.
+the console.  A job with several outputs names each table and its keys by the
+query (``jdbc.table.gift_totals``, ``jdbc.keys.gift_totals``).
+``watermark.ms`` is how far event-time jobs wait for rows out of order.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import sinks
 from ..session import build_session, ensure_checkpoint_dir
 from ..sources import dimension, topic
+from ..streaming import stateful
 from . import jobs
 
 
@@ -55,12 +58,36 @@ def trigger_of(props: dict[str, str]) -> dict | None:
     return {"processingTime": f"{int(props.get('checkpoint.interval', topic.DEFAULT_CHECKPOINT_INTERVAL_MS))} milliseconds"}
 
 
-def sink_of(props: dict[str, str], default: str = "console"):
-    """The job's sink; with ``output.path`` each query writes its own folder."""
-    if props.get("output.path") and not props.get("jdbc.url"):
-        return jobs.PerQuery(lambda name: _sink(dict(props, **{"output.path": f"{props['output.path'].rstrip('/')}/{name}"}),
-                                                default))
-    return _sink(props, default)
+# Jobs with several outputs, each with its own columns.
+SEVERAL = ("user_count", "gift_count", "order_count", "live_audience_batches", "window_sum_with_history")
+
+
+def sink_of(props: dict[str, str], default: str = "console", several: bool = False):
+    """The job's sink; with ``output.path`` each query writes its own folder,
+    and with ``jdbc.table.<query>`` its own table."""
+    def of_query(name: str):
+        own = dict(props)
+        if props.get("output.path"):
+            own["output.path"] = f"{props['output.path'].rstrip('/')}/{name}"
+        for key in ("jdbc.table", "jdbc.keys"):
+            if props.get(f"{key}.{name}"):
+                own[key] = props[f"{key}.{name}"]
+        if props.get("jdbc.url") and several and not props.get(f"jdbc.table.{name}"):
+            raise ValueError(f"a job with several outputs needs jdbc.table.{name}")
+        return _sink(own, default)
+    if props.get("output.path") or props.get("jdbc.url"):
+        return jobs.PerQuery(of_query)
+    return default
+
+
+def handler_of(sink, name: str):
+    """A ``foreachBatch`` handler for a query."""
+    own = sink(name) if isinstance(sink, jobs.PerQuery) else sink
+    return own if callable(own) else (lambda df, bid: df.show(truncate=False))
+
+
+def delay_of(props: dict[str, str]) -> str:
+    return f"{int(props.get('watermark.ms', 0))} milliseconds"
 
 
 def _sink(props: dict[str, str], default: str = "console") -> str | Callable[[DataFrame, int], None]:
@@ -84,28 +111,37 @@ def start(job: str, props: dict[str, str], spark: SparkSession | None = None):
     spark = spark or build_session()
     ck = props.get("checkpoint.path")
     trig = trigger_of(props)
-    sink = sink_of(props)
+    sink = sink_of(props, several=job in SEVERAL)
+    delay = delay_of(props)
     if job == "user_count":
         return jobs.user_count(spark, source_of(props), sink, ck, trig)
     if job in ("launch_rows", "launch_rows_first_seen"):
         flag = "is_n" if job == "launch_rows_first_seen" else props.get("flag.column", "is_new")
-        return [jobs.launch_rows(spark, source_of(props), sink, flag, ck, trigger=trig)]
+        folders = props.get("output.path") if props.get("output.partitioned") == "true" else None
+        return [jobs.launch_rows(spark, source_of(props), sink, flag, ck, trigger=trig, partitioned_path=folders)]
     if job == "first_seen":
         return [jobs.first_seen(spark, source_of(props), sink, props.get("per.type") == "true",
-                                props.get("approximate") == "true", ck, trig)]
+                                props.get("approximate") == "true", ck, trig,
+                                int(props["bloom.capacity"]) if props.get("bloom.capacity") else None,
+                                float(props.get("bloom.fpp", 0.01)), int(props.get("bloom.buckets", stateful.BUCKETS)))]
     if job == "live_audience":
         return [jobs.live_audience(spark, source_of(props), sink, ck, trig)]
     if job == "live_audience_windows":
-        return [jobs.live_audience_windows(spark, source_of(props), sink, int(props.get("window.ms", 5000)), ck, trig)]
+        return [jobs.live_audience_windows(spark, source_of(props), sink, int(props.get("window.ms", 5000)), ck, trig,
+                                           delay)]
+    if job == "live_audience_batches":
+        return jobs.live_audience_batches(spark, source_of(props), handler_of(sink, "audience_batches"), sink,
+                                          int(props.get("window.ms", 5000)), ck, trig)
     if job == "effective_audience":
-        return [jobs.effective_audience(spark, source_of(props), sink, int(props.get("stay.ms", 60000)), ck, trig)]
+        return [jobs.effective_audience(spark, source_of(props), sink, int(props.get("stay.ms", 60000)), ck, trig,
+                                        delay)]
     if job == "hot_goods":
-        write = sink("hot_goods") if isinstance(sink, jobs.PerQuery) else (
-            sink if callable(sink) else (lambda df, bid: df.show(truncate=False)))
-        return [jobs.hot_goods(spark, source_of(props), write, int(props.get("window.ms", 600000)),
-                               int(props.get("slide.ms", 60000)), int(props.get("top.n", 3)), ck, trig)]
+        return [jobs.hot_goods(spark, source_of(props), handler_of(sink, "hot_goods"),
+                               int(props.get("window.ms", 600000)), int(props.get("slide.ms", 60000)),
+                               int(props.get("top.n", 3)), ck, trig, delay)]
     if job == "filter_topic":
-        return [jobs.filter_topic(spark, source_of(props), sink, props.get("drop.word", "error"), ck, trig)]
+        to = (props["bootstrap.servers"], props["output.topic"]) if props.get("output.topic") else None
+        return [jobs.filter_topic(spark, source_of(props), sink, props.get("drop.word", "error"), ck, trig, to)]
     if job == "groupon_count":
         return [jobs.groupon_count(spark, props["detail.path"], props["main.path"], props["order.path"], sink,
                                    int(props.get("window.ms", 5000)), ck, trig)]
@@ -133,12 +169,14 @@ def start(job: str, props: dict[str, str], spark: SparkSession | None = None):
         # two change-capture topics (order.topics / detail.topics) and an order snapshot table
         headers, lines = jobs.order_streams(spark, props.get("order.path") or source_of(props, "order.topics"),
                                             props.get("detail.path") or source_of(props, "detail.topics"))
-        snapshot = spark.read.parquet(props["orders.snapshot.path"]).selectExpr(
-            "oid AS order_id", "total_money", "cast(status AS STRING) AS status")
-        rescued = sink("order_rescued") if isinstance(sink, jobs.PerQuery) else (
-            sink if callable(sink) else (lambda df, bid: df.show(truncate=False)))
-        return jobs.order_count(spark, lines, headers, snapshot, sink, rescued,
-                                size_ms=int(props.get("window.ms", 10000)), checkpoint_root=ck, trigger=trig)
+
+        def snapshot():  # listed anew, so orders that have arrived since are found
+            return spark.read.parquet(props["orders.snapshot.path"]).selectExpr(
+                "oid AS order_id", "total_money", "cast(status AS STRING) AS status",
+                "unix_millis(update_time) AS ts_ms")
+        return jobs.order_count(spark, lines, headers, snapshot, handler_of(sink, "order_join"),
+                                handler_of(sink, "order_rescued"), size_ms=int(props.get("window.ms", 10000)),
+                                checkpoint_root=ck, trigger=trig, delay=delay)
     raise ValueError(f"unknown job {job!r}")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
 
 # Settings every job relies on.  The session zone is pinned because window
@@ -55,7 +56,8 @@ def build_session(master: str | None = None, app: str = "livestats",
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
-    ensure_checkpoint_dir(spark)
+    if spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.master.startswith("local"):
+        ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -63,16 +65,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     The cluster sets this to shared storage, and it is used as is.  Only when
-    it is unset (local runs and tests) is a scratch folder created; it is
+    it is unset on a local master (tests) is a scratch folder created, since a
+    cluster's machines don't share one; there the call fails.  The folder is
     given to the context (``setCheckpointDir``), never written into the
     session conf, which Spark does not allow at runtime.
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or _LOCAL_FALLBACK.get("path")
     try:
         sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - no driver-side context (Spark Connect)
+    except (AttributeError, PySparkException):  # no driver-side context (Spark Connect)
         sc = None
     if not path:
+        if sc is None or not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = _LOCAL_FALLBACK["path"] = tempfile.mkdtemp(prefix="livestats-ckpt-")
     if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(path)

@@ -59,6 +59,30 @@ def jdbc_append(opts: JdbcOptions) -> Callable[[DataFrame, int], None]:
     return handle
 
 
+# Which upsert a database has, by the start of its JDBC address.
+UPSERT_DIALECTS = {"jdbc:mysql:": "duplicate key", "jdbc:mariadb:": "duplicate key",
+                   "jdbc:postgresql:": "conflict", "jdbc:sqlite:": "conflict"}
+
+
+def upsert_dialect(url: str) -> str:
+    return next((d for prefix, d in UPSERT_DIALECTS.items() if url.startswith(prefix)), "merge")
+
+
+def upsert_sql(dialect: str, target: str, staging: str, keys: list[str], cols: list[str]) -> str:
+    """The statement that upserts ``staging`` into ``target`` on ``keys``, in a database's own dialect."""
+    if dialect == "merge":
+        return merge_sql(target, staging, keys, cols)
+    names = ", ".join(cols)
+    rest = [c for c in cols if c not in keys]
+    insert = f"INSERT INTO {target} ({names}) SELECT {names} FROM {staging}"
+    if dialect == "duplicate key":
+        return f"{insert} ON DUPLICATE KEY UPDATE " + ", ".join(f"{c} = VALUES({c})" for c in rest or keys)
+    if dialect == "conflict":
+        what = "UPDATE SET " + ", ".join(f"{c} = excluded.{c}" for c in rest) if rest else "NOTHING"
+        return f"{insert} WHERE TRUE ON CONFLICT ({', '.join(keys)}) DO {what}"
+    raise ValueError(f"unknown upsert dialect {dialect!r}")
+
+
 def merge_sql(target: str, staging: str, keys: list[str], cols: list[str]) -> str:
     """The MERGE that upserts ``staging`` into ``target`` on ``keys``."""
     on = " AND ".join(f"t.{k} = s.{k}" for k in keys)
@@ -70,20 +94,23 @@ def merge_sql(target: str, staging: str, keys: list[str], cols: list[str]) -> st
             f"WHEN NOT MATCHED THEN INSERT ({ins_cols}) VALUES ({ins_vals})")
 
 
-def jdbc_upsert(opts: JdbcOptions, keys: list[str], staging_table: str | None = None) -> Callable[[DataFrame, int], None]:
+def jdbc_upsert(opts: JdbcOptions, keys: list[str], staging_table: str | None = None,
+                dialect: str | None = None) -> Callable[[DataFrame, int], None]:
     """K3: ``foreachBatch`` handler upserting each micro-batch keyed by ``keys``.
 
     The batch (one row per key: the update-mode output of a running
-    aggregate) is written to a staging table, then one MERGE moves it into
-    the target.  A retried batch writes the same staging rows and the MERGE
-    sets the same values, so the upsert is idempotent.
+    aggregate) is written to a staging table, then one statement moves it into
+    the target, in the dialect of the database (by default by its address).  A
+    retried batch writes the same staging rows and the statement sets the same
+    values, so the upsert is idempotent.
     """
+    dialect = dialect or upsert_dialect(opts.url)
     staging = staging_table or f"{opts.table}_staging"
 
     def handle(batch_df: DataFrame, batch_id: int) -> None:
         stage_opts = dict(opts.writer_options(), dbtable=staging, truncate="true")
         batch_df.write.format("jdbc").options(**stage_opts).mode("overwrite").save()
-        sql = merge_sql(opts.table, staging, keys, batch_df.columns)
+        sql = upsert_sql(dialect, opts.table, staging, keys, batch_df.columns)
         jvm = batch_df.sparkSession.sparkContext._jvm
         conn = jvm.java.sql.DriverManager.getConnection(opts.url, opts.user, opts.password) \
             if opts.user else jvm.java.sql.DriverManager.getConnection(opts.url)
@@ -119,9 +146,11 @@ def write_partitioned(df: DataFrame, path: str, parts=("date", "hour"), mode: st
     """K5 (batch): land rows under ``date=.../hour=...`` folders.
 
     Rows are clustered by the partition columns first, so each task writes
-    few files per partition instead of one per partition per task.
+    few files per partition instead of one per partition per task.  The
+    rebalance lets adaptive execution split an hour that holds much of the
+    data into several tasks, which a repartition by column would not.
     """
-    (df.repartition(*parts).write.mode(mode).partitionBy(*parts).format(fmt).save(path))
+    (df.hint("rebalance", *[F.col(p) for p in parts]).write.mode(mode).partitionBy(*parts).format(fmt).save(path))
 
 
 def partitioned_files(df: DataFrame, path: str, checkpoint: str, parts=("date", "hour"), fmt: str = "parquet"):
@@ -137,7 +166,7 @@ def read_partitioned(spark, path: str, schema, fmt: str = "parquet") -> DataFram
     return spark.read.schema(schema).format(fmt).load(path)
 
 
-def _exists(spark, path: str) -> bool:
+def path_exists(spark, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
@@ -153,6 +182,6 @@ def write_batch(df: DataFrame, base: str, batch_id: int, fmt: str = "parquet") -
     names, which a file source reads again).
     """
     path = f"{base.rstrip('/')}/batch_id={batch_id}"
-    if _exists(df.sparkSession, f"{path}/_SUCCESS"):
+    if path_exists(df.sparkSession, f"{path}/_SUCCESS"):
         return
     df.write.mode("overwrite").format(fmt).save(path)

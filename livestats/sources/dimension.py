@@ -1,9 +1,10 @@
 """S3: a polled dimension (the gift table) merged into a snapshot.
 
-Each poll reads only the rows changed since the high-water mark (a pushed
-down predicate on the update time), and the snapshot keeps the latest change
-per id with deletes applied.  Re-reading a row is harmless: the merge is
-keyed by id and ordered by update time.
+Each poll reads only the rows changed at or since the high-water mark (a
+pushed down predicate on the update time), so a change that commits later with
+the mark's own time is not lost, and the snapshot keeps the latest change per
+id with deletes applied.  Re-reading a row is harmless: the merge is keyed by
+id and ordered by update time; of equal times the one read last counts.
 """
 
 from __future__ import annotations
@@ -12,9 +13,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from ..operators.gifts import gift_snapshot
+from ..sinks import path_exists
 
 # Poll interval of the gift dimension (ms).
 POLL_INTERVAL_MS = 5_000
@@ -28,7 +29,7 @@ def jdbc_changes(url: str, table: str, props: dict[str, str] | None = None,
     changed rows travel.
     """
     def read(spark: SparkSession, mark) -> DataFrame:
-        where = "" if mark is None else f" WHERE {time_col} > TIMESTAMP '{mark}'"
+        where = "" if mark is None else f" WHERE {time_col} >= TIMESTAMP '{mark}'"
         q = f"(SELECT id, name, point, deleted, {time_col} FROM {table}{where}) AS changes"
         return spark.read.jdbc(url, q, properties=props or {})
     return read
@@ -39,7 +40,7 @@ def table_changes(path: str, time_col: str = "update_time") -> Callable[[SparkSe
     (the filter is pushed into the scan)."""
     def read(spark: SparkSession, mark) -> DataFrame:
         df = spark.read.parquet(path)
-        return df if mark is None else df.where(F.col(time_col) > F.lit(mark).cast("timestamp"))
+        return df if mark is None else df.where(F.col(time_col) >= F.lit(mark).cast("timestamp"))
     return read
 
 
@@ -61,24 +62,25 @@ class DimensionSnapshot:
         self.slot = None  # slot holding the current snapshot (0 or 1), None before the first refresh
 
     def _log(self) -> DataFrame | None:
-        if self.slot is None:
-            return None
-        try:
-            return self.spark.read.parquet(f"{self.path}/slot={self.slot}")
-        except AnalysisException:
+        if self.slot is None or not path_exists(self.spark, f"{self.path}/slot={self.slot}/_SUCCESS"):
             return None
+        return self.spark.read.parquet(f"{self.path}/slot={self.slot}")
 
     def refresh(self) -> DataFrame:
         changes = self.read_changes(self.spark, self.mark).select(
             self.key, "name", "point", F.coalesce("deleted", F.lit(0)).alias("deleted"), self.time_col)
         cur = self._log()
-        if cur is not None and changes.isEmpty():
-            return self.current()
-        log = changes if cur is None else cur.unionByName(changes)
+        if cur is not None:
+            same = [changes[c].eqNullSafe(cur[c]) for c in changes.columns]
+            if changes.join(cur, same, "left_anti").isEmpty():
+                return self.current()
+        log = changes.withColumn("_read", F.lit(1))
+        log = log if cur is None else log.unionByName(cur.withColumn("_read", F.lit(0)))
         # keep the last change per id (deleted ones too, so a late re-read of
         # an older row cannot resurrect a deleted gift)
-        last = log.groupBy(self.key).agg(F.max_by(F.struct("name", "point", "deleted", self.time_col),
-                                                  self.time_col).alias("_l"))
+        change = F.struct("name", "point", "deleted", self.time_col)
+        last = log.groupBy(self.key).agg(F.max_by(change, F.struct(
+            self.time_col, "_read", "deleted", "name", "point")).alias("_l"))
         nxt = 0 if self.slot in (None, 1) else 1
         last.select(self.key, "_l.*").write.mode("overwrite").parquet(f"{self.path}/slot={nxt}")
         self.slot = nxt

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkNotImplementedError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -31,6 +32,6 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     try:
         want = min_partitions or spark.sparkContext.defaultParallelism
         have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: leave the scan as it is
+    except (AttributeError, PySparkNotImplementedError):  # a Spark Connect session: leave the scan as it is
         return df
     return df.repartition(want) if have < want else df

@@ -51,6 +51,7 @@ class TopicOptions:
             group_id=group or props.get("group.id", DEFAULT_GROUP),
             offset_reset=props.get("auto.offset.reset", DEFAULT_OFFSET_RESET),
             checkpoint_interval_ms=int(props.get("checkpoint.interval", DEFAULT_CHECKPOINT_INTERVAL_MS)),
+            extra={"failOnDataLoss": props["fail.on.data.loss"]} if props.get("fail.on.data.loss") else {},
         )
 
     def reader_options(self) -> dict[str, str]:
@@ -61,7 +62,8 @@ class TopicOptions:
             "subscribe": ",".join(self.topics),
             "startingOffsets": "earliest" if self.offset_reset == "earliest" else "latest",
             "groupIdPrefix": self.group_id,
-            "failOnDataLoss": "false",
+            # lost offsets stop the job; ``fail.on.data.loss=false`` lets it skip them
+            "failOnDataLoss": "true",
         }
         opts.update(self.extra)
         return opts

@@ -17,9 +17,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from ..operators.windows import tumbling_start
+from ..sinks import path_exists
 
 
 class LateSplitter:
@@ -31,10 +31,10 @@ class LateSplitter:
         self.on_late, self.on_time = on_late, on_time
 
     def _mark(self, spark, batch_id: int):
-        try:
-            row = spark.read.parquet(f"{self.marks_path}/batch={batch_id}").first()
-        except AnalysisException:
-            return None
+        path = f"{self.marks_path}/batch={batch_id}"
+        if not path_exists(spark, path):
+            raise RuntimeError(f"the mark of batch {batch_id} is gone: {path}")
+        row = spark.read.parquet(path).first()
         return None if row is None else row["running_max"]
 
     @staticmethod
@@ -46,6 +46,7 @@ class LateSplitter:
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
         prev = self._mark(spark, batch_id - 1) if batch_id > 0 else None
+        batch_df.persist()  # read three times below
         # one scalar per batch reaches the driver: the batch's max event time
         batch_max = batch_df.agg(F.max(self.time_col)).first()[0]
         seen = [v for v in (prev, batch_max) if v is not None]
@@ -63,3 +64,4 @@ class LateSplitter:
         self.on_late(flagged.where("is_late"), batch_id)
         if self.on_time is not None:
             self.on_time(flagged.where(~F.col("is_late")), batch_id)
+        batch_df.unpersist()

@@ -31,12 +31,14 @@ STAY_OUT = T.StructType([
 
 
 class StayProcessor(StatefulProcessor):
-    """Keyed by (anchor, room, session).  State: the time of the pending enter.
-
-    A pending enter is settled by the session's next event (counts when the
-    gap is >= stay) or by its event-time timer at enter + stay (counts).
-    Each settled enter is one output row with ``effective`` = 0/1; every
-    input row also carries its +1/-1 online ``delta``, summed per batch.
+    """Keyed by (anchor, room, visit).  State: the time of the pending enter and
+    the events that the watermark has not passed yet.
+
+    Events are held until the watermark passes them and are then settled in
+    time order, so rows out of order within the delay give the same stays as
+    the batch form.  A pending enter is settled by the session's next event
+    (counts when the gap is >= stay) or by the watermark passing enter + stay
+    (counts).  The online delta of a batch's rows leaves at once.
     """
 
     def __init__(self, stay_ms: int):
@@ -44,41 +46,53 @@ class StayProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
+        event = T.StructType([T.StructField("ts", T.LongType()), T.StructField("seq", T.LongType()),
+                              T.StructField("enter", T.BooleanType())])
         self.pending = handle.getValueState("pending", T.StructType([T.StructField("ts", T.LongType())]))
+        self.held = handle.getListState("held", event)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+    def _out(self, key, ts, effective, delta):
         anchor, room, session = key
-        evs = sorted(((r["ts_ms"], r["seq"], r["event_id"]) for r in rows))
-        p = self.pending.get()[0] if self.pending.exists() else None
-        counted, delta, last = 0, 0, None
-        for ts, _seq, name in evs:
-            if p is not None:
-                self.handle.deleteTimer(p + self.stay_ms)
-                if ts - p >= self.stay_ms:
-                    counted += 1
-                p = None
-            if name == schemas.LIVE_ENTER:
-                p = ts
-                self.handle.registerTimer(ts + self.stay_ms)
-                delta += 1
-            else:
-                delta -= 1
-            last = ts
-        if p is None:
-            self.pending.clear()
-        else:
-            self.pending.update((p,))
-        yield Row(anchor_id=anchor, room_id=room, live_session=session, ts_ms=last,
-                  effective=counted, delta=delta)
+        return Row(anchor_id=anchor, room_id=room, live_session=session, ts_ms=ts, effective=effective, delta=delta)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        delta, last, new = 0, None, []
+        for r in rows:
+            enter = r["event_id"] == schemas.LIVE_ENTER
+            delta += 1 if enter else -1
+            if r["ts_ms"] is None:
+                continue
+            last = r["ts_ms"] if last is None else max(last, r["ts_ms"])
+            new.append((r["ts_ms"], r["seq"], enter))
+        for ts in {e[0] for e in new}:
+            self.handle.registerTimer(ts)
+        if new:
+            self.held.appendList(new)
+        yield self._out(key, last, 0, delta)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        anchor, room, session = key
-        if self.pending.exists():
-            p = self.pending.get()[0]
-            if p + self.stay_ms == expiredTimerInfo.getExpiryTimeInMs():
-                self.pending.clear()
-                yield Row(anchor_id=anchor, room_id=room, live_session=session, ts_ms=p,
-                          effective=1, delta=0)
+        passed = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
+        pending = self.pending.get()[0] if self.pending.exists() else None
+        held = sorted(tuple(e) for e in self.held.get()) if self.held.exists() else []
+        counted, last = 0, None
+        for ts, _seq, enter in [e for e in held if e[0] <= passed]:
+            if pending is not None and ts - pending >= self.stay_ms:
+                counted, last = counted + 1, pending
+            pending = ts if enter else None
+        if pending is not None and pending + self.stay_ms <= passed:
+            counted, last, pending = counted + 1, pending, None
+        rest = [e for e in held if e[0] > passed]
+        if rest:
+            self.held.put(rest)
+        else:
+            self.held.clear()
+        if pending is None:
+            self.pending.clear()
+        else:
+            self.pending.update((pending,))
+            self.handle.registerTimer(pending + self.stay_ms)
+        if counted:
+            yield self._out(key, last, counted, 0)
 
     def close(self) -> None:
         pass
@@ -87,9 +101,16 @@ class StayProcessor(StatefulProcessor):
 def stay_stream(live: DataFrame, stay_ms: int = 60_000, delay: str = "0 seconds") -> DataFrame:
     """A7 on a stream of live events (anchor_id, room_id, live_session,
     event_id, ts_ms, seq).  Output: settled stays and online deltas; the
-    per-room totals are ``sum(effective)``, ``sum(delta)`` downstream."""
+    per-room totals are ``sum(effective)``, ``sum(delta)`` downstream.
+
+    Rows further behind the watermark than ``delay`` are dropped and counted
+    by Spark (``numRowsDroppedByWatermark`` in the progress).  An event without
+    a session is a visit of its own, as in the batch form.
+    """
     use_rocksdb(live.sparkSession)  # transformWithState needs the RocksDB state store
     src = live.withColumn("event_time", event_time("ts_ms")).withWatermark("event_time", delay)
+    if "record_id" in live.columns:
+        src = src.withColumn("live_session", F.coalesce("live_session", F.concat(F.lit("record "), F.col("record_id"))))
     return (src.groupBy("anchor_id", "room_id", "live_session")
                .transformWithState(StayProcessor(stay_ms), STAY_OUT, "Append", "EventTime"))
 
@@ -211,10 +232,12 @@ class BloomProcessor(StatefulProcessor):
 # Bloom capacities of the two first-seen forms (per device type; per task).
 CAPACITY_PER_TYPE = 2_000_000
 CAPACITY_PER_TASK = 500_000
+# Filters that the devices are spread over (the largest number of busy tasks).
+BUCKETS = 64
 
 
 def approx_first_seen_stream(events: DataFrame, capacity: int = CAPACITY_PER_TASK, fpp: float = 0.01,
-                             buckets: int = 64, keys=("device_id",)) -> DataFrame:
+                             buckets: int = BUCKETS, keys=("device_id",)) -> DataFrame:
     """D3: approximate first-seen with bounded state: ``buckets`` Bloom
     filters (per value of the leading keys, e.g. device type, when ``keys``
     has more than one column), each sized for ``capacity / buckets`` devices.

@@ -35,7 +35,7 @@ def test_stay_time_across_buckets(spark):
     # the next event falls in the next (small) time bucket: still found
     E, L = schemas.LIVE_ENTER, schemas.LIVE_LEAVE
     live = _live(spark, [(E, 0, "s1"), (L, 59_999, "s1"), (E, 100_000, "s1"), (L, 250_000, "s1")])
-    r = audience.effective_audience(live, stay_ms=60_000, bucket_ms=10_000).collect()
+    r = audience.effective_audience(live, stay_ms=60_000).collect()
     assert (r[0]["effective_audience"], r[0]["online_audience"]) == (1, 0)
 
 

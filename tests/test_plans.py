@@ -5,7 +5,9 @@ import re
 import pytest
 
 import __spark_entry__ as entry
-from livestats.operators import joins
+from livestats.operators import audience, users
+from livestats.plans import testdata as td
+from livestats.plans.catalog import QUERIES
 
 from .conftest import SF_SMALL
 
@@ -14,10 +16,18 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+# The running maximum over arrival batches runs in one task, over one row per
+# batch: bounded by time, not by data.
+ONE_ROW_PER_BATCH = {"late_order_lines", "orders_with_late"}
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_single_partition_or_python(spark, name):
-    plan = _plan(entry.queries()[name](spark, SF_SMALL))
-    assert "SinglePartition" not in plan
+    plan = _plan(QUERIES[name](spark, SF_SMALL))
+    single = [i for i, line in enumerate(plan.splitlines()) if "SinglePartition" in line]
+    assert len(single) == (name in ONE_ROW_PER_BATCH)
+    for i in single:
+        assert re.search(r"HashAggregate\(keys=\[batch#\w+\], functions=\[max\(", plan.splitlines()[i + 1])
     assert not re.search(r"(BatchEvalPython|ArrowEvalPython|FlatMapGroupsInPandas|MapInPandas)", plan)
 
 
@@ -32,10 +42,8 @@ def test_top_n_limits_before_its_shuffle(spark):
 
 def test_first_seen_joins_on_the_full_tuple_at_scale(spark):
     old_threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    old_bound = joins.BROADCAST_MAX_ROWS
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        joins.BROADCAST_MAX_ROWS = 0
         plan = _plan(entry.queries()["new_device_flag"](spark, SF_SMALL))
         smj = [ln for ln in plan.splitlines() if "SortMergeJoin" in ln]
         assert smj and all(k in smj[0] for k in ("device_id", "ts_ms", "seq"))
@@ -43,7 +51,20 @@ def test_first_seen_joins_on_the_full_tuple_at_scale(spark):
         assert "SortMergeJoin" in plan and "_b" in [ln for ln in plan.splitlines() if "SortMergeJoin" in ln][0]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old_threshold)
-        joins.BROADCAST_MAX_ROWS = old_bound
+
+
+def test_predicates_reach_the_scan(spark, tmp_dir):
+    """F1-F3 on a flat events table are pushed into the parquet scan."""
+    td.events(spark, SF_SMALL).drop("properties").write.parquet(f"{tmp_dir}/events")
+    events = spark.read.parquet(f"{tmp_dir}/events")
+    for df, pushed in ((users.app_launches(events), "EqualTo(event_name,appLaunch)"),
+                       (audience.live_events(events), "In(event_name, [liveEnter,liveLeave])")):
+        assert pushed in _plan(df)
+
+
+def test_effective_audience_shuffles_twice(spark):
+    plan = _plan(QUERIES["effective_audience"](spark, SF_SMALL))
+    assert plan.split("== Initial Plan ==")[0].count("Exchange hashpartitioning") <= 2
 
 
 def test_aggregates_combine_before_shuffle(spark):
