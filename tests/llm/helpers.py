@@ -1,0 +1,28 @@
+"""Small tables for the training-data operators."""
+
+import random
+
+WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau".split()
+
+#: Columns whose names clash with those that operators make or use inside.
+CLASHING = ("n long, c long, bucket int, score double, rank int, p string, part int, text_ string, length int, "
+            "spans string, size int, x int, prints string, domain string, band int")
+
+
+def documents(spark, rows):
+    """``doc_id, text`` with clashing columns beside them, all NULL."""
+    names = [c.split()[0] for c in CLASHING.split(", ")]
+    full = [(*r, *[None] * len(names)) for r in rows]
+    return spark.createDataFrame(full, f"doc_id long, text string, {CLASHING}").repartition(3)
+
+
+def prose(n, seed=0, vocabulary=400):
+    r = random.Random(seed)
+    return " ".join(r.choice(WORDS) + str(r.randrange(vocabulary)) for _ in range(n))
+
+
+def odd_rows():
+    """NULL, empty, blank, very long, tied and repeated texts and ids."""
+    return [(None, None), (None, "no id at all"), (1, None), (2, ""), (3, " \n\t "), (4, "one"), (5, "one"),
+            (6, prose(12)), (6, prose(12)), (7, prose(30_000, 7)), (8, "x" * 100_000), (9, "é日本🙂 a b c d e f"),
+            (10, "A b\tC  d\n\ne"), (11, "a B c d e")]

@@ -1,0 +1,101 @@
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from livestats.llm.bestfit_packing import pack, pack_lengths, plan_runs
+from livestats.llm.queries import QUERIES
+
+from ..conftest import SF_SMALL
+from .helpers import documents, odd_rows
+from .test_huffman_ids import library_ids
+
+
+def one_by_one(lengths, capacity):
+    """The packing rule on single pieces: greedy matching of large ones, then best fit."""
+    large = sorted(x for x in lengths if 3 * x > capacity)
+    bins = []
+    while large:
+        a = large.pop()
+        fits = [x for x in large if x <= capacity - a]
+        if fits:
+            large.remove(max(fits))
+        bins.append(capacity - a - (max(fits) if fits else 0))
+    for s in sorted((x for x in lengths if 3 * x <= capacity), reverse=True):
+        fits = [g for g in bins if g >= s]
+        if fits:
+            bins.remove(min(fits))
+            bins.append(min(fits) - s)
+        else:
+            bins.append(capacity - s)
+    return sorted(bins)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(1, 60), max_size=120))
+def test_classes_equal_the_rule_on_single_pieces(lengths):
+    classes = pack_lengths(Counter(lengths), 60)
+    assert sorted(60 - sum(x) for m, x in classes for _ in range(m)) == one_by_one(lengths, 60)
+    placed = Counter()
+    for m, x in classes:
+        assert m > 0 and sum(x) <= 60 and sum(3 * s > 60 for s in x) <= 2
+        placed.update({s: m * k for s, k in Counter(x).items()})
+    assert placed == Counter(lengths)
+
+
+def test_work_depends_on_lengths_only():
+    counts = {s: 10 ** 9 + s for s in range(1, 1025)}
+    classes = pack_lengths(counts)
+    total = sum(s * n for s, n in counts.items())
+    assert len(classes) < 5000 and sum(m for m, _ in classes) < 1.01 * total / 1024
+    assert sum(n for _, _, n, _, _ in plan_runs(classes)) == sum(counts.values())
+
+
+def check(docs, got, capacity=1024):
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    want = Counter()
+    for doc_id, text in rows:
+        ids = [*library_ids(text), 2]
+        first = (len(ids) - 1) % capacity + 1
+        cuts = [0, *range(first, len(ids) + 1, capacity)]
+        for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
+            want[doc_id, k, a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes())] += 1
+    got = got.collect()
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == want
+    sequences = {}
+    for r in got:
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for s in sequences.values():
+        at = 0
+        for offset, length in sorted(s):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return sequences, sum(k[3] * n for k, n in want.items())
+
+
+def test_query(spark):
+    sequences, total = check(spark.read.parquet(f"{SF_SMALL}/documents.parquet"),
+                             QUERIES["op7_bestfit_packing"](spark, SF_SMALL))
+    assert len(sequences) <= 1.03 * -(-total // 1024)
+
+
+@pytest.mark.parametrize("capacity", [7, 1024])
+def test_odd_rows(spark, capacity):
+    docs = documents(spark, odd_rows())
+    check(docs, pack(docs, capacity=capacity), capacity)
+    assert pack(docs.limit(0)).collect() == []
+    ids = pack(docs, capacity=capacity, with_ids=True).collect()
+    assert all(zlib.crc32(r.ids) == r.ids_crc32 and len(r.ids) == 4 * r.length for r in ids)
+
+
+def test_hot_length(spark):
+    """A third of all pieces of one length: the ranks of a length are no single task's work."""
+    r = random.Random(1)
+    docs = documents(spark, [(i, "one two" if i % 3 else " ".join(["one"] * r.randrange(1, 2000))) for i in range(900)])
+    sequences, total = check(docs, pack(docs))
+    assert len(sequences) <= 1.02 * -(-total // 1024) + 1

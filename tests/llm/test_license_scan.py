@@ -1,0 +1,49 @@
+import duckdb
+import pytest
+
+from livestats.llm.license_scan import TEMPLATES, oracle_sql, scan, size_range, template_bigrams
+
+from ..conftest import SF_SMALL
+from .helpers import documents, odd_rows, prose
+
+
+def rows_of(df):
+    return sorted((r.doc_id if r.doc_id is not None else -1, r.license, round(r.dice, 9), r.n_units)
+                  for r in df.collect())
+
+
+def test_equals_sql(spark):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF_SMALL}/documents.parquet')")
+    want = sorted((d, n, round(x, 9), k) for d, n, x, k in con.execute(
+        "SELECT doc_id, license, dice, n_units FROM (" + oracle_sql() + ")").fetchall())
+    assert rows_of(scan(spark.read.parquet(f"{SF_SMALL}/documents.parquet"))) == want and want
+
+
+def test_size_bounds_hold_every_match():
+    for t in (0.5, 0.8, 1.0):
+        for n in range(1, 40):
+            reach = {m for m in range(1, 200) if 2 * min(n, m) / (n + m) >= t}
+            assert reach == set(size_range(n, t)) - {0}
+
+
+@pytest.mark.parametrize(("text", "license_id"), [
+    ("x\nReleased under the MIT License.\ny", "MIT"), ("  RELEASED, under the mit-license", "MIT"),
+    ("This work is licensed under the GNU General Public License, version 3.", "GPL-3.0"),
+    ("Licensed under CC BY-NC 4.0.", "CC-BY-NC-4.0"), ("Permission is hereby granted, free of charge, to any person\n"
+     + TEMPLATES[3][1][60:], "MIT"), ("we released the license under the sea", None), ("MIT", None)])
+def test_texts(spark, text, license_id):
+    got = scan(documents(spark, [(1, text)])).collect()
+    assert [r.license for r in got] == ([license_id] if license_id else [])
+
+
+def test_odd_rows_and_threshold(spark):
+    notice = "Released under the MIT License."
+    rows = [*odd_rows(), (20, notice), (20, notice), (None, notice), (21, prose(50) + "\n" + notice + "\n" + notice)]
+    assert rows_of(scan(documents(spark, rows))) == [(-1, "MIT", 1.0, 1), (20, "MIT", 1.0, 1), (21, "MIT", 1.0, 1)]
+    assert scan(documents(spark, rows).limit(0)).collect() == []
+    with pytest.raises(ValueError):
+        scan(documents(spark, rows), threshold=0)
+    assert len(template_bigrams(notice)) == 4
+    plan = scan(documents(spark, rows))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan

@@ -1,0 +1,86 @@
+import hashlib
+import random
+import re
+
+import pytest
+
+from livestats.llm.pii_anchors import BASE_KINDS, find_pii, mask_pii, masked, spans
+from livestats.llm.queries import QUERIES
+
+from ..conftest import SF_SMALL
+from .helpers import documents, odd_rows
+
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def luhn(digits):
+    total = 0
+    for k, d in enumerate(reversed(digits)):
+        n = int(d) * (1 + k % 2)
+        total += n - 9 * (n > 9)
+    return total % 10 == 0
+
+
+def base(text):
+    out = [("email", m.start(), m.end()) for m in EMAIL.finditer(text)]
+    out += [("ip", m.start(), m.end()) for m in IP.finditer(text) if all(int(x) <= 255 for x in m[0].split("."))]
+    for m in CARD.finditer(text):
+        digits = re.sub("[^0-9]", "", m[0])
+        if 13 <= len(digits) <= 19 and luhn(digits):
+            out.append(("card", m.start(), m.end()))
+    return out + [("phone", m.start(), m.end()) for m in PHONE.finditer(text)
+                  if 9 <= len(re.sub("[^0-9]", "", m[0])) <= 15]
+
+
+def test_base_spans_equal_plain_patterns():
+    r = random.Random(5)
+    parts = ["a", "@", ".", "1", "4111 1111 1111 1111", "4111111111111111", "+1", " ", "-", "(", ")", "9", "255.",
+             "256", "x.y", "é", "-1", "\n", "http://a.b/c", "password=abcdef1", "iban DE89370400440532013000", "0" * 20]
+    for _ in range(20_000):
+        text = "".join(r.choice(parts) for _ in range(r.randrange(16)))
+        assert [s for s in spans(text) if s[0] in BASE_KINDS] == base(text), text
+
+
+@pytest.mark.parametrize(("text", "found"), [
+    ("mail a.b@c.de now", "a [EMAIL]"), ("host 10.0.0.1 up", "[IP]"), ("+1 (578) 555-6437 4918187128635271", "[PHONE] [CARD]"),
+    ("see https://x.org/a?b=1.", "[URL]."), ("IBAN: DE89 3704 0044 0532 0130 00", "IBAN: [ACCOUNT]"),
+    ('token = "506fa6770ab87573ba"', 'token = "[SECRET]"'), ("account no. 12345678", "[ACCOUNT]"),
+    ("6437 4918187128635271 1", "6437 [CARD] 1")])
+def test_masking(text, found):
+    assert found.split()[-1] in masked(text)
+    assert not re.search(r"[0-9]{7}|@", masked(text))
+
+
+def test_clean_text_is_left_alone():
+    for text in ("A plain sentence, no. 7 of 12.", "It costs 3.50 or 1.2.3 at 10:30.", "tokens of secret passwords",
+                 "the account was closed", "1 2 3 4 5 6 7 8 9", "a @ b", "5 + 4 = 9"):
+        assert spans(text) == [] and masked(text) == text
+
+
+def test_long_inputs():
+    assert spans("1" * 200_000) == []
+    assert len(spans("a@b.cc " * 20_000)) == 20_000
+    assert spans("@" * 50_000) == []
+
+
+def test_query(spark):
+    got = {r.doc_id: r for r in QUERIES["op4_pii_anchors"](spark, SF_SMALL).collect()}
+    for doc_id, text in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect():
+        want = base(text or "")
+        r = got.pop(doc_id)
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == x for k, _, _ in want) for x in BASE_KINDS]
+        assert r.base_sha256 == hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in want).encode()).hexdigest()
+    assert not got
+
+
+def test_odd_rows(spark):
+    docs = documents(spark, [*odd_rows(), (30, "call +49 170 1234567"), (30, "call +49 170 1234567")])
+    got = find_pii(docs).collect()
+    assert len(got) == len(odd_rows()) + 2 and sum(r.n_phone for r in got) == 2
+    assert find_pii(docs.limit(0)).collect() == []
+    same = mask_pii(docs)
+    assert same.schema == docs.schema and same.count() == docs.count()
+    assert {r.text for r in same.where("doc_id = 30").collect()} == {"call [PHONE]"}

@@ -1,0 +1,59 @@
+import re
+from collections import Counter
+
+import corpus_pipeline
+from livestats.llm.jaccard_join import join
+from livestats.llm.nbsvm_quality import score
+from livestats.llm.pii_anchors import masked
+
+from .test_bestfit_packing import check as check_packing
+from .test_jaccard_join import brute
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_stages(spark, tmp_dir):
+    assert [name for name, _ in corpus_pipeline.STAGES] == [
+        "quality classifier", "n-gram Jaccard join", "personal data", "mixing to target weights", "best-fit packing"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    columns = docs.columns
+    made = [docs]
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, made[-1], SF).write.parquet(f"{tmp_dir}/{k}")
+        made.append(spark.read.parquet(f"{tmp_dir}/{k}"))
+    assert all(d.columns == columns for d in made[:-1])
+    rows = [{r.doc_id: r for r in d.collect()} for d in made[:-1]]
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+
+    # quality: what the classifier accepts, unchanged
+    accepted = {r.doc_id for r in score(docs, labels).where("predicted = 1").collect()}
+    assert set(rows[1]) == accepted and all(rows[1][d] == rows[0][d] for d in accepted)
+    good = {r.doc_id for r in labels.where("quality = 1").collect()}
+    assert len(good & accepted) >= 0.99 * len(good)
+
+    # near duplicates: the smallest doc_id of each component
+    texts = [(d, r.text) for d, r in rows[1].items()]
+    assert set(rows[2]) == {c for _, _, c in brute(texts)}
+    assert all(r.doc_id == r.component_id for r in join(made[2]).collect())
+
+    # personal data: nothing left, the rest as it was
+    assert {d: r.text for d, r in rows[3].items()} == {d: masked(r.text) for d, r in rows[2].items()}
+    assert all(r.n_chars == len(r.text) and not re.search(r"\w@\w+\.", r.text) for r in rows[3].values())
+
+    # mixing: copies of its input, clean documents all there
+    toxic = {r.doc_id for r in labels.where("toxic = 1").collect()}
+    assert set(rows[4]) <= set(rows[3]) and all(rows[4][d] == rows[3][d] for d in rows[4])
+    clean = (good - toxic) & set(rows[3])
+    assert len(clean & set(rows[4])) >= 0.98 * len(clean)
+    copies = Counter(r.doc_id for r in made[4].collect())
+    assert sum(copies[d] for d in toxic) < 0.75 * len(toxic & set(rows[3]))
+
+    # packing: every token of what was kept
+    sequences, total = check_packing(made[4], made[5])
+    assert len(sequences) <= 1.02 * -(-total // 1024)
+
+
+def test_run(spark):
+    assert corpus_pipeline.ORACLE_SQL is None
+    got = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    assert got.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"] and got.count() > 0
