@@ -16,16 +16,18 @@ side.  Every set is therefore indexed under the hash of each nonempty segment,
 and of each of its one-deletion neighbours where the allowance is 2 (a segment
 of one shingle counts 1).  Which p and which segments get allowance 2 is
 decided for each band by cost, from counts over all documents: of the layouts
-that suffice for every set of the band, the one with the fewest index entries.
+that suffice for every set of the band, the one with the least cost in index
+entries and in sets that a passage shared with many documents would leave
+without enough other entries.
 
 Candidates are verified by the sets themselves.  Sets that share an index
 entry form a group; of equal sets one stands for all.  First every set is
 compared with the first set of the group it shares most entries with, and
 links are contracted to components.  Groups that still hold several components
-are then settled: in a small group all pairs across components are compared; a
-large group is skipped for a set whose other entries still exceed the
-allowance it needs (a similar partner then shares one of those), else its
-pairs are compared too.  Parity sketches, whose distance never exceeds the
+are then settled, by a second allocation: a set need not look into groups whose
+allowances sum up to no more than it has to spare, as a similar partner would
+still share one of its other entries.  It leaves out its largest groups, and is
+compared with the members of the rest that are in other components.  Parity sketches, whose distance never exceeds the
 difference of two sets, refute most candidates before sets are fetched.
 
 Defined cases: a NULL text or one without words has an empty set and links
@@ -50,8 +52,10 @@ from .words import mix, words
 SHINGLE = 5
 #: Similarity as a fraction.
 NUMERATOR, DENOMINATOR = 3, 4
-#: Groups up to this size have all pairs across components compared; for larger ones see above.
-SMALL_GROUP = 16
+#: A passage of so many shingles is taken to be shared with many documents, in the cost of a layout.
+PASSAGE = 64
+#: The cost of a set that such a passage exposes, in index entries.
+EXPOSED = 400
 #: Index entries of a bucket at the aim.
 BUCKET_ENTRIES = 2_000_000
 #: Bits of the filter that picks the documents whose sets are fetched.
@@ -119,13 +123,17 @@ def segments(s: np.ndarray, band: int, layout: tuple[int, float]) -> tuple[np.nd
     return starts, lengths, two
 
 
-def layout_counts(s: np.ndarray, band: int) -> list[tuple[int, int]]:
-    """For each layout: by how much the allowances exceed what the set needs, and its index entries."""
+def layout_counts(s: np.ndarray, band: int) -> list[tuple[int, int, int]]:
+    """For each layout: by how much the allowances exceed what the set needs, its index entries, and its cost."""
     out = []
+    share = min(PASSAGE / len(s), 2 / 3)
     for layout in LAYOUTS:
         _, lengths, two = segments(s, band, layout)
         spare = len(lengths) + int(two.sum()) - most_different(len(s)) - 1
-        out.append((spare, len(lengths) + int(lengths[two].sum())))
+        n = len(lengths) + int(lengths[two].sum())
+        # allowances of the segments that lie in the passage as a whole, as expected
+        lost = float((share ** lengths * (1 + two)).sum())
+        out.append((spare, n, n + EXPOSED * (spare < lost)))
     return out
 
 
@@ -180,7 +188,7 @@ def _sets(batches) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
 def describe(docs: DataFrame) -> DataFrame:
     """``doc_id, n, c, d, sketch`` and the layout counts of every document; (c, d) names its set."""
     schema = ("doc_id bigint, n bigint, c bigint, d bigint, sketch binary, band int, visited int, "
-              "spare array<int>, n_entries array<int>")
+              "spare array<int>, n_entries array<int>, cost array<int>")
 
     def found(batches):
         for part, sets in _sets(batches):
@@ -194,8 +202,9 @@ def describe(docs: DataFrame) -> DataFrame:
                 pa.array([b[0] for b in bands], pa.int32()),
                 pa.array([b[1] if len(b) > 1 else None for b in bands], pa.int32()),
                 pa.array([c and [x[0] for x in c] for c in counts], pa.list_(pa.int32())),
-                pa.array([c and [x[1] for x in c] for c in counts], pa.list_(pa.int32()))],
-                names=["doc_id", "n", "c", "d", "sketch", "band", "visited", "spare", "n_entries"])
+                pa.array([c and [x[1] for x in c] for c in counts], pa.list_(pa.int32())),
+                pa.array([c and [x[2] for x in c] for c in counts], pa.list_(pa.int32()))],
+                names=["doc_id", "n", "c", "d", "sketch", "band", "visited", "spare", "n_entries", "cost"])
 
     return _rows(docs).mapInArrow(found, schema)
 
@@ -205,16 +214,17 @@ def choose_layouts(described: DataFrame, forced: int | None = None) -> tuple[dic
     k = len(LAYOUTS)
     both = described.where("n > 0").select(F.explode(F.filter(F.array(
         F.struct(F.col("band"), F.lit(0).alias("at")), F.struct(F.col("visited").alias("band"), F.lit(k).alias("at"))),
-        lambda b: b["band"].isNotNull())).alias("b"), "spare", "n_entries")
+        lambda b: b["band"].isNotNull())).alias("b"), "spare", "n_entries", "cost")
     counts = both.groupBy("b.band").agg(
         *[F.min(F.get("spare", F.col("b.at") + i)).alias(f"spare{i}") for i in range(k)],
-        *[F.sum(F.get("n_entries", F.col("b.at") + i)).alias(f"n{i}") for i in range(k)])
+        *[F.sum(F.get("n_entries", F.col("b.at") + i)).alias(f"n{i}") for i in range(k)],
+        *[F.sum(F.get("cost", F.col("b.at") + i)).alias(f"cost{i}") for i in range(k)])
     layouts, total = {}, 0
     for r in counts.collect():  # a row for each band: at most 64
         fits = [i for i in range(k) if r[f"spare{i}"] >= 0]
         if forced in fits:
             fits = [forced]
-        layouts[r["band"]] = min(fits, key=lambda i: r[f"n{i}"])
+        layouts[r["band"]] = min(fits, key=lambda i: r[f"cost{i}"])
         total += r[f"n{layouts[r['band']]}"]
     return layouts, total
 
@@ -392,28 +402,25 @@ def first_pairs(live: DataFrame) -> DataFrame:
     return best.select(F.col("best.a").alias("a"), "b")
 
 
-def mixed_pairs(live: DataFrame, rooted: DataFrame, spare: DataFrame, small: int = SMALL_GROUP) -> DataFrame:
-    """Pairs across components that groups with several components still have to settle."""
+def mixed_pairs(live: DataFrame, rooted: DataFrame, spare: DataFrame) -> DataFrame:
+    """Pairs across components that groups with several components still have to settle.
+
+    A set leaves out its largest groups while their allowances sum up to no
+    more than it has to spare.
+    """
     own = live.drop("first", "n_first").join(rooted, "c", "left").withColumn("root", F.coalesce("root", "c"))
     mixed = own.groupBy("g").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("g")
     own = stored(own.join(mixed, "g"), "join-mixed")
-    few = own.where(F.col("size") <= small)
-    # at most ``small`` rows a group
-    pairs = few.toDF(*[f"{c}_a" if c != "g" else c for c in few.columns]).join(
-        few.toDF(*[f"{c}_b" if c != "g" else c for c in few.columns]), "g").where("c_a < c_b and root_a != root_b")
-    pairs = pairs.where(_can_be_similar("n_a", "n_b")).select(F.col("c_a").alias("a"), F.col("c_b").alias("b"))
-    many = own.where(F.col("size") > small)
-    # sets whose entries outside the large mixed groups don't suffice
-    open_ = many.groupBy("c").agg(F.sum("weight").alias("hot")).join(spare, "c").where("hot > spare").select("c")
-    asked = many.join(open_, "c").select("g", F.col("c").alias("c_a"), F.col("n").alias("n_a"),
-                                         F.col("root").alias("root_a"))
-    rest = asked.join(many.select("g", F.col("c").alias("c_b"), F.col("n").alias("n_b"), F.col("root").alias("root_b")),
-                      "g").where("root_a != root_b").where(_can_be_similar("n_a", "n_b"))
-    rest = rest.select(F.least("c_a", "c_b").alias("a"), F.greatest("c_a", "c_b").alias("b"))
-    return pairs.unionByName(rest).distinct()
-
-
-def join(docs: DataFrame, small_group: int = SMALL_GROUP, forced_layout: int | None = None) -> DataFrame:
+    largest_first = Window.partitionBy("c").orderBy(F.desc("size"), "g")
+    asked = own.join(spare, "c").withColumn("left_out", F.sum("weight").over(largest_first)).where("left_out > spare")
+    asked = asked.select("g", F.col("c").alias("c_a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"))
+    other = own.select("g", F.col("c").alias("c_b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"))
+    # the larger set of a pair asks: its allowances are the ones that count
+    pairs = asked.join(other, "g").where("root_a != root_b and n_a >= n_b").where(_can_be_similar("n_a", "n_b"))
+    return pairs.select(F.least("c_a", "c_b").alias("a"), F.greatest("c_a", "c_b").alias("b")).distinct()
+
+
+def join(docs: DataFrame, forced_layout: int | None = None) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every document."""
     described = stored(describe(docs), "join-documents")
     layouts, n_entries = choose_layouts(described, forced_layout)
@@ -432,7 +439,7 @@ def join(docs: DataFrame, small_group: int = SMALL_GROUP, forced_layout: int | N
     n_buckets = max(shuffle_partitions(docs.sparkSession), -(-n_entries // BUCKET_ENTRIES))
     live = stored(groups(docs, layouts, n_buckets), "join-groups")
     links = verify(docs, classes, first_pairs(live))
-    more = verify(docs, classes, mixed_pairs(live, components(links), spare, small_group))
+    more = verify(docs, classes, mixed_pairs(live, components(links), spare))
     rooted = components(links.unionByName(more))
     named = classes.select("c", "d", "first_id").join(rooted, "c", "left")
     least = named.groupBy(F.coalesce("root", "c").alias("root")).agg(F.min("first_id").alias("component_id"))
