@@ -17,7 +17,7 @@ from livestats.llm.nbsvm_quality import score
 from livestats.llm.pii_anchors import mask_pii
 from livestats.llm.source_mixing import domain_labels, resample
 
-#: Token shares that the corpus is mixed to; clean text is never thinned out.
+#: Token shares that the others are mixed down to; clean text gets the rest and is never thinned out.
 MIXTURE = {"clean": 0.97, "low": 0.01, "toxic": 0.02}
 
 
@@ -40,7 +40,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as their fitted rates say."""
-    return resample(docs, domain_labels(table(spark, sf_dir, "labels")), MIXTURE)
+    return resample(docs, domain_labels(table(spark, sf_dir, "labels")), MIXTURE, gains="clean")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
