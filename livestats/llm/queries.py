@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard_join, license_scan
+from . import jaccard_join, license_scan, simhash_join
 from .bestfit_packing import pack
 from .common import table
 from .html_mincut import extract
@@ -14,8 +14,10 @@ from .huffman_ids import token_id_files
 from .impact_topk import top_k
 from .nbsvm_quality import score
 from .order_minhash import fingerprints
+from .periodic_runs import run_digests
 from .pii_anchors import find_pii
 from .source_mixing import TARGETS, domain_labels, mix
+from .spelling_variants import word_variants
 
 
 def op1_html_mincut(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,6 +60,18 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op11_simhash_pigeonhole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_join.join(table(spark, sf_dir, "documents"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digests(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_mincut": op1_html_mincut,
     "op2_license_scan": op2_license_scan,
@@ -69,6 +83,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_soft_mixing": op8_soft_mixing,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_order_minhash": op10_order_minhash,
+    "op11_simhash_pigeonhole": op11_simhash_pigeonhole,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLE: dict[str, str] = {
