@@ -58,7 +58,7 @@ MOST = 3
 #: Partitions that are considered.
 PARTITIONS = range(2, 9)
 #: Members of a bucket that are compared in pairs.
-SMALL = 32
+SMALL = 256
 HASHES = 1 << 16
 SLICE_BYTES = 4_000_000
 
@@ -244,7 +244,7 @@ def entries(classes: DataFrame, parts: list[list[int]], growth: np.ndarray) -> D
                             out.append((near, whose, np.zeros(len(near), bool), np.ones(len(near), bool)))
                     value, who, entry, asks = (np.concatenate(z) for z in zip(*out, strict=True))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(mix(value + _U(i) * _U(0x9E3779B97F4A7C15)).view(np.int64)), pa.array(who.view(np.int64)),
+                        [pa.array(mix(value + _U(i * 0x9E3779B97F4A7C15 % (1 << 64))).view(np.int64)), pa.array(who.view(np.int64)),
                          pa.array(entry), pa.array(asks), pa.array(np.full(len(who), signed(mask), np.int64))],
                         names=["k", "f", "entry", "ask", "used"])
 

@@ -18,9 +18,9 @@ The number of a node is a sum of 64-bit random numbers of the code points at
 their places from the root, so every task numbers the nodes of its words alike
 without a shuffle, and no root is a hot key.  A pair of numbers has 128 bits.
 
-Entries of a pair meet in one group.  It holds at most one whole word, which the
-pair spells out, and one skip for each letter of the alphabet, so at most
-``LETTERS`` + 1 entries whatever the data; a word has as many near words at most as
+Entries of a pair meet in one group, in a partition sorted by the pairs.  It holds
+at most one whole word, which the pair spells out, and one skip for each letter of
+the alphabet, so at most ``LETTERS`` + 1 entries whatever the data; a word has as many near words at most as
 its length times the alphabet allows, which bounds the later joins too.  Words
 are numbered in code-point order by a range-sorted, stored table, so that groups
 and ties work on integers.  A form has ten times its word's count, so a chain of
@@ -36,14 +36,14 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, text_slices
+from .common import shuffle_partitions, stored, text_slices
 from .words import mix
 
 #: Code points of a word at least, its occurrences at least, and how often a form occurs for each time its word does.
@@ -53,7 +53,7 @@ LETTERS = 26 + 64
 _RUN = re.compile("[A-Za-zÀ-ÿ]{%d,}" % LEAST_LENGTH)
 #: Different words that a task counts before it hands them on.
 COUNTED = 200_000
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 500_000
 
 _U = np.uint64
 
@@ -106,57 +106,112 @@ def count_words(docs: DataFrame, edit: Edit | None = None) -> DataFrame:
     return counted.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_COUNT)
 
 
-def node_pairs(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """For each word: numbers of the prefix nodes and suffix nodes of its entries, and which are skips and alone.
-
-    The skips come first, then the whole words.
-    """
-    codes = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).astype(np.uint64)
-    at = 0
-    for text in texts:
-        c = codes[at:at + len(text)]
-        at += len(c)
-        place = np.arange(1, len(c) + 1, dtype=np.uint64) << _U(32)
-        forward, reverse = np.zeros(len(c) + 1, np.uint64), np.zeros(len(c) + 1, np.uint64)
-        np.cumsum(mix(place | c), out=forward[1:])
-        np.cumsum(mix(~(place | c[::-1])), out=reverse[1:])
-        suffix = reverse[::-1]  # of the points from i on
-        alone = np.append(c[1:] != c[:-1], True)
-        yield (np.concatenate((forward[:-1], forward)), np.concatenate((suffix[1:], suffix)),
-               np.repeat([True, False], [len(c), len(c) + 1]), np.append(alone, np.ones(len(c) + 1, bool)))
+def node_pairs(texts: list[str]) -> tuple[np.ndarray, ...]:
+    """The entries of words: numbers of the prefix and suffix node, which are skips and alone, and whose they are."""
+    c = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    length = np.fromiter(map(len, texts), np.int64, len(texts))
+    end = np.cumsum(length)
+    start = end - length
+    word = np.repeat(np.arange(len(texts)), length)
+    at = np.arange(len(c))
+    from_start, to_end = (at - start[word] + 1).astype(np.uint64), (end[word] - at).astype(np.uint64)
+    forward, reverse = np.zeros(len(c) + 1, np.uint64), np.zeros(len(c) + 1, np.uint64)
+    np.cumsum(mix(from_start << _U(32) | c), out=forward[1:])
+    np.cumsum(mix(~(to_end << _U(32) | c)), out=reverse[1:])
+    alone = np.append(c[1:] != c[:-1], True)
+    alone[end - 1] = True
+    # before each point, and behind the last one
+    whole = np.repeat(np.arange(len(texts)), length + 1)
+    place = np.arange(len(whole)) - whole
+    p = np.concatenate((forward[at] - forward[start[word]], forward[place] - forward[start[whole]]))
+    s = np.concatenate((reverse[end[word]] - reverse[at + 1], reverse[end[whole]] - reverse[place]))
+    return (p, s, np.repeat([True, False], [len(at), len(place)]), np.append(alone, np.ones(len(place), bool)),
+            np.append(word, whole))
 
 
 def entries(vocabulary: DataFrame) -> DataFrame:
     """``p, s, skip, alone, id, n``: the words under their pairs of trie nodes."""
     def enter(batches):
         for batch in batches:
-            for part in text_slices(batch, "word", SLICE_CHARS // 8):
-                found = list(node_pairs(part.column("word").to_pylist()))
-                if not found:
+            for part in text_slices(batch, "word", SLICE_CHARS):
+                if not part.num_rows:
                     continue
-                p, s, skip, alone = (np.concatenate(x) for x in zip(*found, strict=True))
-                counts = [len(x[0]) for x in found]
-                own = [np.repeat(part.column(c).to_numpy(), counts) for c in ("id", "n")]
-                for lo in range(0, len(p), SLICE_CHARS):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(x[lo:lo + SLICE_CHARS]) for x in (p.view(np.int64), s.view(np.int64), skip, alone, *own)],
-                        names=["p", "s", "skip", "alone", "id", "n"])
+                p, s, skip, alone, word = node_pairs(part.column("word").to_pylist())
+                id_, n = (part.column(c).to_numpy()[word] for c in ("id", "n"))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x) for x in (p.view(np.int64), s.view(np.int64), skip, alone, id_, n)],
+                    names=["p", "s", "skip", "alone", "id", "n"])
+
+    # the sorted table can have few files, and a word has many entries
+    spread = vocabulary.select("id", "word", "n").repartition(shuffle_partitions(vocabulary.sparkSession), "id")
+    return spread.mapInArrow(enter, "p bigint, s bigint, skip boolean, alone boolean, id bigint, n bigint")
+
+
+def _first(group: np.ndarray, n_groups: int, order: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of rows in ``order`` (by group): how many each group has, its first one and its second one (-1: none)."""
+    own = group[order]
+    count = np.bincount(own, minlength=n_groups)
+    start = np.cumsum(count) - count
+    padded = np.append(order, (-1, -1))
+    return count, np.where(count > 0, padded[start], -1), np.where(count > 1, padded[np.minimum(start + 1, len(order))], -1)
 
-    return vocabulary.select("id", "word", "n").mapInArrow(
-        enter, "p bigint, s bigint, skip boolean, alone boolean, id bigint, n bigint")
+
+def met(group: np.ndarray, skip: np.ndarray, alone: np.ndarray, n: np.ndarray, id_: np.ndarray):
+    """For each entry of groups numbered from 0: how many near words it meets, and the row of the first by count and order.
+
+    Skips meet each other; the whole word meets the skips that are alone.
+    """
+    n_groups = int(group[-1]) + 1 if len(group) else 0
+    order = np.lexsort((id_, -n, group))
+    skips, best, second = _first(group, n_groups, order[skip[order]])
+    alones, best_alone, _ = _first(group, n_groups, order[(skip & alone)[order]])
+    wholes, whole, _ = _first(group, n_groups, order[~skip[order]])
+    row = np.arange(len(group))
+    k = np.where(skip, skips[group] - 1 + (alone & (wholes[group] > 0)), alones[group])
+    other = np.where(best[group] == row, second[group], best[group])
+    mine = np.where(alone, whole[group], -1)
+    # the whole word comes first if it is more frequent, or equally frequent and smaller
+    leads = (mine >= 0) & ((other < 0) | (n[mine] > n[other]) | ((n[mine] == n[other]) & (id_[mine] < id_[other])))
+    return k, np.where(skip, np.where(leads, mine, other), best_alone[group])
 
 
 def neighbours(vocabulary: DataFrame) -> DataFrame:
-    """``id, n_near, best``: the number of a word's near words, and (-n, id) of the first by count and order."""
-    met = entries(vocabulary).groupBy("p", "s").agg(F.collect_list(F.struct("skip", "alone", "n", "id")).alias("m"))
-    # a group has LETTERS + 1 members at most
-    member = met.where(F.size("m") > 1).select(F.explode("m").alias("a"), "m")
-    near = F.filter("m", lambda b: (b["id"] != F.col("a.id")) & F.when(
-        F.col("a.skip"), b["skip"] | F.col("a.alone")).otherwise(b["alone"]))
-    first = F.array_min(F.transform("near", lambda b: F.struct((-b["n"]).alias("less"), b["id"].alias("id"))))
-    found = member.select(F.col("a.id").alias("id"), near.alias("near")).where(F.size("near") > 0).select(
-        "id", F.size("near").cast("long").alias("k"), first.alias("first"))
-    return found.groupBy("id").agg(F.sum("k").alias("n_near"), F.min("first").alias("best"))
+    """``id, n_near, less, form``: the number of a word's near words, and count (negative) and id of the first of them."""
+    def meet(batches):
+        kept: list[np.ndarray] | None = None
+
+        def rows(columns):
+            p, s, skip, alone, id_, n = columns
+            new = np.concatenate(([True], (p[1:] != p[:-1]) | (s[1:] != s[:-1])))
+            group = np.cumsum(new) - 1
+            several = (np.bincount(group) > 1)[group]
+            skip, alone, id_, n = (x[several] for x in (skip, alone, id_, n))
+            _, group = np.unique(group[several], return_inverse=True)
+            k, best = met(group, skip, alone, n, id_)
+            some = k > 0
+            best = best[some]
+            return pa.RecordBatch.from_arrays([pa.array(id_[some]), pa.array(k[some].astype(np.int64)), pa.array(-n[best]),
+                                               pa.array(id_[best])], names=["id", "k", "less", "form"])
+
+        for batch in batches:
+            columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(6)]
+            if kept is not None:
+                columns = [np.concatenate(x) for x in zip(kept, columns, strict=True)]
+            p, s = columns[:2]
+            if not len(p):
+                continue
+            # the last group may go on; it is short
+            last = int(np.flatnonzero((p != p[-1]) | (s != s[-1])).max(initial=-1)) + 1
+            kept = [x[last:] for x in columns]
+            if last:
+                yield rows([x[:last] for x in columns])
+        if kept is not None:
+            yield rows(kept)
+
+    dealt = entries(vocabulary).select("p", "s", "skip", "alone", "id", "n").repartition("p", "s").sortWithinPartitions("p", "s")
+    found = dealt.mapInArrow(meet, "id bigint, k bigint, less bigint, form bigint")
+    best = found.groupBy("id").agg(F.sum("k").alias("n_near"), F.min(F.struct("less", "form")).alias("best"))
+    return best.select("id", "n_near", "best.less", "best.form")
 
 
 def roots(forms: DataFrame) -> DataFrame:
@@ -181,7 +236,7 @@ def variants(docs: DataFrame, edit: Edit | None = None) -> DataFrame:
     near = neighbours(numbered)
     with_form = (F.col("form_n") >= FORM_RATIO * F.col("n"))
     linked = numbered.select("id", "n").join(near, "id").select(
-        "id", "n", "n_near", (-F.col("best.less")).alias("form_n"), F.col("best.id").alias("form"))
+        "id", "n", "n_near", (-F.col("less")).alias("form_n"), "form")
     linked = stored(linked.select("id", "n_near", F.when(with_form, F.col("form_n")).alias("form_n"),
                                   F.when(with_form, F.col("form")).alias("form")), "variants-near")
     rooted = roots(linked.where("form is not null"))

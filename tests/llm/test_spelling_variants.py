@@ -90,9 +90,8 @@ def test_group_of_a_pair_is_bounded():
     alphabet = [*map(chr, range(97, 123)), *map(chr, range(0xc0, 0x100))]
     assert len(alphabet) == sv.LETTERS
     own = [word[:3] + c + word[4:] for c in alphabet] + [word[:3] + word[4:]]
-    groups = Counter()
-    for p, s, _, _ in sv.node_pairs(own):
-        groups.update(zip(p.tolist(), s.tolist(), strict=True))
+    p, s, *_ = sv.node_pairs(own)
+    groups = Counter(zip(p.tolist(), s.tolist(), strict=True))
     assert max(groups.values()) == sv.LETTERS + 1
 
 
