@@ -20,13 +20,15 @@ whose bits there are within t_i of its own.
   values within its threshold.  Entries and questions of a value are a bucket.
 
 Buckets are settled in rounds, so that no bucket is compared all against all.
-All members are compared with two of them, links are contracted to components,
-and buckets of one component are done.  Those of ``SMALL`` members or fewer are
-compared in pairs of different components.  The members of larger ones agree on the
-bucket's bits, and a link among them differs in MOST of the others at most, so
+Those of ``SMALL`` members or fewer are compared in pairs.  All members of larger ones
+are compared with two of them, and buckets whose members are then known to be in
+one component are done.  Of the rest, those of ``LARGE`` members or fewer are compared
+in pairs not known to be in one component.  The members of still larger ones agree
+on the bucket's bits, and a link among them differs in MOST of the others at most, so
 it agrees on one of MOST + 1 parts of those: each bucket is dealt to smaller ones by the
 bits of each part, and the next round follows.  Where no more than MOST bits are left, a
 member can meet 2 ** MOST different entries at most and is compared with them.
+Components of all links follow at the end.
 
 Defined cases: a NULL text or one without words has fingerprint zero and links like
 any other; fewer words than a shingle make one shingle of the sequence; rows of
@@ -57,8 +59,8 @@ SEED = 42
 MOST = 3
 #: Partitions that are considered.
 PARTITIONS = range(2, 9)
-#: Members of a bucket that are compared in pairs.
-SMALL = 256
+#: Members of a bucket that are compared in pairs: at first, and once the members of larger ones have met two of them.
+SMALL, LARGE = 256, 4096
 HASHES = 1 << 16
 SLICE_BYTES = 4_000_000
 
@@ -296,13 +298,23 @@ def mixed(members: DataFrame, rooted: DataFrame | None) -> DataFrame:
     return own.join(buckets, "k")
 
 
-def links_of(members: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """All that components need of the links among the members of each bucket: ``a, b``, and the components."""
-    links, rooted = None, None
+def known(links: DataFrame) -> DataFrame:
+    """``c, root``: a fingerprint that each linked one is known to reach; not always the component's only one.
+
+    Two steps to the least neighbour, which for the links to a bucket's members is most of the way.
+    """
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    least = stored(both.groupBy(F.col("a").alias("c")).agg(F.least(F.min("b"), F.col("c")).alias("root")), "simhash-known")
+    above = least.select(F.col("c").alias("root"), F.col("root").alias("above"))
+    return least.join(above, "root").select("c", F.col("above").alias("root"))
+
+
+def links_of(members: DataFrame) -> DataFrame:
+    """All that components need of the links among the members of each bucket: ``a, b``."""
+    links, rooted, most = None, None, SMALL
     while True:
         live = stored(mixed(members, rooted), "simhash-buckets")
-        few = F.col("size") <= SMALL
-        few |= F.lit(BITS) - F.bit_count("used") <= MOST
+        few = (F.col("size") <= most) | (F.lit(BITS) - F.bit_count("used") <= MOST)
         star = live.where(~few).select("f", F.explode(F.array("x", "y")).alias("x")).where(
             (F.col("f") != F.col("x")) & (apart("f", "x") <= MOST))
         side = live.where(few)
@@ -313,11 +325,14 @@ def links_of(members: DataFrame) -> tuple[DataFrame, DataFrame | None]:
         new = star.toDF("a", "b").unionByName(met).select(
             F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         links = stored(new if links is None else links.unionByName(new), "simhash-links")
-        rooted = components(links)
         rest = live.where(~few).select("k", "f", "entry", "ask", "used")
         if not rest.take(1):
-            return links, rooted
-        members = deal(mixed(rest, rooted))
+            return links
+        if most == SMALL:  # the same buckets again, with what is known now
+            rooted, members, most = known(links), rest, LARGE
+        else:
+            rooted = components(links)
+            members = deal(mixed(rest, rooted))
 
 
 def join(docs: DataFrame) -> DataFrame:
@@ -331,7 +346,7 @@ def join(docs: DataFrame) -> DataFrame:
         parts = choose_partitions(together, n)
         p = np.diag(together) / n
         chance = np.array([within(2 * p[b] * (1 - p[b])) for b in parts])
-        _, rooted = links_of(stored(entries(classes, parts, chance / chance[:, :1]), "simhash-entries"))
+        rooted = components(links_of(stored(entries(classes, parts, chance / chance[:, :1]), "simhash-entries")))
     named = classes.join(rooted.withColumnRenamed("c", "f"), "f", "left").withColumn("root", F.coalesce("root", "f"))
     least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     component = named.join(least, "root").select("f", "component_id")

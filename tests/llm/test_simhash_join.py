@@ -75,11 +75,12 @@ def family(n, varying, seed):
     return list(out)
 
 
-@pytest.mark.parametrize("small", [32, 4])
-def test_components_of_families_and_random_fingerprints(spark, monkeypatch, small):
+@pytest.mark.parametrize("small, large", [(256, 4096), (8, 60)])
+def test_components_of_families_and_random_fingerprints(spark, monkeypatch, small, large):
     monkeypatch.setattr(sj, "SMALL", small)
+    monkeypatch.setattr(sj, "LARGE", large)
     r = random.Random(7)
-    f = set(family(1500, 16, 1) + family(300, 40, 2) + [r.getrandbits(64) for _ in range(800)])
+    f = set(family(500, 14, 1) + family(150, 40, 2) + [r.getrandbits(64) for _ in range(300)])
     # a set of a hot bucket without any link: the low half is equal, the others differ in four bits at least
     f |= {(x << 60 | x << 56 | x << 52 | x << 48 | x << 36) & (1 << 64) - 1 | 5 for x in range(16)}
     f = sorted(f)
@@ -89,7 +90,7 @@ def test_components_of_families_and_random_fingerprints(spark, monkeypatch, smal
     parts = sj.choose_partitions(together, n)
     p = np.diag(together) / n
     chance = np.array([sj.within(2 * p[b] * (1 - p[b])) for b in parts])
-    _, rooted = sj.links_of(sj.entries(classes, parts, chance / chance[:, :1]))
+    rooted = sj.components(sj.links_of(sj.entries(classes, parts, chance / chance[:, :1])))
     got = {x["c"] % (1 << 64): x["root"] % (1 << 64) for x in rooted.collect()}
     want = plain_components(f)
     assert {frozenset(g) for g in groups({x: got.get(x, x) for x in f})} == {frozenset(g) for g in groups(want)}
