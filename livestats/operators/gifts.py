@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.columns import event_is, prop
+from ..functions.columns import drop_incomplete, event_is, prop
+from .asof import HOUR_MS, as_of_join
 
 ROOM = ["anchor_id", "room_id"]
 # Holds every digit of points with up to ten decimals.
@@ -24,12 +25,17 @@ def gift_snapshot(log: DataFrame, key: str = "id", order: str = "seq") -> DataFr
                 .select(key, F.col("_l.name").alias("name"), F.col("_l.point").alias("point")))
 
 
-def rewards(events: DataFrame) -> DataFrame:
-    """F1 + M1: reward events with room and gift id (int, NULL if not a number)."""
-    return events.where(event_is(schemas.LIVE_REWARD)).select(
+def rewards(events: DataFrame, metrics=None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """F1 + M1: reward events with room and gift id (int, NULL if not a number), and ``keep`` columns.
+
+    Rows without anchor or room are dropped; ``metrics`` (a name or an
+    ``Observation``) counts them.
+    """
+    out = events.where(event_is(schemas.LIVE_REWARD)).select(
         "record_id", prop("anchor_id", df=events).alias("anchor_id"),
         prop("room_id", df=events).alias("room_id"),
-        prop(schemas.GIFT_PROP, df=events).try_cast("int").alias("gift_id"))
+        prop(schemas.GIFT_PROP, df=events).try_cast("int").alias("gift_id"), *keep)
+    return drop_incomplete(out, ROOM, metrics)
 
 
 def enrich(rewards_df: DataFrame, snapshot: DataFrame, key: str = "id") -> DataFrame:
@@ -42,6 +48,16 @@ def enrich(rewards_df: DataFrame, snapshot: DataFrame, key: str = "id") -> DataF
     return j.select("record_id", *ROOM, "gift_name", F.lit(1).alias("amount"), "point")
 
 
+def enrich_as_of(rewards_df: DataFrame, log: DataFrame, key: str = "id", time: str = "changed_ms", order: str = "seq",
+                 bucket_ms: int = HOUR_MS) -> DataFrame:
+    """J1 as of the reward's time: the gift as it was then.  A reward before its
+    gift's first change, or after its deletion, gets NULLs; a gift that changes
+    later does not change the rewards before.  ``rewards_df`` carries ``ts_ms``."""
+    named = log.withColumnRenamed("name", "gift_name")
+    j = as_of_join(rewards_df, named, ("gift_id", key), ("ts_ms", time), order, ("gift_name", "point"), bucket_ms)
+    return j.select("record_id", *ROOM, "gift_name", F.lit(1).alias("amount"), "point")
+
+
 def gift_totals(enriched: DataFrame) -> DataFrame:
     """A8 + M4: gift count and points per room.
 

@@ -255,6 +255,23 @@ def gift_count_by_name(spark, sf):
     return gifts.count_by_gift(_enriched(spark, sf))
 
 
+def _enriched_as_of(spark, sf):
+    rewards = gifts.rewards(td.events(spark, sf), keep=("ts_ms",))
+    return gifts.enrich_as_of(rewards, td.timed_gift_log(spark, sf))
+
+
+@query
+def gift_enriched_as_of(spark, sf):
+    """J1 with every reward's gift as it was at the reward's time."""
+    return _enriched_as_of(spark, sf)
+
+
+@query
+def gift_totals_as_of(spark, sf):
+    """A8 with rewards valued as of their time."""
+    return gifts.gift_totals(_enriched_as_of(spark, sf))
+
+
 # ---- generic windows --------------------------------------------------------
 
 def _pairs(spark, sf):

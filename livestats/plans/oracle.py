@@ -36,6 +36,12 @@ GIFT_DIM = """gift_dim AS (
   SELECT id, name, point FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq DESC) AS rn FROM gift_log)
   WHERE rn = 1 AND deleted = 0)"""
 
+# Every version of a gift with the time it is valid from and until.
+GIFT_VERSIONS = """gift_versions AS (
+  SELECT id, name, point, deleted, changed_ms,
+         lead(changed_ms) OVER (PARTITION BY id ORDER BY changed_ms, seq) AS until_ms
+  FROM (SELECT *, 1704067200000 + seq * 24750 AS changed_ms FROM gift_log))"""
+
 LATE_FLAGGED = """x AS (SELECT l_orderkey AS order_id, l_linenumber AS line, l_partkey AS sku, epoch_ms(l_shipdate) AS ts_ms,
                   CASE WHEN (l_orderkey + l_linenumber) % 97 <> 3
                        THEN (epoch_ms(l_shipdate) + (l_orderkey % 60) * 86400000) // 7776000000 END AS b FROM lineitem),
@@ -213,6 +219,17 @@ ORACLE["gift_count_by_name"] = _with(EV, GIFT_LOG, GIFT_DIM) + """
 SELECT name AS gift_name, count(*) AS amount
 FROM ev LEFT JOIN gift_dim ON gift_id = id WHERE event_name = 'liveReward' GROUP BY name"""
 
+_AS_OF = _with(EV, GIFT_LOG, GIFT_VERSIONS) + """SELECT {columns}
+FROM (SELECT * FROM ev WHERE event_name = 'liveReward') e LEFT JOIN gift_versions v
+  ON gift_id = id AND deleted = 0 AND ts_ms >= changed_ms AND (until_ms IS NULL OR ts_ms < until_ms){tail}"""
+
+ORACLE["gift_enriched_as_of"] = _AS_OF.format(
+    columns="record_id, anchor_id, room_id, name AS gift_name, 1 AS amount, point", tail="")
+
+ORACLE["gift_totals_as_of"] = _AS_OF.format(
+    columns="anchor_id, room_id, count(*) AS amount, CAST(sum(CAST(point AS DECIMAL(28,10))) AS DOUBLE) AS points",
+    tail=" GROUP BY ALL")
+
 # ---- generic windows --------------------------------------------------------
 
 _DAY_SUM = """ws AS (SELECT event_type AS key, ts_ms // 86400000 * 86400000 AS window_start,

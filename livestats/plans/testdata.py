@@ -223,6 +223,15 @@ def gift_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE WHEN p_partkey % 7 = 3 THEN 1 ELSE 0 END AS deleted", "p_partkey * 7919 % 104729 AS seq")
 
 
+# Fixed values (FIXTURES.md): the change with number seq comes so long after the first event's month starts.
+GIFT_EPOCH_MS, GIFT_STEP_MS = 1_704_067_200_000, 24_750
+
+
+def timed_gift_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The change log with the time of each change, spread over the events' month."""
+    return gift_log(spark, sf_dir).withColumn("changed_ms", F.lit(GIFT_EPOCH_MS) + F.col("seq") * GIFT_STEP_MS)
+
+
 # ---- orders ---------------------------------------------------------------
 
 DAY_MS = 86_400_000

@@ -3,7 +3,7 @@
 A stream-static join reads its static side as it was listed when the query
 started.  ``RefreshingEnricher`` instead polls the dimension at the start of
 a micro-batch (at most every ``interval_ms``), merges the changes into the
-snapshot and broadcast-joins the batch to it.  The enriched rows (A12) land
+snapshot and joins the batch to it.  The enriched rows (A12) land
 in a table partitioned by batch id, written once per batch (a retry finds the
 committed folder and skips it); the running totals (A8, A9) read that table as a
 stream.

@@ -86,7 +86,7 @@ def gift_enriched(events: DataFrame, snapshot: DataFrame) -> DataFrame:
     The static side is the snapshot as listed when the query starts; for one
     that changes during the stream see ``streaming.enrich``.
     """
-    return gifts.enrich(gifts.rewards(events), snapshot)
+    return gifts.enrich(gifts.rewards(events, "rewards_incomplete"), snapshot)
 
 
 def gift_totals(events: DataFrame, snapshot: DataFrame) -> DataFrame:
