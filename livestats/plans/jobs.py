@@ -22,7 +22,7 @@ from ..functions.columns import line_without
 from ..operators import audience, gifts, orders, users
 from ..session import checkpoint_location
 from ..sources import files, topic
-from ..streaming import late, stateful, streams, use_rocksdb
+from ..streaming import firsts, late, stateful, streams, use_rocksdb
 
 Sink = str | Callable[[DataFrame, int], None] | Callable[[str], object]
 
@@ -80,44 +80,59 @@ def user_count(spark, source, sink: Sink = "console", checkpoint_root=None, trig
 LAUNCH_CARRY = ("event_name", "is_new", "os_name", "province", "release_channel", "device_type")
 
 
+def _staged_first_seen(spark, ev: DataFrame, name: str, keys, carry, landing_path, checkpoint_root, trigger):
+    """Stage 1 of the first-seen forms, started, and the flagged rows as a stream."""
+    root = (checkpoint_root or checkpoint_location(spark, "")).rstrip("/")
+    stage = firsts.CandidateStage(landing_path or f"{root}/{name}_landing", keys, carry)
+    schema = stage.prepare(ev)
+    q1 = _start(ev, f"{name}_candidates", stage, "append", checkpoint_root, trigger)
+    if trigger and trigger.get("availableNow"):
+        q1.awaitTermination()  # a one-shot run: let stage 2 see every landed row
+    return q1, firsts.flagged_stream(spark, stage.landing, schema, keys, carry)
+
+
 def launch_rows(spark, source, sink: Sink, flag_col: str = "is_n", checkpoint_root=None,
-                name: str = "launch_rows", trigger=None, partitioned_path: str | None = None):
+                name: str = "launch_rows", trigger=None, partitioned_path: str | None = None,
+                landing_path: str | None = None):
     """Wide launch rows to a warehouse (M3 + M5, K2/K5).  ``flag_col`` is
     ``is_n`` (the first-seen flag, computed over all events first) or
     ``is_new`` (the arriving flag).  With ``partitioned_path`` the rows land
-    there in date and hour folders."""
+    there in date and hour folders.  Returns the query, for ``is_n`` after that of
+    the stage that marks candidates (see ``streaming.firsts``)."""
     ev = event_stream(spark, source)
+    started = []
     if flag_col == "is_n":
         # the flag is computed over all events (not only launches), and the
         # row's columns ride along with it: no join back to the events
-        use_rocksdb(spark)
-        ev = stateful.first_seen_stream(ev, carry=LAUNCH_CARRY)
+        q1, ev = _staged_first_seen(spark, ev, name, ("device_id",), LAUNCH_CARRY, landing_path, checkpoint_root, trigger)
+        started = [q1]
     rows = users.launch_rows(users.app_launches(ev), flag_col=flag_col)
     if partitioned_path:  # date and hour folders of files (K5), each batch exactly once
         ckpt = f"{checkpoint_root.rstrip('/')}/{name}" if checkpoint_root else checkpoint_location(spark, name)
         w = sinks.partitioned_files(rows, partitioned_path, ckpt).queryName(name)
-        return (w.trigger(**trigger) if trigger else w).start()
-    return _start(rows, name, sink, "append", checkpoint_root, trigger)
+        return [*started, (w.trigger(**trigger) if trigger else w).start()]
+    return [*started, _start(rows, name, sink, "append", checkpoint_root, trigger)]
 
 
 def first_seen(spark, source, sink: Sink = "console", per_type: bool = False, approximate: bool = False,
                checkpoint_root=None, trigger=None, capacity: int | None = None, fpp: float = 0.01,
-               buckets: int = stateful.BUCKETS):
+               buckets: int = stateful.BUCKETS, landing_path: str | None = None):
     """First-seen device flag: per device type (D1), per device (D2), or the
     bounded-memory approximation (D3).
 
-    D3 holds ``buckets`` filters for ``capacity`` devices in all (per type) at
-    a false-positive rate of ``fpp``; beyond the capacity more new devices go
-    unflagged, and more tasks than buckets have no work."""
+    The exact forms run in two stages (``streaming.firsts``), so both queries
+    are returned.  D3 holds ``buckets`` filters for ``capacity`` devices in all
+    (per type) at a false-positive rate of ``fpp``; beyond the capacity more new
+    devices go unflagged, and more tasks than buckets have no work."""
     use_rocksdb(spark)
     ev = event_stream(spark, source)
     keys = ("device_type", "device_id") if per_type else ("device_id",)
     if approximate:
         cap = capacity or (stateful.CAPACITY_PER_TYPE if per_type else stateful.CAPACITY_PER_TASK)
         out = stateful.approx_first_seen_stream(ev, capacity=cap, fpp=fpp, buckets=buckets, keys=keys)
-    else:
-        out = stateful.first_seen_stream(ev, keys)
-    return _start(out, "first_seen", sink, "append", checkpoint_root, trigger)
+        return [_start(out, "first_seen", sink, "append", checkpoint_root, trigger)]
+    q1, out = _staged_first_seen(spark, ev, "first_seen", keys, (), landing_path, checkpoint_root, trigger)
+    return [q1, _start(out, "first_seen", sink, "append", checkpoint_root, trigger)]
 
 
 # ---- audience ---------------------------------------------------------------------
@@ -213,7 +228,7 @@ ORDER_COLS = ["order_id", "line", "sku", "ts_ms"]
 def order_count(spark, lines: DataFrame, headers: DataFrame, snapshot: DataFrame | Callable[[], DataFrame],
                 joined_sink: Callable[[DataFrame, int], None], rescued_write: Callable[[DataFrame, int], None],
                 on_time_path: str | None = None, size_ms: int = orders.WINDOW_MS, checkpoint_root=None, trigger=None,
-                delay: str = streams.DEFAULT_DELAY):
+                delay: str = streams.DEFAULT_DELAY, salts: int = 1):
     """Order lines joined to headers in windows (J2), late lines split off
     (W7), given an empty header (M6) and looked up in the snapshot (J4).
 
@@ -253,7 +268,8 @@ def order_count(spark, lines: DataFrame, headers: DataFrame, snapshot: DataFrame
     def land(on_time_df: DataFrame, batch_id: int) -> None:
         sinks.write_batch(on_time_df.select(*ORDER_COLS), on_time_path, batch_id)
 
-    splitter = late.LateSplitter(f"{root}/order_marks", size_ms, on_late=rescue, on_time=land)
+    splitter = late.LateSplitter(f"{root}/order_marks", size_ms, on_late=rescue, on_time=land,
+                                 delay_ms=streams.delay_ms(delay))
     q1 = _start(lines.select(*ORDER_COLS), "late_orders", splitter, "append", checkpoint_root, trigger)
     if trigger and trigger.get("availableNow"):
         q1.awaitTermination()  # a one-shot run: let the join see every landed line
@@ -261,7 +277,7 @@ def order_count(spark, lines: DataFrame, headers: DataFrame, snapshot: DataFrame
     spark.createDataFrame([], line_schema).write.mode("append").parquet(f"{on_time_path}/batch_id=-1")
     landed = T.StructType(line_schema.fields + [T.StructField("batch_id", T.LongType())])
     on_time = spark.readStream.schema(landed).parquet(on_time_path).drop("batch_id")
-    j = streams.order_join_stream(on_time, headers, size_ms, delay)
+    j = streams.order_join_stream(on_time, headers, size_ms, delay, salts)
     handler = joined_sink("order_join") if isinstance(joined_sink, PerQuery) else joined_sink
     q2 = _start(j, "order_join", complete if callable(handler) else handler, "append", checkpoint_root, trigger)
     return [q1, q2]
@@ -289,12 +305,16 @@ def order_streams(spark, headers_source, lines_source,
 # ---- group-buying ---------------------------------------------------------------------------------
 
 def groupon_count(spark, detail_dir: str, main_dir: str, order_dir: str, sink: Sink = "console",
-                  size_ms: int = 5_000, checkpoint_root=None, trigger=None):
-    """Detail -> main -> order (J3) from three delimited text feeds (S4 + P5)."""
-    def feed(path, fields):
-        return parse.split_delimited(files.read_lines(spark, path, stream=True), fields)
-    j = streams.groupon_join_stream(feed(detail_dir, schemas.GROUPON_DETAIL), feed(main_dir, schemas.GROUPON_MAIN),
-                                    feed(order_dir, schemas.GROUPON_ORDER), size_ms)
+                  size_ms: int = 5_000, checkpoint_root=None, trigger=None, delay: str = streams.DEFAULT_DELAY,
+                  salts: int = 1):
+    """Detail -> main -> order (J3) from three delimited text feeds (S4 + P5).
+    Rejected lines are counted in the observed metrics ``groupon_detail``,
+    ``groupon_main`` and ``groupon_order``."""
+    def feed(path, fields, name):
+        return parse.split_delimited(files.read_lines(spark, path, stream=True), fields, metrics=f"groupon_{name}")
+    j = streams.groupon_join_stream(feed(detail_dir, schemas.GROUPON_DETAIL, "detail"),
+                                    feed(main_dir, schemas.GROUPON_MAIN, "main"),
+                                    feed(order_dir, schemas.GROUPON_ORDER, "order"), size_ms, delay, salts)
     return _start(j, "groupon", sink, "append", checkpoint_root, trigger)
 
 
@@ -302,7 +322,7 @@ def groupon_count(spark, detail_dir: str, main_dir: str, order_dir: str, sink: S
 
 def lines_to_table(spark, lines_dir: str, sink: Callable[[DataFrame, int], None], checkpoint_root=None, trigger=None):
     """Delimited ``id,name,age`` lines appended to a table (P5 + K2)."""
-    rows = parse.split_delimited(files.read_lines(spark, lines_dir, stream=True), schemas.PERSON)
+    rows = parse.split_delimited(files.read_lines(spark, lines_dir, stream=True), schemas.PERSON, metrics="lines_to_table")
     return _start(rows, "lines_to_table", sink, "append", checkpoint_root, trigger)
 
 
@@ -321,12 +341,12 @@ def filter_topic(spark, source, sink: Sink, word: str = "error", checkpoint_root
 
 
 def window_sum_with_history(spark, lines_dir: str, sink: Sink = "console", size_ms: int = 10_000,
-                            checkpoint_root=None, trigger=None):
+                            checkpoint_root=None, trigger=None, delay: str = streams.DEFAULT_DELAY):
     """``word,count`` lines: sum per word and processing-time window
     and the word's lifetime total at every trigger (W5)."""
-    rows = parse.split_delimited(files.read_lines(spark, lines_dir, stream=True), schemas.WORD_COUNT) \
+    rows = parse.split_delimited(files.read_lines(spark, lines_dir, stream=True), schemas.WORD_COUNT, metrics="word_counts") \
         .withColumn("ts_ms", F.unix_millis(F.current_timestamp()))
-    windowed = streams.with_event_time(rows).groupBy(
+    windowed = streams.with_event_time(rows, delay).groupBy(
         F.window("event_time", f"{int(size_ms)} milliseconds").alias("w"), "key").agg(F.sum("value").alias("value_sum"))
     windowed = windowed.select("key", F.unix_millis("w.start").alias("window_start"), "value_sum")
     return [_start(windowed, "word_windows", sink, "append", checkpoint_root, trigger),

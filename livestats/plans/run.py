@@ -113,17 +113,18 @@ def start(job: str, props: dict[str, str], spark: SparkSession | None = None):
     trig = trigger_of(props)
     sink = sink_of(props, several=job in SEVERAL)
     delay = delay_of(props)
+    salts = int(props.get("join.salts", 1))
     if job == "user_count":
         return jobs.user_count(spark, source_of(props), sink, ck, trig)
     if job in ("launch_rows", "launch_rows_first_seen"):
         flag = "is_n" if job == "launch_rows_first_seen" else props.get("flag.column", "is_new")
         folders = props.get("output.path") if props.get("output.partitioned") == "true" else None
-        return [jobs.launch_rows(spark, source_of(props), sink, flag, ck, trigger=trig, partitioned_path=folders)]
+        return jobs.launch_rows(spark, source_of(props), sink, flag, ck, trigger=trig, partitioned_path=folders)
     if job == "first_seen":
-        return [jobs.first_seen(spark, source_of(props), sink, props.get("per.type") == "true",
-                                props.get("approximate") == "true", ck, trig,
-                                int(props["bloom.capacity"]) if props.get("bloom.capacity") else None,
-                                float(props.get("bloom.fpp", 0.01)), int(props.get("bloom.buckets", stateful.BUCKETS)))]
+        return jobs.first_seen(spark, source_of(props), sink, props.get("per.type") == "true",
+                               props.get("approximate") == "true", ck, trig,
+                               int(props["bloom.capacity"]) if props.get("bloom.capacity") else None,
+                               float(props.get("bloom.fpp", 0.01)), int(props.get("bloom.buckets", stateful.BUCKETS)))
     if job == "live_audience":
         return [jobs.live_audience(spark, source_of(props), sink, ck, trig)]
     if job == "live_audience_windows":
@@ -144,14 +145,14 @@ def start(job: str, props: dict[str, str], spark: SparkSession | None = None):
         return [jobs.filter_topic(spark, source_of(props), sink, props.get("drop.word", "error"), ck, trig, to)]
     if job == "groupon_count":
         return [jobs.groupon_count(spark, props["detail.path"], props["main.path"], props["order.path"], sink,
-                                   int(props.get("window.ms", 5000)), ck, trig)]
+                                   int(props.get("window.ms", 5000)), ck, trig, delay, salts)]
     if job == "lines_to_table":
         if isinstance(sink, str):
             raise ValueError("lines_to_table needs jdbc.url + jdbc.table or output.path")
         return [jobs.lines_to_table(spark, props["input.path"], sink, ck, trig)]
     if job == "window_sum_with_history":
         return jobs.window_sum_with_history(spark, props["input.path"], sink, int(props.get("window.ms", 10000)),
-                                            ck, trig)
+                                            ck, trig, delay)
     if job == "gift_count":
         # the gift dimension: a database table (gift.jdbc.url + gift.jdbc.table) or a change-log folder
         if props.get("gift.jdbc.url"):
@@ -176,7 +177,7 @@ def start(job: str, props: dict[str, str], spark: SparkSession | None = None):
                 "unix_millis(update_time) AS ts_ms")
         return jobs.order_count(spark, lines, headers, snapshot, handler_of(sink, "order_join"),
                                 handler_of(sink, "order_rescued"), size_ms=int(props.get("window.ms", 10000)),
-                                checkpoint_root=ck, trigger=trig, delay=delay)
+                                checkpoint_root=ck, trigger=trig, delay=delay, salts=salts)
     raise ValueError(f"unknown job {job!r}")
 
 

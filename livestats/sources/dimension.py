@@ -67,7 +67,11 @@ class DimensionSnapshot:
         return self.spark.read.parquet(f"{self.path}/slot={self.slot}")
 
     def refresh(self) -> DataFrame:
-        changes = self.read_changes(self.spark, self.mark).select(
+        return self.merge(self.read_changes(self.spark, self.mark))
+
+    def merge(self, changes: DataFrame) -> DataFrame:
+        """Merges changed rows, polled or from a stream's micro-batch; merging rows again is harmless."""
+        changes = changes.select(
             self.key, "name", "point", F.coalesce("deleted", F.lit(0)).alias("deleted"), self.time_col)
         cur = self._log()
         if cur is not None:
@@ -88,6 +92,10 @@ class DimensionSnapshot:
         self.mark = m if m is not None else self.mark
         return self.current()
 
+    def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
+        """A ``foreachBatch`` handler for a stream of changes (``sources.changes``)."""
+        self.merge(batch_df)
+
     def current(self) -> DataFrame:
         """The snapshot: (id, name, point) of the gifts not deleted."""
         log = self._log()

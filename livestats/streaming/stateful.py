@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -123,59 +123,73 @@ FIRST_OUT = T.StructType([
 ])
 
 
+def first_out(schema: T.StructType, carry: tuple[str, ...] = ()) -> T.StructType:
+    """The output of the first-seen forms with ``carry`` columns of the input."""
+    return T.StructType(FIRST_OUT.fields + [schema[c] for c in carry if c not in FIRST_OUT.fieldNames()])
+
+
+def device_key(keys) -> Column:
+    """One text for the key columns, in which a NULL differs from any value."""
+    return F.to_json(F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)]))
+
+
 class FirstSeenProcessor(StatefulProcessor):
     """Keyed by device.  State: one boolean.  Flags the first event ever.
 
-    ``carry`` columns of the input ride along to the output, so the flag
-    never has to be joined back to the events.
+    ``names`` are the output columns; all but ``is_n`` come from the input, so
+    the flag never has to be joined back to the events.  Rows with a NULL in
+    ``order`` are flagged 0 and leave the state alone, as in the batch form.
     """
 
-    def __init__(self, carry: tuple[str, ...] = ()):
-        self.carry = tuple(carry)
+    def __init__(self, names, order: tuple[str, ...] = ("ts_ms", "seq")):
+        self.names, self.order = list(names), tuple(order)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.seen = handle.getValueState("seen", T.StructType([T.StructField("v", T.BooleanType())]))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         # One pass, O(1) memory per key: every row leaves at once flagged 0,
-        # except the earliest (ts, seq) seen so far, which is held back and
-        # emitted last -- flagged 1 when the device was never seen before.
-        device = key[-1]
-        names = ("record_id", "device_id", "ts_ms", "is_n") + self.carry
+        # except the earliest so far, which is held back and emitted last --
+        # flagged 1 when the device was never seen before.
         seen = self.seen.exists()
 
         def out(r, flag):
-            return Row(**dict(zip(names, (r["record_id"], device, r["ts_ms"], flag)
-                                  + tuple(r[c] for c in self.carry))))
+            return Row(**{c: flag if c == "is_n" else r[c] for c in self.names})
 
-        held = None
+        held, first = None, None
         for r in rows:
-            if held is None:
-                held = r
-            elif (r["ts_ms"], r["seq"]) < (held["ts_ms"], held["seq"]):
+            at = tuple(r[c] for c in self.order)
+            if None in at:
+                yield out(r, 0)
+            elif held is None:
+                held, first = r, at
+            elif at < first:
                 yield out(held, 0)
-                held = r
+                held, first = r, at
             else:
                 yield out(r, 0)
         if held is not None:
             yield out(held, 0 if seen else 1)
-            self.seen.update((True,))
+            if not seen:
+                self.seen.update((True,))
 
     def close(self) -> None:
         pass
 
 
 def first_seen_stream(events: DataFrame, keys=("device_id",), carry: tuple[str, ...] = ()) -> DataFrame:
-    """D2 (keys = device) or D1 (keys = device type, device) on a stream:
-    every event with ``is_n`` = 1 for its key's first event, plus ``carry``."""
+    """D2 (keys = device) or D1 (keys = device type, device) on a stream in one query:
+    every event with ``is_n`` = 1 for its key's first event, plus ``carry``.
+
+    All events of a device go through one task; ``firsts`` has the form in two
+    stages, which only sends one candidate of a device and micro-batch there.
+    """
     use_rocksdb(events.sparkSession)
-    keys = list(keys)
-    carry = tuple(c for c in carry if c not in ("record_id", "device_id", "ts_ms", "is_n"))
-    src = events.select("record_id", *keys, "ts_ms", "seq", *[c for c in carry if c not in keys])
-    if keys[-1] != "device_id":
-        src = src.withColumn("device_id", F.col(keys[-1]))
-    out = T.StructType(FIRST_OUT.fields + [src.schema[c] for c in carry])
-    return src.groupBy(*keys).transformWithState(FirstSeenProcessor(carry), out, "Append", "None")
+    src = events if "device_id" in events.columns else events.withColumn("device_id", F.col(keys[-1]))
+    out = first_out(src.schema, carry)
+    names = out.fieldNames()
+    rows = src.withColumn("_device", device_key(keys)).select("_device", "seq", *[c for c in names if c not in ("is_n", "seq")])
+    return rows.groupBy("_device").transformWithState(FirstSeenProcessor(names), out, "Append", "None")
 
 
 # ---- D3: bounded-memory approximate first-seen (Bloom filter per bucket) ---------
@@ -213,16 +227,19 @@ class BloomProcessor(StatefulProcessor):
         i = np.arange(self.hashes, dtype=np.uint64)
         for pdf in rows:
             pdf = pdf.sort_values(["ts_ms", "seq"], kind="stable").reset_index(drop=True)
-            first_in_chunk = ~pdf["device_id"].duplicated()
+            # an event without a time or sequence is never first and leaves no trace
+            timed = (pdf["ts_ms"].notna() & pdf["seq"].notna()).to_numpy()
+            first_in_chunk = np.zeros(len(pdf), bool)
+            first_in_chunk[timed] = ~pdf["device_id"][timed].duplicated().to_numpy()
             h1 = pdf["h1"].to_numpy(dtype=np.int64).astype(np.uint64)
             h2 = pdf["h2"].to_numpy(dtype=np.int64).astype(np.uint64) | np.uint64(1)
             pos = ((h1[:, None] + i[None, :] * h2[:, None]) % np.uint64(self.bits)).astype(np.int64)
             byte, bit = pos // 8, (pos % 8).astype(np.uint8)
             present = ((arr[byte] >> bit) & 1).astype(bool).all(axis=1)
-            new = first_in_chunk.to_numpy() & ~present
+            new = first_in_chunk & ~present
             np.bitwise_or.at(arr, byte[new].ravel(), (np.uint8(1) << bit[new].ravel()).astype(np.uint8))
             yield pd.DataFrame({"record_id": pdf["record_id"], "device_id": pdf["device_id"],
-                                "ts_ms": pdf["ts_ms"], "is_n": new.astype(np.int32)})
+                                "ts_ms": pdf["ts_ms"].astype("Int64"), "is_n": new.astype(np.int32)})
         self.state.update((arr.tobytes(),))
 
     def close(self) -> None:

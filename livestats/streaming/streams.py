@@ -136,50 +136,70 @@ def top_n_per_batch(n: int, write: Callable[[DataFrame, int], None]) -> Callable
 
 # ---- joins --------------------------------------------------------------------------------
 
+def delay_ms(delay: str) -> int:
+    """A delay such as ``5 seconds`` or ``1500 milliseconds`` in milliseconds."""
+    number, unit = delay.split()
+    units = {"millisecond": 1, "second": 1000, "minute": 60_000, "hour": 3_600_000, "day": 86_400_000}
+    return int(number) * units[unit.rstrip("s")]
+
+
+def _salted(df: DataFrame, row_key: list[str], salts: int) -> DataFrame:
+    """Rows of the large side with a salt of the row itself, so a replayed row keeps it."""
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in row_key]), F.lit(salts)).cast("int") if salts > 1 else F.lit(0)
+    return df.withColumn("_salt", salt)
+
+
+def _side(df: DataFrame, key: str, cols, tag: str, size_ms: int, delay: str, salts: int) -> DataFrame:
+    """The small side of a windowed join, a copy for each salt."""
+    s = df.select(F.col(key).alias(f"_{tag}k"), F.col("ts_ms").alias(f"_{tag}ts"), *cols)
+    s = s.withColumn(f"_{tag}et", event_time(f"_{tag}ts")).withWatermark(f"_{tag}et", delay) \
+         .withColumn(f"_{tag}w", F.window(f"_{tag}et", _ms(size_ms)))
+    copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))) if salts > 1 else F.lit(0)
+    return s.withColumn(f"_{tag}salt", copies)
+
+
+def _met(left: DataFrame, right: DataFrame, key: str, tag: str):
+    return (left[key] == right[f"_{tag}k"]) & (left["_salt"] == right[f"_{tag}salt"]) & (left["_w"] == right[f"_{tag}w"])
+
+
 def window_join_stream(left: DataFrame, right: DataFrame, key: tuple[str, str], size_ms: int,
-                       delay: str = DEFAULT_DELAY, right_cols=()) -> DataFrame:
+                       delay: str = DEFAULT_DELAY, right_cols=(), salts: int = 1) -> DataFrame:
     """J2 on streams: left outer stream-stream join on (key, event-time window).
 
     Both sides carry a watermark; the window equality bounds the join state,
     and a left row without a partner is emitted with NULLs once its window
-    closes.
+    closes.  Adaptive execution does not split stateful joins, so with ``salts``
+    the rows of a hot key are dealt to so many tasks by a hash of the row, and the
+    right side's rows, few for a key, are copied to each.  The number is part
+    of the state: it must not change between restarts from one checkpoint.
     """
     lk, rk = key
-    lw = with_event_time(left, delay).withColumn("_w", F.window("event_time", _ms(size_ms)))
-    r = right.select(F.col(rk).alias("_rk"), F.col("ts_ms").alias("_rts"), *right_cols)
-    rw = r.withColumn("_ret", event_time("_rts")).withWatermark("_ret", delay) \
-          .withColumn("_rw", F.window("_ret", _ms(size_ms)))
-    j = lw.join(rw, (lw[lk] == rw["_rk"]) & (lw["_w"] == rw["_rw"]), "leftOuter")
-    return j.drop("_rk", "_rts", "_ret", "_rw")
+    lw = _salted(with_event_time(left, delay).withColumn("_w", F.window("event_time", _ms(size_ms))), left.columns, salts)
+    rw = _side(right, rk, right_cols, "r", size_ms, delay, salts)
+    return lw.join(rw, _met(lw, rw, lk, "r"), "leftOuter").drop("_salt", "_rk", "_rts", "_ret", "_rw", "_rsalt")
 
 
 def order_join_stream(lines: DataFrame, headers: DataFrame, size_ms: int = 10_000,
-                      delay: str = DEFAULT_DELAY) -> DataFrame:
+                      delay: str = DEFAULT_DELAY, salts: int = 1) -> DataFrame:
     """Order lines with the header of the same order and window."""
     j = window_join_stream(lines, headers, ("order_id", "order_id"), size_ms, delay,
-                           ("total_money", "status"))
+                           ("total_money", "status"), salts)
     return j.drop("_w", "event_time")
 
 
 def groupon_join_stream(detail: DataFrame, main: DataFrame, order: DataFrame, size_ms: int = 5_000,
-                        delay: str = DEFAULT_DELAY) -> DataFrame:
+                        delay: str = DEFAULT_DELAY, salts: int = 1) -> DataFrame:
     """J3 on streams: detail -> main -> order, both joins in the detail's window.
 
     The first join's output keeps the detail's event time and window, which
     the second join reuses (Spark allows chained stream-stream outer joins
-    when every input carries a watermark).
+    when every input carries a watermark); with ``salts`` also its salt.
     """
-    lw = with_event_time(detail, delay).withColumn("_w", F.window("event_time", _ms(size_ms)))
-
-    def side(df, key, cols, tag):
-        s = df.select(F.col(key).alias(f"_{tag}k"), F.col("ts_ms").alias(f"_{tag}ts"), *cols)
-        return s.withColumn(f"_{tag}et", event_time(f"_{tag}ts")).withWatermark(f"_{tag}et", delay) \
-                .withColumn(f"_{tag}w", F.window(f"_{tag}et", _ms(size_ms)))
-
-    m = side(main, "groupon_id", [F.col("status").alias("groupon_status"), "category"], "m")
-    o = side(order, "order_id", [F.col("status").alias("order_status"), "money"], "o")
-    j1 = lw.join(m, (lw["groupon_id"] == m["_mk"]) & (lw["_w"] == m["_mw"]), "leftOuter")
-    j2 = j1.join(o, (j1["order_id"] == o["_ok"]) & (j1["_w"] == o["_ow"]), "leftOuter")
+    lw = _salted(with_event_time(detail, delay).withColumn("_w", F.window("event_time", _ms(size_ms))), detail.columns, salts)
+    m = _side(main, "groupon_id", [F.col("status").alias("groupon_status"), "category"], "m", size_ms, delay, salts)
+    o = _side(order, "order_id", [F.col("status").alias("order_status"), "money"], "o", size_ms, delay, salts)
+    j1 = lw.join(m, _met(lw, m, "groupon_id", "m"), "leftOuter")
+    j2 = j1.join(o, _met(j1, o, "order_id", "o"), "leftOuter")
     return j2.select("user_id", "groupon_id", "order_id", "groupon_status", "category", "order_status", "money")
 
 
