@@ -57,7 +57,8 @@ class IdEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # texts that hold the string of an added token are left to the library
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model
         self.letters = str.maketrans({chr(b): x for b, x in _byte_letters().items()})
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
@@ -150,6 +151,8 @@ class IdEncoder:
         if len(texts) == 0:
             return np.empty(0, self.dtype), np.empty(0, np.int64)
         alone = pc.match_substring_regex(texts, _ALONE)
+        for token in self.added:
+            alone = pc.or_(alone, pc.match_substring(texts, token))
         units, counts = self._cut(pc.if_else(alone, "", texts))
         found = units.dictionary_encode()
         words, at = found.dictionary, found.indices.to_numpy(zero_copy_only=False)

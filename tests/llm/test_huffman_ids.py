@@ -5,6 +5,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from livestats.llm.huffman_ids import Code, code_lengths, read_ids, write_ids
 from livestats.llm.queries import QUERIES
@@ -16,8 +17,20 @@ from .helpers import documents, odd_rows
 ENCODER = IdEncoder(default_vocabulary(), table_units=300)
 
 
+PLAIN = Tokenizer.from_file(default_vocabulary())
+
+
 def library_ids(text):
-    return ENCODER.tokenizer.encode(text or "", add_special_tokens=False).ids
+    """The ids of a tokenizer that only the library has touched."""
+    return PLAIN.encode(text or "", add_special_tokens=False).ids
+
+
+def test_added_tokens_in_a_text_are_the_library_ids():
+    texts = ["a<|endoftext|>b", "<|endoftext|>", " <|endoftext|> \n<|endoftext|>x <|endoftext", "<|endof", "a b c"]
+    ids, lens = ENCODER.encode(pa.array(texts))
+    assert ids.tolist() == [i for t in texts for i in library_ids(t)] and lens.tolist() == [len(library_ids(t)) for t in texts]
+    (end,) = (i for i, t in PLAIN.get_added_tokens_decoder().items() if t.content == "<|endoftext|>")
+    assert library_ids(texts[1]) == [end]
 
 
 @settings(max_examples=60, deadline=None)
