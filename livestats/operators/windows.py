@@ -56,16 +56,36 @@ def windowed_sum(df: DataFrame, keys: list[str], value: str | Column, size_ms: i
             .withColumn("window_end", F.col("window_start") + F.lit(int(size_ms))))
 
 
-def with_history(df: DataFrame, keys: list[str], order: str, sums: dict[str, str]) -> DataFrame:
+# A block of a key's history: the windows that one task adds up one by one.
+BLOCK_MS = 30 * 86_400_000
+
+
+def with_history(df: DataFrame, keys: list[str], order: str, sums: dict[str, str],
+                 block_ms: int = BLOCK_MS) -> DataFrame:
     """Add each window's value to the key's history (lifetime value at each window).
 
-    Runs over one row per (key, window), never over data rows.
+    Runs over one row per (key, window), never over data rows, in two levels:
+    sums of blocks of ``order`` (window starts) are added up for each key, and the
+    windows inside each block.  So no task sorts more of a key than the windows
+    of a block, or one row for each of its blocks, however long the history.
+    ``order`` NULL comes first, in a block of its own.
     """
-    w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    out = df
+    b = df.withColumn("_block", floor_to(order, block_ms))
+    at = [*keys, "_block"]
+    per_block = b.groupBy(*at).agg(*[F.sum(src).alias(dst) for src, dst in sums.items()])
+    earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    before = per_block.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(at)],
+                              *[F.sum(dst).over(earlier).alias(f"_before_{dst}") for dst in sums.values()])
+    inside = Window.partitionBy(*at).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    out = b
     for src, dst in sums.items():
-        out = out.withColumn(dst, F.sum(src).over(w))
-    return out
+        out = out.withColumn(dst, F.sum(src).over(inside))
+    met = [out[c].eqNullSafe(before[f"_k{i}"]) for i, c in enumerate(at)]
+    joined = out.join(before, met)
+    total = {dst: F.when(F.col(dst).isNull(), F.col(f"_before_{dst}")).otherwise(
+        F.col(dst) + F.coalesce(F.col(f"_before_{dst}"), F.lit(0))) for dst in sums.values()}
+    return joined.withColumns(total).drop(*[f"_k{i}" for i in range(len(at))], "_block",
+                                          *[f"_before_{dst}" for dst in sums.values()])
 
 
 def top_n(df: DataFrame, group: list[str], order: list[Column], n: int) -> DataFrame:

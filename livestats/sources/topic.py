@@ -94,3 +94,17 @@ def replay(spark: SparkSession, path: str, stream: bool = False, max_files_per_t
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return r.parquet(path)
+
+
+def once(records: DataFrame, delay: str, key: str = "key", time: str = "timestamp") -> DataFrame:
+    """The reader's half of an at-least-once topic (K4): each record id once.
+
+    A writer that repeats a micro-batch writes its records again with the same
+    id as key.  Of the records with one id whose times lie within ``delay``
+    the first that arrives passes; its id is kept until the watermark is past
+    that, so the state holds the ids of one ``delay`` and no more.  Records without an id have nothing to
+    be told apart by and all pass.
+    """
+    marked = records.withWatermark(time, delay)
+    with_id = marked.where(F.col(key).isNotNull()).dropDuplicatesWithinWatermark([key])
+    return with_id.unionByName(marked.where(F.col(key).isNull()))

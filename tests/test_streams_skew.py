@@ -268,3 +268,60 @@ def test_changes_feed_the_snapshot(spark, tmp_dir):
     assert run() == [(1, "rose", 1.0), (2, "car", 9.0)]
     _db(db, [(1, "rose", 1.0, 1, 20), (3, "bus", 4.0, None, 10)])
     assert run() == [(2, "car", 9.0), (3, "bus", 4.0)]
+
+
+# ---- record ids once (K4) ----------------------------------------------------------------
+
+def test_a_batch_written_twice_is_read_once_and_the_state_is_bounded(spark, tmp_dir):
+    from livestats.sources import topic
+    from livestats.streaming import use_rocksdb
+    use_rocksdb(spark)
+    src, ck = os.path.join(tmp_dir, "src"), os.path.join(tmp_dir, "ck")
+    schema = "key string, value string, timestamp timestamp"
+
+    def write(lo, hi, minute, name):
+        df = spark.range(lo, hi).select(F.concat(F.lit("events-0-"), "id").alias("key"), F.lit(name).alias("value"),
+                                        F.timestamp_seconds(F.lit(1_700_000_000 + 60 * minute)).alias("timestamp"))
+        _append(df, src)
+
+    def run():
+        out = topic.once(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src), "10 minutes")
+        q = out.writeStream.format("parquet").option("path", f"{tmp_dir}/out").option("checkpointLocation", ck) \
+               .trigger(**ONCE).start()
+        q.awaitTermination(300)
+        return [p.stateOperators[0].numRowsTotal for p in q.recentProgress if p.stateOperators]
+
+    write(0, 50, 0, "a")
+    write(0, 50, 1, "again")
+    run()
+    write(40, 60, 2, "after a restart")  # ten of them were written before
+    for k in range(6):
+        write(1000 * (k + 1), 1000 * (k + 1) + 20, 15 * (k + 1), "later")
+    spark.createDataFrame([(None, "no id", None), (None, "no id", None)], schema).write.mode("append").parquet(src)
+    held = run()
+    got = spark.read.parquet(f"{tmp_dir}/out")
+    ids = [r.key for r in got.where("key is not null").collect()]
+    assert len(ids) == len(set(ids)) == 60 + 6 * 20
+    assert got.where("value = 'a'").count() == 50 and got.where("key is null").count() == 2
+    assert held[-1] <= 60  # of 180 ids
+
+
+# ---- long histories (W5) ----------------------------------------------------------------
+
+@pytest.mark.parametrize("block", [1, 7, 100, 10**6])
+def test_history_in_blocks_equals_running_sums(spark, block):
+    import random
+
+    from livestats.operators.windows import with_history
+    r = random.Random(block)
+    rows = [(r.choice(["a", "b", None]), w, r.choice([None, 1, 5, -3])) for w in [None, *range(-20, 200, 3)] for _ in range(1)]
+    rows += [("a", w, 2) for w in range(300, 900, 5)]
+    got = with_history(spark.createDataFrame(rows, "key string, w long, v long"), ["key"], "w", {"v": "total"}, block)
+    want = []
+    for k in ("a", "b", None):
+        total = None
+        for _, w, v in sorted((x for x in rows if x[0] == k), key=lambda x: (x[1] is not None, x[1] or 0)):
+            total = v if total is None else total + (v or 0)
+            want.append((k, w, v, total))
+    assert got.columns == ["key", "w", "v", "total"]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
