@@ -165,12 +165,14 @@ def live_audience_batches(spark, source, sink: Callable[[DataFrame, int], None],
 
 
 def effective_audience(spark, source, sink: Sink = "console", stay_ms: int = audience.STAY_MS,
-                       checkpoint_root=None, trigger=None, delay: str = streams.DEFAULT_DELAY):
+                       checkpoint_root=None, trigger=None, delay: str = streams.DEFAULT_DELAY, by_clock: bool = False):
     """Stays of at least ``stay_ms`` (A7): one row per settled enter plus
-    online deltas; per-room totals are their sums."""
+    online deltas; per-room totals are their sums.  ``by_clock`` measures a stay
+    by the clock (W6) instead of by the events' times."""
     use_rocksdb(spark)
     live = audience.live_events(event_stream(spark, source), metrics="effective_audience_incomplete")
-    return _start(stateful.stay_stream(live, stay_ms, delay), "effective_audience", sink, "append",
+    stays = stateful.stay_clock_stream(live, stay_ms) if by_clock else stateful.stay_stream(live, stay_ms, delay)
+    return _start(stays, "effective_audience", sink, "append",
                   checkpoint_root, trigger)
 
 

@@ -135,7 +135,7 @@ def start(job: str, props: dict[str, str], spark: SparkSession | None = None):
                                           int(props.get("window.ms", 5000)), ck, trig)
     if job == "effective_audience":
         return [jobs.effective_audience(spark, source_of(props), sink, int(props.get("stay.ms", 60000)), ck, trig,
-                                        delay)]
+                                        delay, props.get("stay.by.clock") == "true")]
     if job == "hot_goods":
         return [jobs.hot_goods(spark, source_of(props), handler_of(sink, "hot_goods"),
                                int(props.get("window.ms", 600000)), int(props.get("slide.ms", 60000)),

@@ -1,7 +1,7 @@
 """Stateful stream operators: stay time (A7), first-seen (D2) and its
 bounded-memory approximate form (D3).
 
-Only these three need per-key state that Spark's built-in aggregates cannot
+Only these need per-key state that Spark's built-in aggregates cannot
 express.  Each keeps O(1) state per key (a timestamp, a flag, or a bit array
 per hash bucket) and sorts only the rows of one key within one micro-batch.
 """
@@ -98,6 +98,68 @@ class StayProcessor(StatefulProcessor):
         pass
 
 
+class StayClockProcessor(StatefulProcessor):
+    """A7 by the clock (W6): keyed by (anchor, room, visit).  State: when the pending
+    enter has stayed long enough; a processing-time timer fires then.
+
+    Events count in the order of their sequence, when they arrive.  An enter
+    sets the timer anew, a leave deletes it.  When the timer fires the stay is
+    counted and the state is gone, so what is kept is the visits that are
+    younger than ``stay_ms``.
+    """
+
+    def __init__(self, stay_ms: int):
+        self.stay_ms = int(stay_ms)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.due = handle.getValueState("due", T.StructType([T.StructField("at", T.LongType()),
+                                                             T.StructField("ts", T.LongType())]))
+
+    def _out(self, key, ts, effective, delta):
+        anchor, room, session = key
+        return Row(anchor_id=anchor, room_id=room, live_session=session, ts_ms=ts, effective=effective, delta=delta)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        events = sorted(((r["seq"] is None, r["seq"] or 0, r["event_id"] == schemas.LIVE_ENTER, r["ts_ms"]) for r in rows),
+                        key=lambda e: e[:2])
+        if self.due.exists():
+            self.handle.deleteTimer(self.due.get()[0])
+            self.due.clear()
+        if events[-1][2]:
+            at = timerValues.getCurrentProcessingTimeInMs() + self.stay_ms
+            self.due.update((at, events[-1][3]))
+            self.handle.registerTimer(at)
+        times = [e[3] for e in events if e[3] is not None]
+        yield self._out(key, max(times, default=None), 0, sum(1 if e[2] else -1 for e in events))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        if not self.due.exists():
+            return
+        at, ts = self.due.get()
+        if at <= expiredTimerInfo.getExpiryTimeInMs():
+            self.due.clear()
+            yield self._out(key, ts, 1, 0)
+
+    def close(self) -> None:
+        pass
+
+
+def _visits(live: DataFrame) -> DataFrame:
+    """An event without a session is a visit of its own."""
+    if "record_id" not in live.columns:
+        return live
+    return live.withColumn("live_session", F.coalesce("live_session", F.concat(F.lit("record "), F.col("record_id"))))
+
+
+def stay_clock_stream(live: DataFrame, stay_ms: int = 60_000) -> DataFrame:
+    """A7 on a stream by the clock: a stay counts ``stay_ms`` after its enter has
+    arrived, unless the visit has another event by then.  No event is late."""
+    use_rocksdb(live.sparkSession)
+    return (_visits(live).groupBy("anchor_id", "room_id", "live_session")
+            .transformWithState(StayClockProcessor(stay_ms), STAY_OUT, "Append", "ProcessingTime"))
+
+
 def stay_stream(live: DataFrame, stay_ms: int = 60_000, delay: str = "0 seconds") -> DataFrame:
     """A7 on a stream of live events (anchor_id, room_id, live_session,
     event_id, ts_ms, seq).  Output: settled stays and online deltas; the
@@ -109,9 +171,7 @@ def stay_stream(live: DataFrame, stay_ms: int = 60_000, delay: str = "0 seconds"
     """
     use_rocksdb(live.sparkSession)  # transformWithState needs the RocksDB state store
     src = live.withColumn("event_time", event_time("ts_ms")).withWatermark("event_time", delay)
-    if "record_id" in live.columns:
-        src = src.withColumn("live_session", F.coalesce("live_session", F.concat(F.lit("record "), F.col("record_id"))))
-    return (src.groupBy("anchor_id", "room_id", "live_session")
+    return (_visits(src).groupBy("anchor_id", "room_id", "live_session")
                .transformWithState(StayProcessor(stay_ms), STAY_OUT, "Append", "EventTime"))
 
 

@@ -1,0 +1,111 @@
+"""A7 by the clock (W6): a fake clock drives the processor, and a stream runs with real timers."""
+
+import os
+import random
+import time
+from types import SimpleNamespace
+
+from livestats import schemas
+from livestats.streaming import stateful
+
+STAY = 60
+
+
+class Value:
+    v = None
+
+    def exists(self):
+        return self.v is not None
+
+    def get(self):
+        return self.v
+
+    def update(self, v):
+        self.v = v
+
+    def clear(self):
+        self.v = None
+
+
+class Clock:
+    """State and timers of one key; time moves by ``to``."""
+
+    def __init__(self):
+        self.now, self.timers, self.value = 0, set(), Value()
+        self.p = stateful.StayClockProcessor(STAY)
+        self.p.init(SimpleNamespace(getValueState=lambda *a: self.value, registerTimer=self.timers.add,
+                                    deleteTimer=self.timers.discard))
+        self.times = SimpleNamespace(getCurrentProcessingTimeInMs=lambda: self.now)
+        self.counted = 0
+
+    def to(self, now):
+        for at in sorted(t for t in self.timers if t <= now):
+            self.timers.discard(at)
+            out = self.p.handleExpiredTimer(("a", "r", "s"), self.times, SimpleNamespace(getExpiryTimeInMs=lambda at=at: at))
+            self.counted += sum(r.effective for r in out)
+        self.now = now
+
+    def rows(self, *events):
+        rows = [{"seq": q, "event_id": schemas.LIVE_ENTER if e else schemas.LIVE_LEAVE, "ts_ms": 1} for q, e in events]
+        return sum(r.delta for r in self.p.handleInputRows(("a", "r", "s"), iter(rows), self.times))
+
+
+def test_enter_stays_or_leaves():
+    c = Clock()
+    assert c.rows((1, True)) == 1
+    c.to(59)
+    assert c.counted == 0 and c.value.exists()
+    c.to(60)
+    assert c.counted == 1 and not c.value.exists() and not c.timers  # the state is gone
+    assert c.rows((2, False)) == -1
+    c.rows((3, True))
+    c.to(100)
+    c.rows((4, False))
+    c.to(1000)
+    assert c.counted == 1 and not c.value.exists()
+    c.rows((5, True))
+    c.to(1050)
+    c.rows((6, True))  # a new enter starts anew
+    c.to(1109)
+    assert c.counted == 1
+    c.to(1110)
+    assert c.counted == 2
+
+
+def test_events_of_a_batch_count_in_their_order():
+    c = Clock()
+    assert c.rows((3, True), (1, True), (2, False)) == 1 and c.value.exists()
+    assert c.rows((5, False), (4, True)) == 0 and not c.value.exists() and not c.timers
+
+
+def test_random_events_equal_a_model():
+    r = random.Random(3)
+    for _ in range(300):
+        c, since, want, now, seq = Clock(), None, 0, 0, 0
+        for _ in range(30):
+            now += r.choice((5, 30, 59, 60, 61, 200))
+            if since is not None and now - since >= STAY:
+                want, since = want + 1, None
+            c.to(now)
+            seq, enter = seq + 1, r.random() < 0.6
+            c.rows((seq, enter))
+            since = now if enter else None
+        assert c.counted == want
+
+
+def test_stream_with_real_timers(spark, tmp_dir):
+    src, out = os.path.join(tmp_dir, "src"), []
+    rows = [("1", 1, 10, schemas.LIVE_ENTER, "a", "r", "s1"), ("2", 2, 11, schemas.LIVE_ENTER, "a", "r", "s2"),
+            ("3", 3, 12, schemas.LIVE_LEAVE, "a", "r", "s2"), ("4", 4, 13, schemas.LIVE_ENTER, "a", "r", None)]
+    live = spark.createDataFrame(rows, "record_id string, seq long, ts_ms long, event_id string, anchor_id string, "
+                                       "room_id string, live_session string")
+    live.coalesce(1).write.parquet(src)
+    q = stateful.stay_clock_stream(spark.readStream.schema(live.schema).parquet(src), 2000).writeStream.foreachBatch(
+        lambda df, b: out.extend(df.collect())).option("checkpointLocation", os.path.join(tmp_dir, "ck")) \
+        .trigger(processingTime="500 milliseconds").start()
+    deadline = time.time() + 90
+    while sum(r.effective for r in out) < 2 and time.time() < deadline and q.isActive:
+        time.sleep(0.5)
+    q.stop()
+    assert sum(r.effective for r in out) == 2 and sum(r.delta for r in out) == 2
+    assert {r.live_session for r in out if r.effective} == {"s1", "record 4"}
