@@ -1,7 +1,6 @@
 """Streams under skew and gaps: first-seen in two stages, salted joins, delays, changes as a source, record ids once."""
 
 import os
-import sqlite3
 import time
 
 import pytest
@@ -218,19 +217,15 @@ def test_delay_in_milliseconds():
 
 # ---- changes as a source --------------------------------------------------------------
 
-def _db(path, rows):
-    with sqlite3.connect(path) as c:
-        c.execute("CREATE TABLE IF NOT EXISTS gift (id INTEGER, name TEXT, point REAL, deleted INTEGER, update_time INTEGER)")
-        for r in rows:
-            c.execute("DELETE FROM gift WHERE id IS ?", (r[0],))
-            c.execute("INSERT INTO gift VALUES (?, ?, ?, ?, ?)", r)
+def _log(spark, path, rows):
+    _append(spark.createDataFrame(rows, changes.GIFT_COLUMNS), path)
 
 
 def test_changes_source_with_ties_at_the_mark_and_a_restart(spark, tmp_dir):
-    db, out, ck = (os.path.join(tmp_dir, x) for x in ("gift.db", "out", "ck"))
+    log, out, ck = (os.path.join(tmp_dir, x) for x in ("log", "out", "ck"))
 
     def run():
-        df = changes.read_changes(spark, module="sqlite3", connect=db, table="gift", partitions="3")
+        df = changes.read_changes(spark, path=log, partitions="3")
         q = df.writeStream.foreachBatch(lambda b, i: b.write.mode("append").parquet(f"{out}/b={i}")) \
               .option("checkpointLocation", ck).trigger(**ONCE).start()
         q.awaitTermination(300)
@@ -239,16 +234,16 @@ def test_changes_source_with_ties_at_the_mark_and_a_restart(spark, tmp_dir):
     def seen():
         return {(r.id, r.name, r.update_time) for r in spark.read.parquet(out).collect()}
 
-    _db(db, [])
+    _log(spark, log, [])
     assert run() == 0
     first = [(i, f"g{i}", i * 1.0, 0, 1000 + i // 10) for i in range(1, 31)]
-    _db(db, first)
+    _log(spark, log, first)
     assert run() == 30
     assert run() == 0  # nothing new: nothing is read
     # a change that commits later with the mark's own time, and one without an id
-    _db(db, [(77, "tie", 1.0, 0, 1003)])
+    _log(spark, log, [(77, "tie", 1.0, 0, 1003)])
     assert 1 <= run() <= 3
-    _db(db, [(5, "g5 new", 5.5, 0, 2000), (None, "no id", 1.0, 0, 2000), (6, "no time", 1.0, 0, None)])
+    _log(spark, log, [(5, "g5 new", 5.5, 0, 2000), (None, "no id", 1.0, 0, 2000), (6, "no time", 1.0, 0, None)])
     run()
     got = seen()
     assert {(77, "tie", 1003), (5, "g5 new", 2000), (None, "no id", 2000)} <= got
@@ -256,17 +251,17 @@ def test_changes_source_with_ties_at_the_mark_and_a_restart(spark, tmp_dir):
 
 
 def test_changes_feed_the_snapshot(spark, tmp_dir):
-    db, ck = os.path.join(tmp_dir, "gift.db"), os.path.join(tmp_dir, "ck")
+    log, ck = os.path.join(tmp_dir, "log"), os.path.join(tmp_dir, "ck")
     snap = dimension.DimensionSnapshot(spark, None, os.path.join(tmp_dir, "snap"))
 
     def run():
-        changes.read_changes(spark, module="sqlite3", connect=db, table="gift").writeStream.foreachBatch(snap).option(
+        changes.read_changes(spark, path=log).writeStream.foreachBatch(snap).option(
             "checkpointLocation", ck).trigger(**ONCE).start().awaitTermination(300)
         return sorted(tuple(r) for r in snap.current().collect())
 
-    _db(db, [(1, "rose", 1.0, 0, 10), (2, "car", 9.0, 0, 10)])
+    _log(spark, log, [(1, "rose", 1.0, 0, 10), (2, "car", 9.0, 0, 10)])
     assert run() == [(1, "rose", 1.0), (2, "car", 9.0)]
-    _db(db, [(1, "rose", 1.0, 1, 20), (3, "bus", 4.0, None, 10)])
+    _log(spark, log, [(1, "rose", 1.0, 1, 20), (3, "bus", 4.0, None, 10)])
     assert run() == [(2, "car", 9.0), (3, "bus", 4.0)]
 
 
@@ -325,3 +320,37 @@ def test_history_in_blocks_equals_running_sums(spark, block):
             want.append((k, w, v, total))
     assert got.columns == ["key", "w", "v", "total"]
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+
+
+def test_queries_of_a_database_table(monkeypatch):
+    """The texts that a DB-API connection gets; no database is opened."""
+    import sys
+    import types
+    said, answers = [], [[(1003, 2)], [(1, 9, 5)], [(1, "a"), (2, "b")]]
+
+    class Cursor:
+        def execute(self, sql):
+            said.append(sql)
+            self.left = [answers[len(said) - 1], []]
+
+        def fetchmany(self, n):
+            return self.left.pop(0)
+
+        def close(self):
+            pass
+
+    fake = types.ModuleType("fake_driver")
+    fake.connect = lambda text: types.SimpleNamespace(cursor=Cursor, close=lambda: None)
+    monkeypatch.setitem(sys.modules, "fake_driver", fake)
+    from pyspark.sql.types import StructType
+    reader = changes.ChangesReader(StructType.fromDDL("id int, name string"), {
+        "module": "fake_driver", "connect": "x", "table": "gift", "partitions": "2"})
+    end = reader.latestOffset()
+    assert end == {"mark": 1003, "rows": 2}
+    parts = reader.partitions({"mark": 1000, "rows": 1}, end)
+    assert [(p.lo, p.hi, p.first) for p in parts] == [(1, 4, True), (5, 9, False)]
+    assert list(reader.read(parts[0])) == [(1, "a"), (2, "b")]
+    assert said[1] == "SELECT min(id), max(id), count(*) FROM gift WHERE update_time <= 1003 AND update_time >= 1000"
+    assert said[2] == ("SELECT id, name FROM gift WHERE update_time <= 1003 AND update_time >= 1000 "
+                       "AND (id BETWEEN 1 AND 4 OR id IS NULL)")
+    assert changes.DbTable._value("it's") == "'it''s'"
