@@ -70,22 +70,17 @@ def with_history(df: DataFrame, keys: list[str], order: str, sums: dict[str, str
     of a block, or one row for each of its blocks, however long the history.
     ``order`` NULL comes first, in a block of its own.
     """
-    b = df.withColumn("_block", floor_to(order, block_ms))
-    at = [*keys, "_block"]
-    per_block = b.groupBy(*at).agg(*[F.sum(src).alias(dst) for src, dst in sums.items()])
-    earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    before = per_block.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(at)],
-                              *[F.sum(dst).over(earlier).alias(f"_before_{dst}") for dst in sums.values()])
-    inside = Window.partitionBy(*at).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    out = b
-    for src, dst in sums.items():
-        out = out.withColumn(dst, F.sum(src).over(inside))
-    met = [out[c].eqNullSafe(before[f"_k{i}"]) for i, c in enumerate(at)]
-    joined = out.join(before, met)
+    # one struct of key and block, equal also where parts are NULL: the windows inside and the join share a shuffle
+    b = df.withColumn("_at", F.struct(*keys, floor_to(order, block_ms).alias("_block")))
+    per_block = b.groupBy("_at").agg(*[F.sum(src).alias(dst) for src, dst in sums.items()])
+    earlier = Window.partitionBy(*[F.col("_at")[c] for c in keys]).orderBy(F.col("_at")["_block"]).rowsBetween(
+        Window.unboundedPreceding, -1)
+    before = per_block.select("_at", *[F.sum(dst).over(earlier).alias(f"_before_{dst}") for dst in sums.values()])
+    inside = Window.partitionBy("_at").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    joined = b.withColumns({dst: F.sum(src).over(inside) for src, dst in sums.items()}).join(before, "_at")
     total = {dst: F.when(F.col(dst).isNull(), F.col(f"_before_{dst}")).otherwise(
         F.col(dst) + F.coalesce(F.col(f"_before_{dst}"), F.lit(0))) for dst in sums.values()}
-    return joined.withColumns(total).drop(*[f"_k{i}" for i in range(len(at))], "_block",
-                                          *[f"_before_{dst}" for dst in sums.values()])
+    return joined.withColumns(total).drop("_at", *[f"_before_{dst}" for dst in sums.values()])
 
 
 def top_n(df: DataFrame, group: list[str], order: list[Column], n: int) -> DataFrame:
