@@ -27,8 +27,12 @@ links are contracted to components.  Groups that still hold several components
 are then settled, by a second allocation: a set need not look into groups whose
 allowances sum up to no more than it has to spare, as a similar partner would
 still share one of its other entries.  It leaves out its largest groups, and is
-compared with the members of the rest that are in other components.  Parity sketches, whose distance never exceeds the
-difference of two sets, refute most candidates before sets are fetched.
+compared with the members of the rest that are in other components.  Parity
+sketches, whose distance never exceeds the difference of two sets, refute most
+candidates before sets are fetched.  In a group of very many sets that are
+alike but not similar, each pair has to be refuted; such a group is cut into
+blocks, whose sketches are compared as matrices, so that a pair becomes a row
+only if its sketches leave it open.
 
 Defined cases: a NULL text or one without words has an empty set and links
 with nothing; fewer words than a shingle make one shingle of the sequence;
@@ -43,7 +47,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import shuffle_partitions, stored, text_slices
@@ -61,6 +65,14 @@ BUCKET_ENTRIES = 2_000_000
 #: Bits of the filter that picks the documents whose sets are fetched.
 FILTER_BITS = 1 << 22
 SLICE_BYTES = 4_000_000
+#: Members of a group that is paired as rows, at most.
+SMALL = 16
+#: Members of a block of a larger group; two blocks meet in a cell.
+BLOCK = 2048
+#: Bytes of a sketch in a cell, at most; longer ones are folded.
+CELL_SKETCH = 4096
+#: Members of a cell that are compared with the others at once.
+CELL_ROWS = 256
 
 # Layouts of a band, as (p - band, share of segments with allowance 2).
 LAYOUTS = ((-1, 1.0), (-1, 0.6), (0, 0.0), (0, 0.3), (1, 0.0), (2, 0.0), (4, 0.0), (8, 0.0), (64, 0.0))
@@ -175,6 +187,10 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
     return DENOMINATOR * both >= NUMERATOR * (len(a) + len(b) - both) and both > 0
 
 
+def text_hash() -> Column:
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+
 def _rows(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
@@ -186,8 +202,8 @@ def _sets(batches) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
 
 
 def describe(docs: DataFrame) -> DataFrame:
-    """``doc_id, n, c, d, sketch`` and the layout counts of every document; (c, d) names its set."""
-    schema = ("doc_id bigint, n bigint, c bigint, d bigint, sketch binary, band int, visited int, "
+    """``doc_id, row, n, c, d, sketch`` and the layout counts of every document; (c, d) names its set."""
+    schema = ("doc_id bigint, row bigint, n bigint, c bigint, d bigint, sketch binary, band int, visited int, "
               "spare array<int>, n_entries array<int>, cost array<int>")
 
     def found(batches):
@@ -196,7 +212,7 @@ def describe(docs: DataFrame) -> DataFrame:
             counts = [[x for b in bands_of(len(s)) for x in layout_counts(s, b)] if len(s) else None for s in sets]
             bands = [bands_of(len(s)) if len(s) else [None] for s in sets]
             yield pa.RecordBatch.from_arrays([
-                part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
+                part.column("doc_id"), part.column("row"), pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([a for a, _ in keys], pa.int64()), pa.array([b for _, b in keys], pa.int64()),
                 pa.array([sketch(s) if len(s) else None for s in sets], pa.binary()),
                 pa.array([b[0] for b in bands], pa.int32()),
@@ -204,9 +220,9 @@ def describe(docs: DataFrame) -> DataFrame:
                 pa.array([c and [x[0] for x in c] for c in counts], pa.list_(pa.int32())),
                 pa.array([c and [x[1] for x in c] for c in counts], pa.list_(pa.int32())),
                 pa.array([c and [x[2] for x in c] for c in counts], pa.list_(pa.int32()))],
-                names=["doc_id", "n", "c", "d", "sketch", "band", "visited", "spare", "n_entries", "cost"])
+                names=["doc_id", "row", "n", "c", "d", "sketch", "band", "visited", "spare", "n_entries", "cost"])
 
-    return _rows(docs).mapInArrow(found, schema)
+    return _rows(docs).withColumn("row", text_hash()).mapInArrow(found, schema)
 
 
 def choose_layouts(described: DataFrame, forced: int | None = None) -> tuple[dict[int, int], int]:
@@ -402,60 +418,158 @@ def first_pairs(live: DataFrame) -> DataFrame:
     return best.select(F.col("best.a").alias("a"), "b")
 
 
-def mixed_pairs(live: DataFrame, rooted: DataFrame, spare: DataFrame) -> DataFrame:
-    """Pairs across components that groups with several components still have to settle.
+def open_members(live: DataFrame, rooted: DataFrame, classes: DataFrame) -> DataFrame:
+    """Members of the groups with several components: ``g, size, c, n, root, asks, sketch``.
 
-    A set leaves out its largest groups while their allowances sum up to no
-    more than it has to spare.
+    A set asks in all of them but the largest whose allowances sum up to no
+    more than it has to spare; groups in which no set asks are settled.
     """
-    own = live.drop("first", "n_first").join(rooted, "c", "left").withColumn("root", F.coalesce("root", "c"))
+    own = live.select("g", "weight", "size", "c", "n").join(rooted, "c", "left").withColumn(
+        "root", F.coalesce("root", "c"))
     mixed = own.groupBy("g").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("g")
-    own = stored(own.join(mixed, "g"), "join-mixed")
+    own = own.join(mixed, "g")
     largest_first = Window.partitionBy("c").orderBy(F.desc("size"), "g")
-    asked = own.join(spare, "c").withColumn("left_out", F.sum("weight").over(largest_first)).where("left_out > spare")
-    asked = asked.select("g", F.col("c").alias("c_a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"))
-    other = own.select("g", F.col("c").alias("c_b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"))
+    own = own.withColumn("left_out", F.sum("weight").over(largest_first)).join(
+        classes.select("c", "spare", "sketch"), "c").withColumn("asks", F.col("left_out") > F.col("spare"))
+    return stored(own.select("g", "size", "c", "n", "root", "asks", "sketch"), "join-mixed")
+
+
+def folded(sketches: list[bytes]) -> np.ndarray:
+    """The sketches as rows of one width, that of the shortest, in words of 64 bits."""
+    width = min(CELL_SKETCH, min(map(len, sketches)))
+    out = np.zeros((len(sketches), -(-width // 8) * 8), np.uint8)
+    by_size: dict[int, list[int]] = {}
+    for i, x in enumerate(sketches):
+        by_size.setdefault(len(x), []).append(i)
+    for size, at in by_size.items():  # cells are counted modulo their number, so parts add up
+        rows = np.frombuffer(b"".join([sketches[i] for i in at]), np.uint8).reshape(len(at), size // width, width)
+        out[at, :width] = np.bitwise_xor.reduce(rows, axis=1)
+    return out.view(np.uint64)
+
+
+def cell_pairs(c, n, root, asks, sketches, side) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of a cell's members that may be similar: of different components and sides, the larger set asks."""
+    words = folded(sketches)
+    # the larger set asks; of two of one size either
+    left, right = np.flatnonzero(asks), np.arange(len(c))
+    some, others = [], []
+    for lo in range(0, len(left), CELL_ROWS):
+        x = left[lo:lo + CELL_ROWS]
+        far = np.zeros((len(x), len(right)), np.uint32)
+        for w in range(words.shape[1]):
+            far += np.bitwise_count(words[x, w][:, None] ^ words[None, :, w])
+        n_x = n[x][:, None]
+        ok = (far * (DENOMINATOR + NUMERATOR) <= (n_x + n[None]) * (DENOMINATOR - NUMERATOR))
+        ok &= (n_x >= n[None]) & (DENOMINATOR * n[None] >= NUMERATOR * n_x) & (root[x][:, None] != root[None])
+        if side is not None:
+            ok &= side[x][:, None] != side[None]
+        i, j = np.nonzero(ok)
+        some.append(x[i])
+        others.append(j)
+    if not some:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    return np.concatenate(some), np.concatenate(others)
+
+
+def mixed_pairs(members: DataFrame) -> DataFrame:
+    """Pairs across components that groups with several components still have to settle, and that may be similar.
+
+    Small groups are paired as rows.  Larger ones are cut into blocks of about
+    ``BLOCK`` members; two blocks at a time meet in a cell, where sketches are
+    compared as matrices, and only pairs that those do not refute become rows.
+    """
+    asked = members.where("asks").select(
+        "g", "size", F.col("c").alias("c_a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"))
+    other = members.select("g", F.col("c").alias("c_b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"))
     # the larger set of a pair asks: its allowances are the ones that count
-    pairs = asked.join(other, "g").where("root_a != root_b and n_a >= n_b").where(_can_be_similar("n_a", "n_b"))
-    return pairs.select(F.least("c_a", "c_b").alias("a"), F.greatest("c_a", "c_b").alias("b")).distinct()
+    few = asked.where(F.col("size") <= SMALL).drop("size").join(other, "g").where(
+        "root_a != root_b and n_a >= n_b").where(_can_be_similar("n_a", "n_b"))
+    few = few.select(F.least("c_a", "c_b").alias("a"), F.greatest("c_a", "c_b").alias("b"))
+    large = members.where(F.col("size") > SMALL)
+    alive = large.where("asks").groupBy("g").agg(F.max("n").alias("most"))
+    large = large.join(alive, "g").where(F.col("asks") | (F.col("n") <= F.col("most")))
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    large = large.withColumn("h", F.pmod(F.xxhash64("c"), blocks).cast("int"))
+    cells = large.select("g", "h", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("j"), "c", "n", "root", "asks", "sketch")
+    cells = cells.select("g", F.least("h", "j").alias("lo"), F.greatest("h", "j").alias("hi"), "h", "c", "n", "root", "asks",
+                         "sketch").repartition("g", "lo", "hi").sortWithinPartitions("g", "lo", "hi")
+
+    def meet(batches):
+        kept: list[pa.RecordBatch] = []  # the rows of the cell that is still open
+
+        def found(rows: pa.Table) -> pa.RecordBatch:
+            c, n, root, h = (rows.column(x).to_numpy() for x in ("c", "n", "root", "h"))
+            asks = rows.column("asks").to_numpy(zero_copy_only=False)
+            i, j = cell_pairs(c, n.astype(np.int64), root, asks, rows.column("sketch").to_pylist(),
+                              h if rows.column("lo")[0] != rows.column("hi")[0] else None)
+            return pa.RecordBatch.from_arrays([pa.array(np.minimum(c[i], c[j])), pa.array(np.maximum(c[i], c[j]))],
+                                              names=["a", "b"])
 
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            at = np.column_stack([batch.column(x).to_numpy() for x in ("g", "lo", "hi")])
+            cuts = [0, *(np.flatnonzero((at[1:] != at[:-1]).any(axis=1)) + 1).tolist(), batch.num_rows]
+            for lo, hi in zip(cuts, cuts[1:], strict=False):
+                if lo or kept and any(kept[-1].column(x)[-1] != batch.column(x)[0] for x in ("g", "lo", "hi")):
+                    yield found(pa.Table.from_batches(kept))
+                    kept.clear()
+                kept.append(batch.slice(lo, hi - lo))
+        if kept:
+            yield found(pa.Table.from_batches(kept))
 
-def join(docs: DataFrame, forced_layout: int | None = None) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every document."""
+    return few.unionByName(cells.mapInArrow(meet, "a bigint, b bigint")).distinct()
+
+
+def rooted_rows(docs: DataFrame, forced_layout: int | None = None) -> DataFrame:
+    """``doc_id, row, n_shingles, root, component_id`` of every document; ``row`` hashes its text.
+
+    ``root`` names the component also where no document in it has an id; NULL for the empty set.
+    """
     described = stored(describe(docs), "join-documents")
     layouts, n_entries = choose_layouts(described, forced_layout)
-    # equal sets are one class
-    classes = described.where("n > 0").groupBy("c", "d").agg(
-        F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"),
-        F.first("band").alias("band"), F.first("visited").alias("visited"), F.first("spare").alias("spares"))
-    classes = stored(classes, "join-classes")
-    ids = described.select("doc_id", F.col("n").alias("n_shingles"), "c", "d")
+    ids = described.select("doc_id", "row", F.col("n").alias("n_shingles"), "c", "d")
     if not layouts:
-        return ids.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+        return ids.select("doc_id", "row", "n_shingles", F.lit(None).cast("long").alias("root"),
+                          F.col("doc_id").alias("component_id"))
     chosen = F.create_map(*[F.lit(x) for kv in layouts.items() for x in kv])
     own = F.get("spares", chosen[F.col("band")])
     below = F.get("spares", chosen[F.col("visited")] + len(LAYOUTS))
-    spare = classes.select("c", F.coalesce(F.least(own, below), own).alias("spare"))
+    # equal sets are one class
+    classes = described.where("n > 0").groupBy("c", "d").agg(
+        F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"),
+        F.first("band").alias("band"), F.first("visited").alias("visited"), F.first("spare").alias("spares"))
+    classes = stored(classes.withColumn("spare", F.coalesce(F.least(own, below), own)).drop(
+        "band", "visited", "spares"), "join-classes")
     n_buckets = max(shuffle_partitions(docs.sparkSession), -(-n_entries // BUCKET_ENTRIES))
     live = stored(groups(docs, layouts, n_buckets), "join-groups")
     links = verify(docs, classes, first_pairs(live))
-    more = verify(docs, classes, mixed_pairs(live, components(links), spare))
+    more = verify(docs, classes, mixed_pairs(open_members(live, components(links), classes)))
     rooted = components(links.unionByName(more))
-    named = classes.select("c", "d", "first_id").join(rooted, "c", "left")
-    least = named.groupBy(F.coalesce("root", "c").alias("root")).agg(F.min("first_id").alias("component_id"))
-    component = named.withColumn("root", F.coalesce("root", "c")).join(least, "root").select("c", "d", "component_id")
+    named = classes.select("c", "d", "first_id").join(rooted, "c", "left").withColumn("root", F.coalesce("root", "c"))
+    least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    component = named.join(least, "root").select("c", "d", "root", "component_id")
     return ids.join(component, ["c", "d"], "left").select(
-        "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(
-            F.col("doc_id")).alias("component_id"))
+        "doc_id", "row", "n_shingles", "root",
+        F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def join(docs: DataFrame, forced_layout: int | None = None) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every document."""
+    return rooted_rows(docs, forced_layout).select("doc_id", "n_shingles", "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One row of each component, the one of the smallest doc_id, with its columns.
+    """One row of each component, with its columns: that of the smallest doc_id, ties to the smallest text hash.
 
-    Rows that repeat a kept doc_id stay if their text differs.  Rows without
-    an id can't name a component; of those one of each text stays.
+    Rows without an id come last.  Documents without words are no near
+    duplicates; of equal rows (doc_id and text) one stays.
     """
-    joined = join(docs)
-    kept = joined.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(kept, docs["doc_id"].cast("long") == kept["doc_id"], "left_semi").dropDuplicates(["doc_id", "text"])
-    return named.unionByName(docs.where("doc_id is null").dropDuplicates(["doc_id", "text"]))
+    rows = rooted_rows(docs).select("root", F.struct(F.isnull("doc_id").alias("no_id"), F.coalesce(
+        "doc_id", F.lit(0)).alias("id"), "row").alias("at"))
+    kept = rows.where("root is not null").groupBy("root").agg(F.min("at").alias("at")).select("at").unionByName(
+        rows.where("root is null").select("at")).distinct()
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document"), F.isnull("doc_id").alias("no_id"),
+                      F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), text_hash().alias("row"))
+    met = own.join(kept.select("at.no_id", "at.id", "at.row"), ["no_id", "id", "row"], "left_semi")
+    return met.dropDuplicates(["no_id", "id", "row"]).select("document.*")

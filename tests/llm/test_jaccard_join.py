@@ -5,6 +5,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
+from livestats.llm import jaccard_join
 from livestats.llm.jaccard_join import (
     LAYOUTS, bands_of, components, entries, join, keep_one, layout_counts, sketch, sketch_distance)
 from livestats.llm.queries import QUERIES
@@ -128,6 +129,51 @@ def test_components_of_a_path_and_a_star(spark):
     assert got == {**{i: 1 for i in range(1, 61)}, **{100 + i: 100 for i in range(50)}}
 
 
+def test_cells_equal_pairs_as_rows(spark, monkeypatch):
+    """Small blocks, so that groups are cut into many cells, give the links of the plain form."""
+    monkeypatch.setattr(jaccard_join, "SMALL", 2)
+    monkeypatch.setattr(jaccard_join, "BLOCK", 5)
+    monkeypatch.setattr(jaccard_join, "CELL_ROWS", 3)
+    rows = families(5)
+    assert rows_of(join(documents(spark, rows))) == brute(rows)
+
+
+def test_a_family_of_sets_that_are_alike_but_not_similar(spark):
+    r = random.Random(11)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for d in range(150):
+        words = list(base)
+        for _ in range(r.choice([1, 3, 6, 8])):
+            words[r.randrange(len(words))] = f"e{r.randrange(10**6)}"
+        rows.append((d, " ".join(words)))
+    assert rows_of(join(documents(spark, rows))) == brute(rows)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_cell_pairs_lose_no_similar_pair(seed):
+    r = np.random.default_rng(seed)
+    base = r.integers(0, 1 << 63, 200, dtype=np.uint64)
+    sets = [np.unique(np.concatenate((base[r.integers(0, 40):], r.integers(0, 1 << 63, r.integers(0, 60), dtype=np.uint64))))
+            for _ in range(60)]
+    n, side = np.array([len(s) for s in sets]), r.integers(0, 2, 60)
+    i, j = jaccard_join.cell_pairs(np.arange(60), n, np.arange(60), np.ones(60, bool), [sketch(s) for s in sets], side)
+    found = {(min(a, b), max(a, b)) for a, b in zip(i.tolist(), j.tolist())}
+    for a in range(60):
+        for b in range(a):
+            if side[a] != side[b] and jaccard_join.similar(sets[a], sets[b]):
+                assert (b, a) in found
+
+
+def test_keep_one_of_rows_without_id_and_of_repeated_ids(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(None, text), (None, text + " more"), (7, "a b c d e f"), (7, text + " and"), (3, "a b c d e f"), (9, "z " + text)]
+    kept = keep_one(documents(spark, rows)).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == [(3, "a b c d e f"), (7, text + " and")]
+    alone = keep_one(documents(spark, rows[:2])).collect()
+    assert len(alone) == 1 and alone[0].doc_id is None
+
+
 def test_keep_one(spark):
     rows = [(3, "a b c d e f g h"), (1, "a b c d e f g h"), (2, "x y z"), (2, "x y z"), (4, ""), (5, None), (None, "q"),
             (None, "q"), (6, "l m n o p q r")]
