@@ -54,6 +54,60 @@ def test_pages(page, text):
     assert main_text(page) == text
 
 
+STORY = ("The story of the day is told in this paragraph, at some length, as it should be.",
+         "A second paragraph goes on with what happened next, and it ends with a full stop too.")
+BODY = "".join(f"<p>{x}</p>" for x in STORY)
+TOLD = "\n".join(STORY)
+
+
+@pytest.mark.parametrize("page", [
+    # names that tell a state, or that the main part carries
+    f"<div class='post no-sidebar'>{BODY}</div>", f"<div class='entry-content has-share'>{BODY}</div>",
+    f"<div id='search-article'>{BODY}</div>", f"<div class='legal'>{BODY}</div>",
+    f"<div class='page menu-open'><article>{BODY}</article></div>",
+    f"<body class='single comments-open'><article>{BODY}</article></body>",
+    f"<article class='comments-open'>{BODY}</article>", f"<div class='layout-with-banner'>{BODY}</div>",
+    f"<div id='content' class='with-sidebar'>{BODY}</div>", f"<main class='nav-closed'>{BODY}</main>",
+    f"<body class='has-cookie-notice'><div class='story'>{BODY}</div></body>",
+    f"<div class='copyright'>{BODY}</div><div class='footer'>All rights are kept by the owner of this site.</div>",
+    # the same names on parts that are not the main one
+    f"<article>{BODY}</article><div class='legal'>Terms of use and privacy. They are long and they are dull.</div>",
+    f"<div class='post'>{BODY}</div><div class='search'><p>Type a word and press enter to search all pages.</p></div>",
+    f"<div class='sidebar-left'>Popular now</div><div class='post-content'>{BODY}</div><div class='social-share'>Share</div>",
+    f"<div class='entry'>{BODY}</div><div class='comment-list'><p>A reader says that this is a very long comment. Nice.</p>"
+    "</div>", f"<div class='entry'>{BODY}<div class='content-ad'>Buy one of these now, they are cheap.</div></div>",
+    f"<div class='related-posts'><p>Another story that you may like to read as well.</p></div><div class='story'>{BODY}</div>",
+    # heads and skipped elements without an end
+    f"<html><head><title>T</title><meta name=a><article>{BODY}</article>",
+    f"<head><title>T</title><script>if (a) document.write('<p>no</p>')</script><style>p > b {{}}</style><article>{BODY}",
+    f"<head><title>T</title><body><article>{BODY}</article>",
+    f"<article><svg><path d='M0'>{BODY}</article>", f"<article><select><option>one{BODY}</article>",
+    f"<article><button>{BODY}</article>", f"<article><button><div>{STORY[0]}</div><div>{STORY[1]}</div></article>",
+    f"<article><object>{BODY}</article>",
+    f"<article><button>Menu<p>{STORY[0]}</p><p>{STORY[1]}</p><button>More</button></article>",
+    f"<article><svg><title>x</title><foreignObject><p>drawn</p></foreignObject></svg>{BODY}</article>",
+    f"<article><svg><svg><text>drawn</text></svg></svg>{BODY}</article>",
+])
+def test_names_and_open_elements(page):
+    assert main_text(page) == TOLD
+
+
+def test_a_list_of_links_inside_an_article_stays():
+    links = "".join(f"<li><a href=/{x}>{x}</a></li>" for x in ("first source", "second source", "third"))
+    assert main_text(f"<article>{BODY}<ul>{links}</ul></article>") == TOLD + "\nfirst source\nsecond source\nthird"
+    assert main_text(f"<article>{BODY}<nav><ul>{links}</ul></nav></article>") == TOLD
+
+
+def test_headers_of_an_entry_stay():
+    page = f"<div class='site-header'>The Paper</div><div class='entry'><div class='entry-header'><h1>A head</h1></div>{BODY}</div>"
+    assert main_text(page) == "A head\n" + TOLD
+
+
+def test_many_open_elements_take_linear_time():
+    page = "<article>" + "".join(f"<button>{i}<p>Paragraph number {i} has a few words.</p>" for i in range(3000)) + "</article>"
+    assert main_text(page).count("\n") == 2999
+
+
 def test_long_and_deep_pages():
     paragraphs = [f"Paragraph number {i} has a few words and ends." for i in range(4000)]
     page = "<nav>menu</nav><article>" + "".join(f"<p>{p}</p>" for p in paragraphs) + "</article>"
