@@ -7,7 +7,8 @@ Source options keep the app's names (``bootstrap.servers``, ``input.topics``,
 ``group.id``, ``auto.offset.reset``, ``checkpoint.interval``,
 ``checkpoint.path``); ``input.path`` replays topic records from files instead.
 Sinks: ``jdbc.url`` + ``jdbc.table`` (append, or upsert with ``jdbc.keys``),
-else ``output.path`` (parquet, one folder per micro-batch, written once), else
+else ``output.path`` (parquet, one folder per micro-batch, written once; with
+``output.keys`` a table that each micro-batch is merged into), else
 the console.  A job with several outputs names each table and its keys by the
 query (``jdbc.table.gift_totals``, ``jdbc.keys.gift_totals``).
 ``watermark.ms`` is how far event-time jobs wait for rows out of order.
@@ -22,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import sinks
 from ..session import build_session, ensure_checkpoint_dir
+from ..sinks.keyed_files import keyed_files
 from ..sources import dimension, topic
 from ..streaming import stateful
 from . import jobs
@@ -69,7 +71,7 @@ def sink_of(props: dict[str, str], default: str = "console", several: bool = Fal
         own = dict(props)
         if props.get("output.path"):
             own["output.path"] = f"{props['output.path'].rstrip('/')}/{name}"
-        for key in ("jdbc.table", "jdbc.keys"):
+        for key in ("jdbc.table", "jdbc.keys", "output.keys"):
             if props.get(f"{key}.{name}"):
                 own[key] = props[f"{key}.{name}"]
         if props.get("jdbc.url") and several and not props.get(f"jdbc.table.{name}"):
@@ -99,6 +101,9 @@ def _sink(props: dict[str, str], default: str = "console") -> str | Callable[[Da
         return sinks.jdbc_upsert(opts, keys) if keys else sinks.jdbc_append(opts)
     if props.get("output.path"):
         out = props["output.path"].rstrip("/")
+        keys = [k.strip() for k in props.get("output.keys", "").split(",") if k.strip()]
+        if keys:
+            return keyed_files(out, keys)
 
         def write(df: DataFrame, batch_id: int) -> None:
             sinks.write_batch(df, out, batch_id)
