@@ -419,7 +419,7 @@ def first_pairs(live: DataFrame) -> DataFrame:
 
 
 def open_members(live: DataFrame, rooted: DataFrame, classes: DataFrame) -> DataFrame:
-    """Members of the groups with several components: ``g, size, c, n, root, asks, sketch``.
+    """Members of the groups with several components: ``g, size, c, n, root, asks``.
 
     A set asks in all of them but the largest whose allowances sum up to no
     more than it has to spare; groups in which no set asks are settled.
@@ -430,8 +430,8 @@ def open_members(live: DataFrame, rooted: DataFrame, classes: DataFrame) -> Data
     own = own.join(mixed, "g")
     largest_first = Window.partitionBy("c").orderBy(F.desc("size"), "g")
     own = own.withColumn("left_out", F.sum("weight").over(largest_first)).join(
-        classes.select("c", "spare", "sketch"), "c").withColumn("asks", F.col("left_out") > F.col("spare"))
-    return stored(own.select("g", "size", "c", "n", "root", "asks", "sketch"), "join-mixed")
+        classes.select("c", "spare"), "c").withColumn("asks", F.col("left_out") > F.col("spare"))
+    return stored(own.select("g", "size", "c", "n", "root", "asks"), "join-mixed")
 
 
 def folded(sketches: list[bytes]) -> np.ndarray:
@@ -471,11 +471,31 @@ def cell_pairs(c, n, root, asks, sketches, side) -> tuple[np.ndarray, np.ndarray
     return np.concatenate(some), np.concatenate(others)
 
 
-def mixed_pairs(members: DataFrame) -> DataFrame:
+def merged(large: DataFrame) -> DataFrame:
+    """``g, size, c, n, root, asks`` with groups of largely the same members as one, where that compares fewer pairs.
+
+    A set that is like very many others shares another group with them for each
+    segment.  The groups whose least member, by a hash, is one set are taken
+    together if their distinct members, squared, are at most the sum of their
+    squared sizes.  Every two members of a group still meet.
+    """
+    groups_ = large.groupBy("g").agg(F.min(F.xxhash64("c")).alias("least"), F.count(F.lit(1)).alias("size"))
+    apart = groups_.groupBy("least").agg(F.sum(F.col("size") * F.col("size")).alias("apart"), F.count(F.lit(1)).alias(
+        "n_groups")).where("n_groups > 1")
+    own = large.drop("size").join(groups_, "g")
+    together = own.select("least", "c").distinct().groupBy("least").agg(F.count(F.lit(1)).alias("members")).join(
+        apart, "least").where("members * members <= apart").select("least", "members")
+    own = own.join(together, "least", "left")
+    return own.groupBy(F.when(F.isnull("members"), F.col("g")).otherwise(F.col("least")).alias("g"), F.coalesce(
+        "members", "size").alias("size"), "c").agg(
+        F.first("n").alias("n"), F.first("root").alias("root"), F.max("asks").alias("asks"))
+
+
+def mixed_pairs(members: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs across components that groups with several components still have to settle, and that may be similar.
 
-    Small groups are paired as rows.  Larger ones are cut into blocks of about
-    ``BLOCK`` members; two blocks at a time meet in a cell, where sketches are
+    Small groups are paired as rows.  Larger ones, of which those with largely
+    the same members are taken as one, are cut into blocks of about ``BLOCK`` members; two blocks at a time meet in a cell, where sketches are
     compared as matrices, and only pairs that those do not refute become rows.
     """
     asked = members.where("asks").select(
@@ -487,7 +507,8 @@ def mixed_pairs(members: DataFrame) -> DataFrame:
     few = few.select(F.least("c_a", "c_b").alias("a"), F.greatest("c_a", "c_b").alias("b"))
     large = members.where(F.col("size") > SMALL)
     alive = large.where("asks").groupBy("g").agg(F.max("n").alias("most"))
-    large = large.join(alive, "g").where(F.col("asks") | (F.col("n") <= F.col("most")))
+    large = large.join(alive, "g").where(F.col("asks") | (F.col("n") <= F.col("most"))).drop("most")
+    large = stored(merged(large), "join-large").join(classes.select("c", "sketch"), "c")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     large = large.withColumn("h", F.pmod(F.xxhash64("c"), blocks).cast("int"))
     cells = large.select("g", "h", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("j"), "c", "n", "root", "asks", "sketch")
@@ -544,7 +565,7 @@ def rooted_rows(docs: DataFrame, forced_layout: int | None = None) -> DataFrame:
     n_buckets = max(shuffle_partitions(docs.sparkSession), -(-n_entries // BUCKET_ENTRIES))
     live = stored(groups(docs, layouts, n_buckets), "join-groups")
     links = verify(docs, classes, first_pairs(live))
-    more = verify(docs, classes, mixed_pairs(open_members(live, components(links), classes)))
+    more = verify(docs, classes, mixed_pairs(open_members(live, components(links), classes), classes))
     rooted = components(links.unionByName(more))
     named = classes.select("c", "d", "first_id").join(rooted, "c", "left").withColumn("root", F.coalesce("root", "c"))
     least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))

@@ -165,6 +165,24 @@ def test_cell_pairs_lose_no_similar_pair(seed):
                 assert (b, a) in found
 
 
+def test_merged_groups_keep_every_meeting_and_compare_no_more(spark):
+    r = random.Random(4)
+    family = r.sample(range(1000), 60)
+    sets = {g: r.sample(family, 45) for g in range(30)} | {100 + g: r.sample(range(1000), 20) for g in range(20)}
+    rows = [(g, len(cs), c, 50, c, r.random() < 0.5) for g, cs in sets.items() for c in cs]
+    large = spark.createDataFrame(rows, "g long, size int, c long, n int, root long, asks boolean")
+    asked = {(g, c) for g, _, c, _, _, asks in rows if asks}
+    got = defaultdict(dict)
+    for x in jaccard_join.merged(large).collect():
+        assert x.c not in got[x.g]
+        got[x.g][x.c] = x.asks
+        assert x.n == 50 and x.root == x.c
+    met = {(a, b) for cs in got.values() for a, asks in cs.items() if asks for b in cs}
+    assert all((a, b) in met for g, a in asked for b in sets[g])
+    assert sum(len(cs) ** 2 for cs in got.values()) <= sum(len(cs) ** 2 for cs in sets.values()) / 3
+    assert jaccard_join.merged(large.limit(0)).collect() == []
+
+
 def test_keep_one_of_rows_without_id_and_of_repeated_ids(spark):
     text = " ".join(f"w{i}" for i in range(40))
     rows = [(None, text), (None, text + " more"), (7, "a b c d e f"), (7, text + " and"), (3, "a b c d e f"), (9, "z " + text)]
