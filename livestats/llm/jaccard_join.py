@@ -32,7 +32,8 @@ sketches, whose distance never exceeds the difference of two sets, refute most
 candidates before sets are fetched.  In a group of very many sets that are
 alike but not similar, each pair has to be refuted; such a group is cut into
 blocks, whose sketches are compared as matrices, so that a pair becomes a row
-only if its sketches leave it open.
+only if its sketches leave it open.  First each block gives a forest of such
+pairs; those are verified, and what hangs together then is not compared again.
 
 Defined cases: a NULL text or one without words has an empty set and links
 with nothing; fewer words than a shingle make one shingle of the sequence;
@@ -447,8 +448,31 @@ def folded(sketches: list[bytes]) -> np.ndarray:
     return out.view(np.uint64)
 
 
-def cell_pairs(c, n, root, asks, sketches, side) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs of a cell's members that may be similar: of different components and sides, the larger set asks."""
+def uniting(i: np.ndarray, j: np.ndarray, root: np.ndarray) -> tuple[list[int], np.ndarray]:
+    """Which of the pairs, in turn, unite two components, and the components after that."""
+    parent: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while x in parent:
+            if parent[x] in parent:
+                parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    used = []
+    for k, (a, b) in enumerate(zip(root[i].tolist(), root[j].tolist(), strict=True)):
+        a, b = top(a), top(b)
+        if a != b:
+            parent[max(a, b)] = min(a, b)
+            used.append(k)
+    return used, np.array([top(x) for x in root.tolist()], np.int64) if used else root
+
+
+def cell_pairs(c, n, root, asks, sketches, side, forest: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of a cell's members that may be similar: of different components and sides, the larger set asks.
+
+    With ``forest`` only as many as would unite the components if all were similar, the likeliest of some rows first.
+    """
     words = folded(sketches)
     # the larger set asks; of two of one size either
     left, right = np.flatnonzero(asks), np.arange(len(c))
@@ -464,6 +488,11 @@ def cell_pairs(c, n, root, asks, sketches, side) -> tuple[np.ndarray, np.ndarray
         if side is not None:
             ok &= side[x][:, None] != side[None]
         i, j = np.nonzero(ok)
+        if forest and len(i):
+            likeliest = np.argsort(far[i, j] / (n[x[i]] + n[j]), kind="stable")
+            i, j = i[likeliest], j[likeliest]
+            used, root = uniting(x[i], j, root)
+            i, j = i[used], j[used]
         some.append(x[i])
         others.append(j)
     if not some:
@@ -482,33 +511,44 @@ def merged(large: DataFrame) -> DataFrame:
     groups_ = large.groupBy("g").agg(F.min(F.xxhash64("c")).alias("least"), F.count(F.lit(1)).alias("size"))
     apart = groups_.groupBy("least").agg(F.sum(F.col("size") * F.col("size")).alias("apart"), F.count(F.lit(1)).alias(
         "n_groups")).where("n_groups > 1")
-    own = large.drop("size").join(groups_, "g")
-    together = own.select("least", "c").distinct().groupBy("least").agg(F.count(F.lit(1)).alias("members")).join(
-        apart, "least").where("members * members <= apart").select("least", "members")
-    own = own.join(together, "least", "left")
-    return own.groupBy(F.when(F.isnull("members"), F.col("g")).otherwise(F.col("least")).alias("g"), F.coalesce(
-        "members", "size").alias("size"), "c").agg(
+    together = large.select("g", "c").join(groups_, "g").select("least", "c").distinct().groupBy("least").agg(
+        F.count(F.lit(1)).alias("members")).join(apart, "least").where("members * members <= apart").select(
+        "least", "members")
+    named = groups_.join(together, "least", "left").select(
+        "g", F.when(F.isnull("members"), F.col("g")).otherwise(F.col("least")).alias("name"),
+        F.coalesce("members", "size").alias("size"))
+    return large.drop("size").join(named, "g").groupBy(F.col("name").alias("g"), "size", "c").agg(
         F.first("n").alias("n"), F.first("root").alias("root"), F.max("asks").alias("asks"))
 
 
-def mixed_pairs(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs across components that groups with several components still have to settle, and that may be similar.
-
-    Small groups are paired as rows.  Larger ones, of which those with largely
-    the same members are taken as one, are cut into blocks of about ``BLOCK`` members; two blocks at a time meet in a cell, where sketches are
-    compared as matrices, and only pairs that those do not refute become rows.
-    """
+def small_pairs(members: DataFrame) -> DataFrame:
+    """Pairs across components of the small groups that hold several, as rows."""
     asked = members.where("asks").select(
         "g", "size", F.col("c").alias("c_a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"))
     other = members.select("g", F.col("c").alias("c_b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"))
     # the larger set of a pair asks: its allowances are the ones that count
     few = asked.where(F.col("size") <= SMALL).drop("size").join(other, "g").where(
         "root_a != root_b and n_a >= n_b").where(_can_be_similar("n_a", "n_b"))
-    few = few.select(F.least("c_a", "c_b").alias("a"), F.greatest("c_a", "c_b").alias("b"))
+    return few.select(F.least("c_a", "c_b").alias("a"), F.greatest("c_a", "c_b").alias("b"))
+
+
+def large_groups(members: DataFrame) -> DataFrame:
+    """The larger groups with several components; those with largely the same members are one."""
     large = members.where(F.col("size") > SMALL)
     alive = large.where("asks").groupBy("g").agg(F.max("n").alias("most"))
     large = large.join(alive, "g").where(F.col("asks") | (F.col("n") <= F.col("most"))).drop("most")
-    large = stored(merged(large), "join-large").join(classes.select("c", "sketch"), "c")
+    return stored(merged(large), "join-large")
+
+
+def large_pairs(large: DataFrame, classes: DataFrame, forest: bool) -> DataFrame:
+    """Pairs across components that larger groups still have to settle, and that may be similar.
+
+    A group is cut into blocks of about ``BLOCK`` members; two blocks at a time
+    meet in a cell, where sketches are compared as matrices, and only pairs that
+    those do not refute become rows.  With ``forest`` a cell gives no more
+    pairs than it has members.
+    """
+    large = large.join(classes.select("c", "sketch"), "c")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     large = large.withColumn("h", F.pmod(F.xxhash64("c"), blocks).cast("int"))
     cells = large.select("g", "h", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("j"), "c", "n", "root", "asks", "sketch")
@@ -522,7 +562,7 @@ def mixed_pairs(members: DataFrame, classes: DataFrame) -> DataFrame:
             c, n, root, h = (rows.column(x).to_numpy() for x in ("c", "n", "root", "h"))
             asks = rows.column("asks").to_numpy(zero_copy_only=False)
             i, j = cell_pairs(c, n.astype(np.int64), root, asks, rows.column("sketch").to_pylist(),
-                              h if rows.column("lo")[0] != rows.column("hi")[0] else None)
+                              h if rows.column("lo")[0] != rows.column("hi")[0] else None, forest)
             return pa.RecordBatch.from_arrays([pa.array(np.minimum(c[i], c[j])), pa.array(np.maximum(c[i], c[j]))],
                                               names=["a", "b"])
 
@@ -539,7 +579,14 @@ def mixed_pairs(members: DataFrame, classes: DataFrame) -> DataFrame:
         if kept:
             yield found(pa.Table.from_batches(kept))
 
-    return few.unionByName(cells.mapInArrow(meet, "a bigint, b bigint")).distinct()
+    return cells.mapInArrow(meet, "a bigint, b bigint").distinct()
+
+
+def still_open(large: DataFrame, rooted: DataFrame) -> DataFrame:
+    """The larger groups that hold several components after more links."""
+    own = large.drop("root").join(rooted, "c", "left").withColumn("root", F.coalesce("root", "c"))
+    mixed = own.groupBy("g").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("g")
+    return own.join(mixed, "g")
 
 
 def rooted_rows(docs: DataFrame, forced_layout: int | None = None) -> DataFrame:
@@ -565,7 +612,13 @@ def rooted_rows(docs: DataFrame, forced_layout: int | None = None) -> DataFrame:
     n_buckets = max(shuffle_partitions(docs.sparkSession), -(-n_entries // BUCKET_ENTRIES))
     live = stored(groups(docs, layouts, n_buckets), "join-groups")
     links = verify(docs, classes, first_pairs(live))
-    more = verify(docs, classes, mixed_pairs(open_members(live, components(links), classes), classes))
+    members = open_members(live, components(links), classes)
+    large = large_groups(members)
+    # what hangs together by one pair for each member is not compared again
+    links = links.unionByName(verify(docs, classes, small_pairs(members).unionByName(
+        large_pairs(large, classes, True)).distinct()))
+    rooted = components(links)
+    more = verify(docs, classes, large_pairs(still_open(large, rooted), classes, False))
     rooted = components(links.unionByName(more))
     named = classes.select("c", "d", "first_id").join(rooted, "c", "left").withColumn("root", F.coalesce("root", "c"))
     least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))

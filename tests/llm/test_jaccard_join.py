@@ -201,3 +201,16 @@ def test_keep_one(spark):
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(
         [(1, "a b c d e f g h"), (2, "x y z"), (4, ""), (5, None), (6, "l m n o p q r"), (None, "q")], key=str)
     assert join(docs.limit(0)).collect() == [] and keep_one(docs.limit(0)).collect() == []
+
+
+def test_a_forest_unites_what_all_pairs_of_a_cell_do():
+    r = np.random.default_rng(3)
+    base = r.integers(0, 1 << 63, 200, dtype=np.uint64)
+    sets = [np.unique(np.concatenate((base[r.integers(0, 60):], r.integers(0, 1 << 63, r.integers(0, 40), dtype=np.uint64))))
+            for _ in range(700)]
+    n, root, asks = np.array([len(s) for s in sets]), np.arange(700) // 2, r.random(700) < 0.8
+    cell = (np.arange(700), n, root, asks, [sketch(s) for s in sets], None)
+    every, some = jaccard_join.cell_pairs(*cell), jaccard_join.cell_pairs(*cell, forest=True)
+    assert set(zip(*some, strict=True)) <= set(zip(*every, strict=True)) and len(some[0]) < 350 < len(every[0])
+    after = [jaccard_join.uniting(*pairs, root)[1].tolist() for pairs in (every, some)]
+    assert after[0] == after[1]
