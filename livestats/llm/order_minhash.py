@@ -2,10 +2,13 @@
 
 The k-mers of a text are runs of ``k`` words, one at every word (shorter at the
 end).  Each is numbered by its occurrence, so the n-th repeat of a k-mer is an
-item of its own.  A hash deals the items to ``SLOTS`` slots; a slot keeps its
-``PER_SLOT`` smallest items, puts them back in text order and hashes the tuple.
-Two fingerprints are as alike as the share of filled slots that agree.  As the
-tuples keep the order, moving words apart changes slots although the words
+item of its own.  A hash deals the items to ``SLOTS`` slots; a slot takes its
+``PER_SLOT`` smallest items.  A slot with fewer takes the smallest of all other
+items under a hash of its own, so in a short text too every slot has
+``PER_SLOT`` items (or all there are) and in a long text hardly any item is
+hashed again.  A slot's items are put back in text order and the tuple is
+hashed.  Two fingerprints are as alike as the share of slots that agree.  As
+the tuples keep the order, moving words apart changes slots although the words
 stay, which follows edit distance and not only the set of k-mers.
 
 Defined cases: a NULL text is the empty text; a text without words has an
@@ -75,23 +78,34 @@ def _repeats(items: Column) -> Column:
     return let(later, lambda r: F.when(F.size(r) > 0, numbered(r)).otherwise(r))
 
 
-def _tuples(kept: Column, per_slot: int) -> Column:
-    """A print for each slot: its items in text order, hashed."""
+def _tuples(items: Column, kept: Column, per_slot: int) -> Column:
+    """A print for each slot: its items in text order, hashed.  ``kept`` has the smallest items of each slot."""
 
-    def of_slot(x: Column, j: Column) -> Column:
-        own = F.filter(F.slice(kept, j + 1, per_slot), lambda y: _slot(y) == _slot(x))
+    def printed(slot: Column, own: Column) -> Column:
         in_order = F.sort_array(F.transform(own, lambda y: F.shiftleft(_place(y), _HASH_BITS).bitwiseOR(_hash(y))))
         hashed = F.aggregate(in_order, F.lit(0).cast("long"),
                              lambda s, y: F.xxhash64(s, y.bitwiseAND(F.lit(_HASH_MASK))))
-        return F.shiftleft(_slot(x), _PRINT_BITS).bitwiseOR(hashed.bitwiseAND(F.lit(_PRINT_MASK)))
+        return F.shiftleft(slot, _PRINT_BITS).bitwiseOR(hashed.bitwiseAND(F.lit(_PRINT_MASK)))
+
+    def filled(slot: Column, own: Column) -> Column:
+        others = F.sort_array(F.transform(
+            F.array_except(items, own), lambda y: _item(F.xxhash64(_hash(y), slot), _place(y))))
+        return F.when(F.size(own) == per_slot, own).otherwise(F.concat(own, F.slice(others, 1, per_slot - F.size(own))))
+
+    def of_slot(x: Column, j: Column) -> Column:
+        own = F.filter(F.slice(kept, j + 1, per_slot), lambda y: _slot(y) == _slot(x))
+        return let(own, lambda o: printed(_slot(x), filled(_slot(x), o)))
 
-    starts = F.transform(kept, lambda x, j: F.when(
-        (j == 0) | (_slot(x) != _slot(_before(kept, j))), of_slot(x, j)))
-    return F.filter(starts, lambda p: p.isNotNull())
+    starts = F.filter(F.transform(kept, lambda x, j: F.when(
+        (j == 0) | (_slot(x) != _slot(_before(kept, j))), of_slot(x, j))), lambda p: p.isNotNull())
+    none = F.array().cast("array<bigint>")
+    empty = F.array_except(F.sequence(F.lit(0).cast("long"), F.lit(SLOTS - 1).cast("long")), F.transform(kept, _slot))
+    return F.when(F.size(kept) == 0, none).otherwise(F.sort_array(F.concat(
+        starts, F.transform(empty, lambda slot: printed(slot, filled(slot, none))))))
 
 
 def prints(text: Column, k: int = K, per_slot: int = PER_SLOT) -> Column:
-    """The filled slots of a text, ascending: slot number and tuple hash in one integer each."""
+    """The slots of a text, ascending: slot number and tuple hash in one integer each; none without words."""
     words = F.filter(F.split(text, "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
 
     def items(w: Column) -> Column:
@@ -106,7 +120,7 @@ def prints(text: Column, k: int = K, per_slot: int = PER_SLOT) -> Column:
         return F.filter(s, lambda x, j: (j < per_slot) | (_slot(x) != _slot(_before(s, j, per_slot))))
 
     return let(words, lambda w: let(items(w), lambda s: let(numbered(s), lambda n: let(
-        smallest(n), lambda kept: _tuples(kept, per_slot)))))
+        smallest(n), lambda kept: _tuples(n, kept, per_slot)))))
 
 
 def written(p: Column) -> Column:
@@ -115,7 +129,7 @@ def written(p: Column) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """The share of slots filled in either that agree."""
+    """The share of slots that agree."""
     slots = F.size(F.array_union(F.transform(a, lambda x: F.shiftright(x, _PRINT_BITS)),
                                  F.transform(b, lambda x: F.shiftright(x, _PRINT_BITS))))
     return F.when(slots == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / slots)
