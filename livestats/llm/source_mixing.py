@@ -16,8 +16,11 @@ one sum for each domain, and the rate of a document is a fold over the residuals
 of all steps.  Documents are first summed into cells of similar posteriors, which
 hold the exact sums of tokens and of tokens times posterior; the steps run on the
 driver over at most MAX_CELLS cells until the targets are met, the projected
-gradient vanishes or MAX_STEPS are done, which is reported.  What the rates of the documents themselves then miss of a
-target is reported in a warning.
+gradient vanishes or MAX_STEPS are done, which is reported.  The shares that
+the rates give the documents themselves are then summed exactly, and the fit is
+repeated with aims shifted by what the cells say otherwise, until both agree;
+where cells are too coarse for that, the steps go on over the documents.  What
+they then still miss of a target is reported in a warning.
 
 Defined cases: a NULL or empty text has no tokens and the prior posteriors;
 labelled rows with a NULL id or domain are not learned from, several labels of
@@ -57,6 +60,8 @@ MAX_CELLS = 1 << 16
 MAX_STEPS = 300
 #: Largest error of a share at which the targets are met; mean change of a rate at which no step helps any more.
 TOLERANCE, STILL = 1e-7, 1e-9
+#: Difference between the shares of the documents and of their cells that the fit leaves.
+CLOSE = 1e-6
 #: A share that misses its target by more is reported.
 REPORTED = 1e-3
 
@@ -278,8 +283,11 @@ def fit_rates(members: DataFrame, names: list[str], targets: dict[str, float],
         levels //= 2
         cells = members.where("n_tokens > 0").groupBy(F.transform("p", lambda x: F.round(x * levels)).alias("level")).agg(
             F.sum("n_tokens").alias("n"), F.array(*[F.sum(F.col("n_tokens") * F.get("p", k)) for k in each]).alias("m"))
+        if levels == 1:  # every cell: MAX_DOMAINS domains have no more than 2081
+            got = cells.select("n", "m").collect()
+            break
         got = cells.select("n", "m").limit(MAX_CELLS + 1).collect()
-        if len(got) <= MAX_CELLS or levels == 1:
+        if len(got) <= MAX_CELLS:
             break
     n, m = np.array([r.n for r in got], float), np.array([r.m for r in got], float).reshape(len(got), len(names))
     natural = m.sum(axis=0).tolist()
@@ -298,22 +306,59 @@ def fit_rates(members: DataFrame, names: list[str], targets: dict[str, float],
     goal = [g / sum(goal) for g in goal]
     p, shares, goals = m / n[:, None], np.array(natural), np.array(goal)
 
-    steps: list[list[float]] = []
-    w, moved = np.ones(len(n)), np.inf
-    for _ in range(max_steps):
-        error = w @ m / total - goals  # one number for each domain
-        step = np.divide(error, shares, out=np.zeros(len(names)), where=shares > 0)
-        new = np.maximum(0.0, w - p @ step)
-        moved = np.abs(new - w) @ n / total  # the projected gradient
-        if np.abs(error).max() < TOLERANCE or moved < STILL:
+    def weighed(error: np.ndarray) -> np.ndarray:
+        return np.divide(error, shares, out=np.zeros(len(names)), where=shares > 0)
+
+    def fitted(aims: np.ndarray) -> tuple[list[list[float]], np.ndarray, float]:
+        """The steps towards the aims over the cells, the shares that the cells have after them, and the last movement."""
+        steps: list[list[float]] = []
+        w, moved = np.ones(len(n)), np.inf
+        for _ in range(max_steps):
+            error = w @ m / total - aims  # one number for each domain
+            step = weighed(error)
+            new = np.maximum(0.0, w - p @ step)
+            moved = np.abs(new - w) @ n / total  # the projected gradient
+            if np.abs(error).max() < TOLERANCE or moved < STILL:
+                return steps, w @ m / total, 0.0
+            steps.append(step.tolist())
+            w = new
+        return steps, w @ m / total, moved
+
+    def shares_after(steps: list[list[float]]) -> np.ndarray:
+        """The shares of the documents themselves, by one pass over them."""
+        got = members.withColumn("w", _rate(F.col("p"), steps)).agg(
+            *[F.sum(F.col("w") * F.col("n_tokens") * F.get("p", k)).alias(f"s{k}") for k in each]).first()
+        return np.array([x or 0.0 for x in got]) / total
+
+    # what the documents have more or less than their cells is taken off the aims, until that changes no more
+    aims, apart = goals, np.inf
+    while True:
+        steps, reached, moved = fitted(aims)
+        exact = shares_after(steps)
+        further = goals - (exact - reached)
+        change = np.abs(further - aims).max()
+        if change < CLOSE or change > apart / 2:
             break
-        steps.append(step.tolist())
-        w = new
-    else:
-        warnings.warn(f"mixing: the fit has not converged after {max_steps} steps; a rate still changes by "
+        aims, apart = further, change
+    if change >= CLOSE:  # cells too coarse for that: the steps go on over the documents
+        moved = np.inf
+        for _ in range(max_steps):
+            if (left := np.abs(exact - goals).max()) < CLOSE:
+                moved = 0.0
+                break
+            more = [*steps, weighed(exact - goals).tolist()]
+            now = shares_after(more)
+            moved = np.abs(now - exact).max()
+            if np.abs(now - goals).max() > left:
+                break
+            steps, exact = more, now
+            if moved < STILL:
+                moved = 0.0
+                break
+    if moved:
+        warnings.warn(f"mixing: the fit has not converged after {len(steps)} steps; a rate still changes by "
                       f"{moved:.2g} a step on average", stacklevel=2)
-    got = members.withColumn("w", _rate(F.col("p"), steps)).agg(
-        *[F.sum(F.col("w") * F.col("n_tokens") * F.get("p", k)).alias(f"s{k}") for k in each]).first()
+    got = exact * total
     if missed := {k: (x / total, g) for k, x, g in zip(names, got, goal, strict=True) if abs(x / total - g) > REPORTED}:
         warnings.warn("mixing: shares miss their targets: " + ", ".join(
             f"{k} has {x:.4f} of {g:.4f}" for k, (x, g) in missed.items()), stacklevel=2)

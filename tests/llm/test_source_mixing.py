@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from livestats.llm import source_mixing
 from livestats.llm.queries import QUERIES
 from livestats.llm.source_mixing import TARGETS, domain_labels, fit_rates, mix, places_of, resample
 from livestats.llm.source_mixing import _rate as rate
@@ -134,3 +135,17 @@ def test_mostly_clean_corpus_is_not_thinned_out(spark):
     kept = [r.doc_id for r in resample(docs, names, {"clean": 0.97, "toxic": 0.03}, gains="clean").collect()]
     assert {i for i in range(1000) if i % 100} <= set(kept)
     assert sum(not i % 100 for i in kept if i < 1000) <= 10  # toxic texts are not repeated
+
+
+@pytest.mark.parametrize("most", [1 << 16, 12, 1])
+def test_few_cells_fit_the_documents_themselves(spark, monkeypatch, most):
+    # merged cells hold texts of different posteriors; the targets are met by the texts nevertheless
+    monkeypatch.setattr(source_mixing, "MAX_CELLS", most)
+    r = np.random.default_rng(3)
+    p, n = r.dirichlet([0.4, 0.3, 0.2], 500), r.integers(1, 50, 500)
+    rows = spark.createDataFrame([(i, int(t), x.tolist()) for i, (t, x) in enumerate(zip(n, p, strict=True))],
+                                 "doc_id long, n_tokens long, p array<double>").coalesce(1)
+    targets = [0.35, 0.35, 0.3]
+    steps = fit_rates(rows, ["a", "b", "c"], dict(zip("abc", targets, strict=True)))
+    got = np.array([x.w for x in rows.withColumn("w", rate(F.col("p"), steps)).orderBy("doc_id").collect()])
+    assert np.allclose(p.T @ (got * n) / n.sum(), targets, atol=2e-6) and (got >= 0).all()
