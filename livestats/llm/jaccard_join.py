@@ -51,7 +51,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import shuffle_partitions, stored, text_slices
+from .common import release, shuffle_partitions, stored, text_slices
 from .words import mix, words
 
 SHINGLE = 5
@@ -65,7 +65,7 @@ EXPOSED = 400
 BUCKET_ENTRIES = 2_000_000
 #: Bits of the filter that picks the documents whose sets are fetched.
 FILTER_BITS = 1 << 22
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 1_000_000
 #: Members of a group that is paired as rows, at most.
 SMALL = 16
 #: Members of a block of a larger group; two blocks meet in a cell.
@@ -86,7 +86,7 @@ _FACTORS = [_U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E
 def shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
     """The ascending distinct shingle hashes of each text."""
     w = words(texts)
-    hashes = w.hashes()
+    hashes = w.keys()
     n = len(hashes)
     grams = np.zeros(n, np.uint64)
     for d in range(min(SHINGLE, n)):
@@ -95,7 +95,8 @@ def shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
     at = 0
     for count in w.counts.tolist():
         if count >= SHINGLE:
-            yield np.unique(grams[at:at + count - SHINGLE + 1])
+            s = np.sort(grams[at:at + count - SHINGLE + 1])
+            yield s[np.concatenate(([True], s[1:] != s[:-1]))]
         elif count:
             short = sum((hashes[at + d:at + d + 1] * _FACTORS[d] for d in range(count)), np.zeros(1, np.uint64))
             yield mix(short + _U(count))
@@ -104,10 +105,18 @@ def shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
         at += count
 
 
+def class_keys(sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """A 128-bit digest of each nonempty set, as two signed integers."""
+    if not sets:
+        return []
+    flat = np.concatenate(sets)
+    starts = np.cumsum([0, *map(len, sets[:-1])])
+    halves = (np.add.reduceat(mix(flat ^ f), starts).view(np.int64).tolist() for f in _FACTORS[:2])
+    return list(zip(*halves, strict=True))
+
+
 def class_key(s: np.ndarray) -> tuple[int, int]:
-    """A 128-bit digest of a set, as two signed integers."""
-    a, b = (int(mix(s ^ f).sum(dtype=np.uint64)) for f in _FACTORS[:2])
-    return a - (a >> 63 << 64), b - (b >> 63 << 64)
+    return class_keys([s])[0]
 
 
 def band_of(n: int) -> int:
@@ -136,18 +145,46 @@ def segments(s: np.ndarray, band: int, layout: tuple[int, float]) -> tuple[np.nd
     return starts, lengths, two
 
 
-def layout_counts(s: np.ndarray, band: int) -> list[tuple[int, int, int]]:
-    """For each layout: by how much the allowances exceed what the set needs, its index entries, and its cost."""
-    out = []
-    share = min(PASSAGE / len(s), 2 / 3)
-    for layout in LAYOUTS:
-        _, lengths, two = segments(s, band, layout)
-        spare = len(lengths) + int(two.sum()) - most_different(len(s)) - 1
-        n = len(lengths) + int(lengths[two].sum())
+def layout_counts_of(sets: list[np.ndarray], bands: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each nonempty set in its band and each layout: by how much the allowances exceed what the set needs, its index
+    entries, and its cost."""
+    sizes, band = np.fromiter(map(len, sets), np.int64, len(sets)), np.array(bands, np.int64)
+    flat = np.concatenate(sets)
+    starts = np.cumsum(sizes) - sizes
+    first = np.zeros(len(flat), bool)
+    first[starts] = True
+    change = np.concatenate((flat[:1], flat[1:] ^ flat[:-1]))
+    share = np.log(np.minimum(PASSAGE / sizes, 2 / 3))
+    needed = most_different(sizes) + 1
+    spare, n_entries, cost = (np.empty((len(sets), len(LAYOUTS)), np.int64) for _ in range(3))
+    cut: dict[int, tuple] = {}  # layouts that differ in allowances alone have the same segments
+    for i, (finer, part) in enumerate(LAYOUTS):
+        p = np.clip(band + finer, 0, 64)
+        if finer not in cut:
+            same = np.where(p < 64, _U((1 << 64) - 1) >> np.minimum(p, 63).astype(np.uint64), _U(0))
+            at = np.flatnonzero(first | (change > np.repeat(same, sizes)))
+            lengths = np.diff(at, append=len(flat))
+            begin = np.searchsorted(at, starts)
+            n = np.diff(begin, append=len(at))
+            cut[finer] = at, lengths, begin, n, np.exp(lengths * np.repeat(share, n))
+        at, lengths, begin, n, lost = cut[finer]
+        allowed, total = n, n
+        if part:
+            least = np.array([int(part * (1 << x)) for x in p.tolist()], np.uint64)
+            shift = np.repeat(64 - p, n).astype(np.uint64)
+            number = np.where(shift < 64, flat[at] >> np.minimum(shift, _U(63)), _U(0))
+            two = (number < np.repeat(least, n)) & (lengths > 1)
+            allowed = n + np.add.reduceat(two.astype(np.int64), begin)
+            total = n + np.add.reduceat(lengths * two, begin)
+            lost = lost * (1 + two)
+        spare[:, i], n_entries[:, i] = allowed - needed, total
         # allowances of the segments that lie in the passage as a whole, as expected
-        lost = float((share ** lengths * (1 + two)).sum())
-        out.append((spare, n, n + EXPOSED * (spare < lost)))
-    return out
+        cost[:, i] = total + EXPOSED * (spare[:, i] < np.add.reduceat(lost, begin))
+    return spare, n_entries, cost
+
+
+def layout_counts(s: np.ndarray, band: int) -> list[tuple[int, int, int]]:
+    return list(zip(*(x[0].tolist() for x in layout_counts_of([s], [band])), strict=True))
 
 
 def entries(s: np.ndarray, band: int, layout: tuple[int, float]) -> np.ndarray:
@@ -209,19 +246,27 @@ def describe(docs: DataFrame) -> DataFrame:
 
     def found(batches):
         for part, sets in _sets(batches):
-            keys = [class_key(s) if len(s) else (None, None) for s in sets]
-            counts = [[x for b in bands_of(len(s)) for x in layout_counts(s, b)] if len(s) else None for s in sets]
-            bands = [bands_of(len(s)) if len(s) else [None] for s in sets]
+            full = [s for s in sets if len(s)]
+            keys, bands = iter(class_keys(full)), [bands_of(len(s)) if len(s) else [None] for s in sets]
+            keys = [next(keys) if len(s) else (None, None) for s in sets]
+            counts: list[list] = [[None] * len(sets) for _ in range(3)]
+            if full:
+                each = [(i, s, b) for i, (s, own) in enumerate(zip(sets, bands, strict=True)) if len(s) for b in own]
+                found_counts = layout_counts_of([s for _, s, _ in each], [b for _, _, b in each])
+                for out, got in zip(counts, found_counts, strict=True):
+                    for (i, _, _), x in zip(each, got.tolist(), strict=True):
+                        out[i] = x if out[i] is None else out[i] + x
             yield pa.RecordBatch.from_arrays([
                 part.column("doc_id"), part.column("row"), pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([a for a, _ in keys], pa.int64()), pa.array([b for _, b in keys], pa.int64()),
                 pa.array([sketch(s) if len(s) else None for s in sets], pa.binary()),
                 pa.array([b[0] for b in bands], pa.int32()),
                 pa.array([b[1] if len(b) > 1 else None for b in bands], pa.int32()),
-                pa.array([c and [x[0] for x in c] for c in counts], pa.list_(pa.int32())),
-                pa.array([c and [x[1] for x in c] for c in counts], pa.list_(pa.int32())),
-                pa.array([c and [x[2] for x in c] for c in counts], pa.list_(pa.int32()))],
+                pa.array(counts[0], pa.list_(pa.int32())),
+                pa.array(counts[1], pa.list_(pa.int32())),
+                pa.array(counts[2], pa.list_(pa.int32()))],
                 names=["doc_id", "row", "n", "c", "d", "sketch", "band", "visited", "spare", "n_entries", "cost"])
+        release()
 
     return _rows(docs).withColumn("row", text_hash()).mapInArrow(found, schema)
 
@@ -258,10 +303,8 @@ def groups(docs: DataFrame, layouts: dict[int, int], n_buckets: int) -> DataFram
         seen: set[int] = set()  # copies within a task are indexed once
         for _, sets in _sets(batches):
             cs, ns, counts, found = [], [], [], []
-            for s in sets:
-                if not len(s):
-                    continue
-                c = class_key(s)[0]
+            full = [s for s in sets if len(s)]
+            for s, (c, _) in zip(full, class_keys(full), strict=True):
                 if c in seen:
                     continue
                 seen.add(c)
@@ -288,6 +331,7 @@ def groups(docs: DataFrame, layouts: dict[int, int], n_buckets: int) -> DataFram
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x, t) for x, t in zip(zip(*out, strict=True), [pa.int32()] + [pa.binary()] * 4, strict=True)],
                 names=["bucket", "c", "n", "counts", "entries"])
+        release()
 
     out_schema = pa.schema([("g", pa.int64()), ("weight", pa.int32()), ("size", pa.int32()), ("c", pa.int64()),
                             ("n", pa.int32()), ("first", pa.int64()), ("n_first", pa.int32())])
@@ -370,7 +414,7 @@ def verify(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
             for part, sets in _sets([some]):
                 full = [i for i, s in enumerate(sets) if len(s)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([class_key(sets[i])[0] for i in full], pa.int64()),
+                    [pa.array([c for c, _ in class_keys([sets[i] for i in full])], pa.int64()),
                      part.column("doc_id").take(pa.array(full, pa.int64())),
                      pa.array([sets[i].tobytes() for i in full], pa.binary())], names=["c", "doc_id", "items"])
 

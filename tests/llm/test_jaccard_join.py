@@ -1,8 +1,10 @@
 import random
 import re
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from livestats.llm import jaccard_join
@@ -214,3 +216,37 @@ def test_a_forest_unites_what_all_pairs_of_a_cell_do():
     assert set(zip(*some, strict=True)) <= set(zip(*every, strict=True)) and len(some[0]) < 350 < len(every[0])
     after = [jaccard_join.uniting(*pairs, root)[1].tolist() for pairs in (every, some)]
     assert after[0] == after[1]
+
+
+def test_sets_of_a_batch_are_counted_as_each_alone():
+    r = np.random.default_rng(2)
+    sets = [np.unique(r.integers(0, 2**64 - 1, n, dtype=np.uint64)) for n in (1, 2, 5, 9, 16, 31, 64, 65, 300, 700, 5000)]
+    each = [(s, b) for s in sets for b in bands_of(len(s))]
+    spare, n_entries, cost = jaccard_join.layout_counts_of(*map(list, zip(*each, strict=True)))
+    for row, (s, b) in enumerate(each):
+        for i, layout in enumerate(LAYOUTS):
+            _, lengths, two = jaccard_join.segments(s, b, layout)
+            assert n_entries[row, i] == len(entries(s, b, layout))
+            assert spare[row, i] == len(lengths) + two.sum() - jaccard_join.most_different(len(s)) - 1
+            assert cost[row, i] - n_entries[row, i] in (0, jaccard_join.EXPOSED)
+    assert jaccard_join.class_keys(sets) == [jaccard_join.class_key(s) for s in sets]
+
+
+def test_words_of_any_length_and_case_have_keys_of_their_own():
+    words = ["a", "b\0", "a\0", "ab", "abcdefgh", "abcdefghi", "abcdefgh\0", "x" * 16, "x" * 17, "ÀÉ", "àÉ", "y" * 100_000,
+             "y" * 99_999 + "z", "1" * 8 + "2" * 8 + "3", "2" * 8 + "1" * 8 + "3", "[", "{", "@", "`"]
+    texts = [" ".join(words), " ".join(re.sub("[a-z]+", lambda m: m.group().upper(), w) for w in words)]
+    keys = jaccard_join.words(pa.array(texts)).keys()
+    assert len(set(keys.tolist())) == len(words) and (keys[:len(words)] == keys[len(words):]).all()
+
+
+def test_memory_of_a_task_stays_small():
+    texts = pa.array([" ".join(f"w{(i * 7919 + k) % 9973}" for k in range(400)) for i in range(3000)])
+    batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+    assert texts.nbytes > 6_000_000
+    tracemalloc.start()
+    for _ in jaccard_join._sets([batch]):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60_000_000
