@@ -197,7 +197,7 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str, end_id: int = END_ID)
     """Tokenize all documents and write the id files under ``path``."""
     spark = docs.sparkSession
     dtype = id_dtype(vocabulary).str
-    blocks = stored(id_blocks(docs, vocabulary, end_id), "token-ids")
+    blocks = stored(id_blocks(docs, vocabulary, end_id), "token-ids", "none")
     # bounded by the size of the vocabulary
     counts = count_ids(blocks, dtype).orderBy("id").toPandas()
     bits = code_lengths(counts["n"].to_numpy(np.int64)) if len(counts) else np.empty(0, np.int64)
