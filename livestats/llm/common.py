@@ -41,7 +41,7 @@ def whole(text: str = "text") -> Column:
 
 
 def release() -> None:
-    """Give the memory that a task has freed back to the system, as its Python worker lives on."""
+    """Give the memory that a task or a fit has freed back to the system, as its Python worker or the driver lives on."""
     pa.default_memory_pool().release_unused()
     if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc has it
         trim(0)

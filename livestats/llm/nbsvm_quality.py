@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_slices
+from .common import release, text_slices
 from .words import Words, mix, words
 
 #: Labelled rows that the model is fitted on at most.
@@ -260,7 +260,9 @@ def sample_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) ->
 def score(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, threshold: float = THRESHOLD,
           keep: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every document, and its columns named in ``keep``."""
-    model = docs.sparkSession.sparkContext.broadcast(fit(sample_rows(docs, labels, max_rows)))
+    fitted = fit(sample_rows(docs, labels, max_rows))
+    release()  # the fit runs in the driver, whose later stages need that memory
+    model = docs.sparkSession.sparkContext.broadcast(fitted)
     text = "text" if "text" in keep else "_text"
     own = [F.col("doc_id").cast("long").alias("_doc_id"), held_out(F.col("doc_id").cast("long")).alias("_held_out")]
     if text not in keep:

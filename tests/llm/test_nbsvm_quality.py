@@ -1,8 +1,12 @@
+import re
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 
+from livestats.llm import nbsvm_quality
+from livestats.llm.common import release
 from livestats.llm.nbsvm_quality import Rows, features, fit, fit_linear, score
 from livestats.llm.queries import QUERIES
 from livestats.llm.words import words
@@ -67,3 +71,23 @@ def test_odd_rows(spark):
     assert score(docs.limit(0), one).collect() == []
     kept = score(docs, one, keep=tuple(c for c in docs.columns if c != "score"))
     assert {r.doc_id for r in kept.collect()} == {d for d, _ in odd_rows()}
+
+
+def test_driver_gives_the_memory_of_the_fit_back(spark, monkeypatch):
+    r = np.random.default_rng(1)
+
+    def rows(*_):
+        counts = r.integers(200, 600, nbsvm_quality.MAX_ROWS)
+        return Rows((r.zipf(1.3, counts.sum()) % nbsvm_quality.N_FEATURES).astype(np.int64), counts,
+                    (np.arange(len(counts)) % 4 > 0).astype(np.int64))
+
+    def own_mb():
+        return int(re.search(r"\nPss_Anon:\s+(\d+)", Path("/proc/self/smaps_rollup").read_text())[1]) / 1024
+
+    monkeypatch.setattr(nbsvm_quality, "sample_rows", rows)
+    docs = documents(spark, [(1, "one text")])
+    release()
+    before = own_mb()
+    scored = score(docs, docs)  # the sample is not read
+    assert own_mb() - before < 50
+    assert scored.count() == 1
